@@ -1,0 +1,45 @@
+"""Every registered query against the same query in SQL, run by another engine."""
+
+from __future__ import annotations
+
+import duckdb
+import pytest
+
+from __spark_entry__ import entry, oracle_sql, queries
+
+SF_DIR = "/root/testdata/sf0.01"
+TABLES = ("events",)
+
+
+@pytest.fixture(scope="module")
+def duck():
+    connection = duckdb.connect()
+    for table in TABLES:
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
+    return connection
+
+
+def test_every_query_has_sql():
+    assert queries().keys() == oracle_sql().keys()
+
+
+def canonical(rows, names):
+    order = sorted(range(len(names)), key=names.__getitem__)
+    return sorted((tuple(row[i] for i in order) for row in rows), key=repr)
+
+
+@pytest.mark.parametrize("name", queries())
+def test_same_result(spark, duck, name):
+    frame = queries()[name](spark, SF_DIR)
+    relation = duck.sql(oracle_sql()[name])
+    assert sorted(frame.columns) == sorted(relation.columns)
+    ours = canonical([tuple(row) for row in frame.collect()], frame.columns)
+    theirs = canonical(relation.fetchall(), relation.columns)
+    assert len(ours) == len(theirs) > 0
+    assert ours == theirs
+
+
+def test_entry(spark):
+    frame = entry(spark)
+    assert len(frame.columns) == 17
+    assert frame.count() == 977 + 925
