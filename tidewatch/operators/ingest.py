@@ -4,10 +4,9 @@ Input is any DataFrame, batch or streaming, with a string column ``value`` holdi
 per row.  The output has the row shape the Kafka sink takes.  Everything is filter and projection:
 no shuffle, no state.
 
-Most of a feed belongs to other sites, so rows are dropped in order of cost: by a substring test,
-then by parsing the two routing fields only, and the rest is parsed once with the event schema.
-A row with a field of an unexpected type is re-read as ``variant``, so that the field is passed on
-as it came.
+Most of a feed belongs to other sites, so a substring test drops rows before any parsing, and what
+is left is parsed once.  A row with a field of an unexpected type is read again as ``variant``, so
+that the field is passed on as it came.
 """
 
 from __future__ import annotations
@@ -43,14 +42,6 @@ def drop_blank(raw: DataFrame) -> DataFrame:
     return raw.filter(F.length(F.btrim("value", F.lit(JSON_BLANKS))) > 0)
 
 
-def drop_undecodable(raw: DataFrame) -> DataFrame:
-    """Drop payloads that are not one JSON object."""
-    text = F.btrim("value", F.lit(JSON_BLANKS))
-    return raw.filter(
-        text.startswith("{") & text.endswith("}") & F.try_parse_json("value").isNotNull()
-    )
-
-
 def may_name(value: Column, text: str) -> Column:
     """False only if no JSON string in ``value`` can equal ``text``.
 
@@ -60,32 +51,37 @@ def may_name(value: Column, text: str) -> Column:
     return value.contains(text) | value.contains("\\")
 
 
-def keep_routed(
-    raw: DataFrame, site: str = fixed.SITE, topics: Mapping[str, str] | None = None
-) -> DataFrame:
-    """Keep the objects of one site whose type has a topic; a missing site or type drops the row.
+def decode(raw: DataFrame) -> DataFrame:
+    """Add ``event``, the typed fields, and ``loose``, the variant of rows with a mistyped field.
 
-    One expression over one small parse: as two filters the parse would be repeated for each.
+    Payloads that are not one JSON object are dropped.
     """
     text = F.btrim("value", F.lit(JSON_BLANKS))
-    head = F.from_json("value", "server_name string, type string", _STRICT)
-    accepted = [
-        F.struct(F.lit(site).alias("server_name"), F.lit(kind).alias("type"))
-        for kind in topics or routes()
-    ]
-    return raw.filter(
-        may_name(F.col("value"), site)
-        & text.startswith("{")
-        & text.endswith("}")
-        & head.isin(*accepted)
+    options = {**_STRICT, "columnNameOfCorruptRecord": MISTYPED}
+    # The explode of one element changes no row; it keeps filters on ``event`` from being pushed
+    # below the parse, where each of them would parse the text again.
+    parsed = F.explode(F.array(F.from_json("value", RAW_EVENT, options)))
+    mistyped = F.col(f"event.{MISTYPED}").isNotNull()
+    return (
+        drop_blank(raw)
+        .filter(text.startswith("{") & text.endswith("}"))
+        .select("*", parsed.alias("event"))
+        .withColumn("loose", F.when(mistyped, F.try_parse_json("value")))
+        .filter(~mistyped | F.col("loose").isNotNull() | F.col("event.type").isNotNull())
     )
 
 
-def decode(raw: DataFrame) -> DataFrame:
-    """Add ``event``, the typed fields, and ``loose``, the variant of rows with a mistyped field."""
-    options = {**_STRICT, "columnNameOfCorruptRecord": MISTYPED}
-    return raw.withColumn("event", F.from_json("value", RAW_EVENT, options)).withColumn(
-        "loose", F.when(F.col(f"event.{MISTYPED}").isNotNull(), F.try_parse_json("value"))
+def keep_site(events: DataFrame, site: str = fixed.SITE) -> DataFrame:
+    """Keep the events of one site; a missing site drops the event."""
+    return events.filter(F.col("event.server_name") == site)
+
+
+def route(events: DataFrame, topics: Mapping[str, str] | None = None) -> DataFrame:
+    """Add ``topic`` by event type; events of any other type, or none, are dropped."""
+    topics = topics or routes()
+    entries = [F.lit(part) for entry in topics.items() for part in entry]
+    return events.filter(F.col("event.type").isin(*topics)).withColumn(
+        "topic", F.try_element_at(F.create_map(*entries), F.col("event.type"))
     )
 
 
@@ -94,7 +90,9 @@ def _typed_field(name: str) -> Column:
     field = F.col(f"event.{NESTED_FIELDS.get(name, name)}")
     if name != "comment":
         return field
-    present = F.array_contains(F.json_object_keys("value"), "comment")
+    # looked at only where there is no text; the keys are null for number forms like NaN
+    keys = F.coalesce(F.json_object_keys("value"), F.array())
+    present = F.array_contains(keys, "comment")
     return F.when(field.isNotNull(), field).when(~present, fixed.ABSENT_COMMENT)
 
 
@@ -133,12 +131,7 @@ def messages(
     raw: DataFrame, site: str = fixed.SITE, topics: Mapping[str, str] | None = None
 ) -> DataFrame:
     """The whole step: raw events in, ``topic, key, value`` out."""
-    topics = topics or routes()
-    entries = [F.lit(part) for entry in topics.items() for part in entry]
-    topic = F.try_element_at(F.create_map(*entries), F.col("event.type"))
+    events = decode(raw.filter(may_name(F.col("value"), site)))
+    routed = route(keep_site(events, site), topics)
     body = F.when(F.col("topic") == fixed.EDIT_TOPIC, edit_payload()).otherwise(page_payload())
-    return (
-        decode(keep_routed(raw, site, topics))
-        .withColumn("topic", topic)
-        .select("topic", message_key().alias("key"), body.alias("value"))
-    )
+    return routed.select("topic", message_key().alias("key"), body.alias("value"))

@@ -71,4 +71,7 @@ def raw_events(events: DataFrame) -> DataFrame:
         F.when(is_log, "restore").alias("log_action"),
         site.alias("server_name"),
     )
-    return edits(events).select(F.to_json(event, {"ignoreNullFields": "false"}).alias("value"))
+    text = F.to_json(event, {"ignoreNullFields": "false"})
+    # one row out per row in: without the explode, Catalyst would write the JSON text anew for every
+    # later expression that reads it
+    return edits(events).select(F.explode(F.array(text)).alias("value"))

@@ -5,7 +5,7 @@ The SQL is written in the plain form: one pass per window length, one unpartitio
 
 from __future__ import annotations
 
-from tidewatch.plans.registry import AS_OF, EARLIER, LOOKBACK, SLICE
+from tidewatch.plans.registry import EARLIER, EARLIER_LOOKBACK, LOOKBACK, SLICE
 
 EDITS = """
 edits AS (
@@ -95,9 +95,9 @@ def _flagged(label: str, source: str) -> str:
       RANGE BETWEEN INTERVAL 1 HOUR PRECEDING AND CURRENT ROW))"""
 
 
-def _gold(source: str = "silver") -> str:
+def _gold(source: str = "silver", name: str = "gold") -> str:
     return f"""
-gold AS (
+{name} AS (
   {_flagged("1min", source)}
   UNION ALL BY NAME
   {_flagged("5min", source)}
@@ -241,8 +241,15 @@ recent AS (SELECT * FROM silver WHERE edit_timestamp >= TIMESTAMP '{LOOKBACK}'),
 kept AS (
   SELECT * FROM silver
   WHERE edit_timestamp >= TIMESTAMP '{LOOKBACK}' OR
-    (edit_timestamp >= TIMESTAMP '{LOOKBACK}' - (TIMESTAMP '{AS_OF}' - TIMESTAMP '{EARLIER}')
-     AND edit_timestamp < TIMESTAMP '{EARLIER}')
+    (edit_timestamp >= TIMESTAMP '{EARLIER_LOOKBACK}' AND edit_timestamp < TIMESTAMP '{EARLIER}')
 ),
 {_activity("kept")} SELECT * FROM activity""",
+    "refresh_volume_partitions": f"""WITH {SILVER},
+seen AS (SELECT * FROM silver WHERE edit_timestamp >= TIMESTAMP '{EARLIER_LOOKBACK}'
+  AND edit_timestamp < TIMESTAMP '{EARLIER}'),
+{_gold("seen", "first_run")},
+recent AS (SELECT * FROM silver WHERE edit_timestamp >= TIMESTAMP '{LOOKBACK}'),
+{_gold("recent", "second_run")}
+SELECT * FROM first_run WHERE date < DATE '{LOOKBACK}'
+UNION ALL BY NAME SELECT * FROM second_run""",
 }

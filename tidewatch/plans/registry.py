@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
 from tidewatch import fixed
-from tidewatch.functions import lookback_start, slice_start
+from tidewatch.functions import lit_moment, lookback_start, slice_start
 from tidewatch.operators import bronze, dashboard, ingest, reports, silver, windows
 from tidewatch.operators.anomaly import anomaly_summary
 from tidewatch.plans import fixture
@@ -33,6 +33,7 @@ LOOKBACK = lookback_start(AS_OF)
 SLICE = slice_start(AS_OF)
 # An earlier refresh, whose dates the one at AS_OF partly replaces.
 EARLIER = AS_OF - timedelta(days=1)
+EARLIER_LOOKBACK = lookback_start(EARLIER)
 
 ROUNDED = {
     "avg_bytes_per_edit": 6,
@@ -66,14 +67,15 @@ def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixture.raw_events(fixture.load_events(spark, sf_dir))
 
 
-def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ingest.messages(_raw(spark, sf_dir))
+def _messages(spark: SparkSession, sf_dir: str, topic: str | None = None) -> DataFrame:
+    wanted = {kind: name for kind, name in ingest.routes().items() if topic in (None, name)}
+    return ingest.messages(_raw(spark, sf_dir), topics=wanted)
 
 
 def _records(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
     """Messages of one topic as the records a source would deliver."""
     empty = [F.lit(None).cast(field.dataType).alias(field.name) for field in RECORD.fields[1:]]
-    sent = _messages(spark, sf_dir).filter(F.col("topic") == topic)
+    sent = _messages(spark, sf_dir, topic)
     return sent.select(F.col("value").cast("binary").alias("value"), *empty)
 
 
@@ -161,26 +163,34 @@ def stream_bronze_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(read_silver(spark, path=f"{folder}/silver"))
 
 
-def refresh_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Gold refreshed at EARLIER and again at AS_OF, where the first run saw only what had come in
-    by then; the user table after both runs."""
+def _refreshed(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """One gold table after a refresh at EARLIER, which saw only what had come in by then, and
+    another at AS_OF."""
     folder = scratch_folder(spark, "refresh")
     suffix = folder.rsplit("-", 1)[1]
     names = {"volume_table": f"volume_{suffix}", "user_table": f"users_{suffix}"}
     edits = _silver(spark, sf_dir)
-    seen = edits.filter(F.col("edit_timestamp") < F.lit(str(EARLIER)).cast("timestamp"))
+    seen = edits.filter(F.col("edit_timestamp") < lit_moment(EARLIER))
     refresh_gold(spark, silver=seen, as_of=EARLIER, location=folder, **names)
     refresh_gold(spark, silver=edits, as_of=AS_OF, location=folder, **names)
-    result = comparable(spark.read.parquet(f"{folder}/{names['user_table']}"))
+    result = comparable(spark.read.parquet(f"{folder}/{names[table]}"))
     for name in names.values():
         spark.sql(f"DROP TABLE {name}")  # external: the files stay
     return result
 
 
+def refresh_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _refreshed(spark, sf_dir, "user_table")
+
+
+def refresh_volume_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _refreshed(spark, sf_dir, "volume_table")
+
+
 QUERIES: dict[str, Query] = {
     "ingest_route_counts": ingest_route_counts,
-    "ingest_edit_messages": lambda s, d: _messages(s, d).filter(F.col("topic") == fixed.EDIT_TOPIC),
-    "ingest_page_messages": lambda s, d: _messages(s, d).filter(F.col("topic") == fixed.PAGE_TOPIC),
+    "ingest_edit_messages": lambda s, d: _messages(s, d, fixed.EDIT_TOPIC),
+    "ingest_page_messages": lambda s, d: _messages(s, d, fixed.PAGE_TOPIC),
     "bronze_edits": lambda s, d: comparable(bronze.bronze_edits(_records(s, d, fixed.EDIT_TOPIC))),
     "bronze_page_events": lambda s, d: comparable(
         bronze.bronze_page_events(_records(s, d, fixed.PAGE_TOPIC))
@@ -228,6 +238,7 @@ QUERIES: dict[str, Query] = {
     "stream_ingest": stream_ingest,
     "stream_bronze_silver": stream_bronze_silver,
     "refresh_partitions": refresh_partitions,
+    "refresh_volume_partitions": refresh_volume_partitions,
 }
 
 
