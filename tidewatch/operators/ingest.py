@@ -51,20 +51,27 @@ def may_name(value: Column, text: str) -> Column:
     return value.contains(text) | value.contains("\\")
 
 
+def _object_shaped(value: Column) -> Column:
+    """True for texts in braces.  Trimming is left for the few that are not as they stand."""
+
+    def braced(text):
+        return text.startswith("{") & text.endswith("}")
+
+    return braced(value) | braced(F.btrim(value, F.lit(JSON_BLANKS)))
+
+
 def decode(raw: DataFrame) -> DataFrame:
     """Add ``event``, the typed fields, and ``loose``, the variant of rows with a mistyped field.
 
-    Payloads that are not one JSON object are dropped.
+    Payloads that are not one JSON object are dropped, blank ones among them.
     """
-    text = F.btrim("value", F.lit(JSON_BLANKS))
     options = {**_STRICT, "columnNameOfCorruptRecord": MISTYPED}
     # The explode of one element changes no row; it keeps filters on ``event`` from being pushed
     # below the parse, where each of them would parse the text again.
     parsed = F.explode(F.array(F.from_json("value", RAW_EVENT, options)))
     mistyped = F.col(f"event.{MISTYPED}").isNotNull()
     return (
-        drop_blank(raw)
-        .filter(text.startswith("{") & text.endswith("}"))
+        raw.filter(_object_shaped(F.col("value")))
         .select("*", parsed.alias("event"))
         .withColumn("loose", F.when(mistyped, F.try_parse_json("value")))
         .filter(~mistyped | F.col("loose").isNotNull() | F.col("event.type").isNotNull())

@@ -32,14 +32,18 @@ def user_totals(activity: DataFrame) -> DataFrame:
     )
 
 
-def by_window(table: DataFrame) -> DataFrame:
+def by_window(volume: DataFrame) -> DataFrame:
     """Presentation order of the volume table."""
-    return table.orderBy("window_start")
+    return volume.orderBy("window_start")
 
 
 def by_window_and_edits(activity: DataFrame) -> DataFrame:
-    """Presentation order of the user table."""
-    return activity.orderBy("window_start", F.desc("edit_count"))
+    """Presentation order of the user table.
+
+    Ties are settled by user and flag: most rows of a busy window have an edit count of one, and
+    without a further key a range-partitioned sort would put all of them into one task.
+    """
+    return activity.orderBy("window_start", F.desc("edit_count"), "user", "bot")
 
 
 def latest_windows(volume: DataFrame, rows: int = fixed.LATEST_WINDOWS) -> DataFrame:
@@ -51,10 +55,8 @@ def editor_preview(
     granularity: str = fixed.DEFAULT_GRANULARITY,
     rows: int = fixed.PREVIEW_EDITORS,
 ) -> DataFrame:
-    """The first editors in presentation order, ties settled by user and flag."""
-    return (
-        activity.filter(F.col("window_duration") == granularity)
-        .select("window_start", "user", "bot", "edit_count", "unique_pages_edited")
-        .orderBy("window_start", F.desc("edit_count"), "user", "bot")
-        .limit(rows)
+    """The first editors in presentation order."""
+    chosen = activity.filter(F.col("window_duration") == granularity).select(
+        "window_start", "user", "bot", "edit_count", "unique_pages_edited"
     )
+    return by_window_and_edits(chosen).limit(rows)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timedelta
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from tidewatch.operators.anomaly import anomaly_summary
 from tidewatch.plans import fixture
 from tidewatch.plans.gold import gold_edit_volume, gold_edit_volume_since, refresh_gold
 from tidewatch.schemas import EDIT_MESSAGE, RECORD
-from tidewatch.session import configure, scratch_folder
+from tidewatch.session import configure, input_bytes, scratch_folder, size_shuffles
 from tidewatch.sources import raw_text, read_silver, run_sql, stream_table, topic_file_records
 from tidewatch.sources.tables import edits_since
 from tidewatch.streaming import bronze_job, ingest_job, silver_job
@@ -242,9 +243,16 @@ QUERIES: dict[str, Query] = {
 }
 
 
+@cache
+def _events_bytes(spark: SparkSession, sf_dir: str) -> int:
+    return input_bytes(spark, f"{sf_dir}/events.parquet")
+
+
 def _configured(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return query(configure(spark), sf_dir)
+        # twice the input: every edit goes into one window of each length
+        size_shuffles(configure(spark), len(fixed.GRANULARITIES) * _events_bytes(spark, sf_dir))
+        return query(spark, sf_dir)
 
     run.__doc__ = query.__doc__
     return run

@@ -7,6 +7,7 @@ import uuid
 from functools import cache
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 _RUNTIME_SETTINGS = {
     # hour, day of week, date and day boundaries are those of UTC
@@ -20,6 +21,10 @@ _RUNTIME_SETTINGS = {
 }
 
 
+# Shuffle data per task that is sorted or hashed in memory without spilling.
+SHUFFLE_TASK_BYTES = 128 * 2**20
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings above to ``spark`` and return it."""
     for key, value in _RUNTIME_SETTINGS.items():
@@ -27,6 +32,24 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def input_bytes(spark: SparkSession, *paths: str) -> int:
+    """Total size of the files at ``paths``; looks at the listing, not into the files."""
+    files = spark.read.format("binaryFile").load([*paths])
+    return files.agg(F.sum("length")).first()[0] or 0
+
+
+def size_shuffles(spark: SparkSession, data_bytes: int) -> int:
+    """Raise the number of shuffle partitions to what ``data_bytes`` needs; returns the number.
+
+    It is never lowered: with more partitions than needed, small ones are merged at run time, but
+    too few of them spill.
+    """
+    key = "spark.sql.shuffle.partitions"
+    partitions = max(int(spark.conf.get(key)), -(-data_bytes // SHUFFLE_TASK_BYTES))
+    spark.conf.set(key, partitions)
+    return partitions
+
+
 @cache
 def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="run-", dir="/tmp")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.schemas import RECORD, TOPIC_MESSAGE
+from tidewatch.sources.tables import reader_for
 
 # Security and offset settings of the message bus.
 KAFKA_DEFAULTS = {
@@ -38,7 +39,7 @@ def raw_text(
     spark: SparkSession, path: str, stream: bool = False, **options: str | int
 ) -> DataFrame:
     """Raw events from text files, one JSON text per line, in a column ``value``."""
-    return (spark.readStream if stream else spark.read).options(**options).text(path)
+    return reader_for(spark, stream, options).text(path)
 
 
 def topic_file_records(
@@ -48,8 +49,8 @@ def topic_file_records(
 
     Files have no offset and partition, so both are null; the timestamp is the file's.
     """
-    reader = (spark.readStream if stream else spark.read).schema(TOPIC_MESSAGE).options(**options)
-    return reader.parquet(path).filter(F.col("topic") == topic).select(
+    rows = reader_for(spark, stream, options).schema(TOPIC_MESSAGE).parquet(path)
+    return rows.filter(F.col("topic") == topic).select(
         F.col("value").cast("binary").alias("value"),
         F.col("_metadata.file_modification_time").alias("timestamp"),
         F.lit(None).cast("bigint").alias("offset"),

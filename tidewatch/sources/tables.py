@@ -6,8 +6,9 @@ from collections.abc import Mapping
 from datetime import date
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamReader
 from pyspark.sql.types import StructType
 
 from tidewatch.functions import lit_moment
@@ -16,6 +17,22 @@ from tidewatch.functions import lit_moment
 SILVER_PARTITION = "edit_date"
 
 
+# Input of one micro-batch of a file stream unless the caller sets a limit: a replay of a large
+# table then runs as many batches, and a failure repeats one of them only.
+BATCH_BYTES = 2**40
+
+
+def reader_for(
+    spark: SparkSession, stream: bool, options: Mapping[str, str | int]
+) -> DataFrameReader | DataStreamReader:
+    """A batch or stream reader for files, the latter with a bounded micro-batch."""
+    if not stream:
+        return spark.read.options(**options)
+    limits = {"maxFilesPerTrigger", "maxBytesPerTrigger"} & options.keys()
+    bound = {} if limits else {"maxBytesPerTrigger": BATCH_BYTES}
+    return spark.readStream.options(**bound, **options)
+
+
 def read_table(
     spark: SparkSession, table: str | None = None, path: str | None = None, fmt: str = "parquet"
 ) -> DataFrame:
@@ -31,8 +48,8 @@ def stream_table(
     **options: str | int,
 ) -> DataFrame:
     """An append-only table, by name or folder, as a stream.  A file format read by folder needs
-    its schema; ``maxFilesPerTrigger`` bounds the micro-batches."""
-    reader = spark.readStream.options(**options)
+    its schema."""
+    reader = reader_for(spark, True, options)
     if table:
         return reader.table(table)
     reader = reader.format(fmt)
