@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 
 from tidewatch import session
@@ -36,11 +38,12 @@ def test_shuffles_are_sized_upwards_only(spark):
         assert session.size_shuffles(spark, 10) == int(before)
         assert session.size_shuffles(spark, 10 * session.SHUFFLE_TASK_BYTES * 10 + 1) == 101
         assert session.size_shuffles(spark, 0) == 101
+        assert session.size_shuffles(spark, 10**18) == session.MAX_SHUFFLE_PARTITIONS
     finally:
         spark.conf.set(key, before)
 
 
-def test_input_bytes(spark, folder):
-    (open(f"{folder}/a", "w")).write("12345")
-    (open(f"{folder}/b", "w")).write("678")
-    assert session.input_bytes(spark, f"{folder}/a", f"{folder}/b") == 8
+def test_scan_bytes(spark, folder):
+    spark.range(100_000).write.parquet(f"{folder}/t")
+    size = sum(file.stat().st_size for file in Path(f"{folder}/t").glob("*.parquet"))
+    assert session.scan_bytes(spark.read.parquet(f"{folder}/t")) == pytest.approx(size, rel=0.01)

@@ -21,7 +21,7 @@ from tidewatch.operators.anomaly import anomaly_summary
 from tidewatch.plans import fixture
 from tidewatch.plans.gold import gold_edit_volume, gold_edit_volume_since, refresh_gold
 from tidewatch.schemas import EDIT_MESSAGE, RECORD
-from tidewatch.session import configure, input_bytes, scratch_folder, size_shuffles
+from tidewatch.session import configure, scan_bytes, scratch_folder, size_shuffles
 from tidewatch.sources import raw_text, read_silver, run_sql, stream_table, topic_file_records
 from tidewatch.sources.tables import edits_since
 from tidewatch.streaming import bronze_job, ingest_job, silver_job
@@ -245,7 +245,7 @@ QUERIES: dict[str, Query] = {
 
 @cache
 def _events_bytes(spark: SparkSession, sf_dir: str) -> int:
-    return input_bytes(spark, f"{sf_dir}/events.parquet")
+    return scan_bytes(fixture.load_events(spark, sf_dir))
 
 
 def _configured(query: Query) -> Query:

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import cache
 
-from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 _RUNTIME_SETTINGS = {
     # hour, day of week, date and day boundaries are those of UTC
@@ -23,6 +23,10 @@ _RUNTIME_SETTINGS = {
 
 # Shuffle data per task that is sorted or hashed in memory without spilling.
 SHUFFLE_TASK_BYTES = 128 * 2**20
+# Beyond this many, keeping track of the shuffle blocks costs the driver more than spilling does.
+MAX_SHUFFLE_PARTITIONS = 32_768
+
+_UNITS = ("B", "KiB", "MiB", "GiB", "TiB", "PiB", "EiB")
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -32,10 +36,11 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def input_bytes(spark: SparkSession, *paths: str) -> int:
-    """Total size of the files at ``paths``; looks at the listing, not into the files."""
-    files = spark.read.format("binaryFile").load([*paths])
-    return files.agg(F.sum("length")).first()[0] or 0
+def scan_bytes(frame: DataFrame) -> int:
+    """Estimated size of what ``frame`` reads, from the file listing; runs no job."""
+    plan = frame.sparkSession.sql("EXPLAIN COST SELECT * FROM {frame}", frame=frame).first()[0]
+    number, unit = re.search(r"sizeInBytes=([\d.]+(?:E\+?\d+)?) (\w+)", plan).groups()
+    return int(float(number) * 1024 ** _UNITS.index(unit))
 
 
 def size_shuffles(spark: SparkSession, data_bytes: int) -> int:
@@ -45,7 +50,8 @@ def size_shuffles(spark: SparkSession, data_bytes: int) -> int:
     too few of them spill.
     """
     key = "spark.sql.shuffle.partitions"
-    partitions = max(int(spark.conf.get(key)), -(-data_bytes // SHUFFLE_TASK_BYTES))
+    needed = min(-(-data_bytes // SHUFFLE_TASK_BYTES), MAX_SHUFFLE_PARTITIONS)
+    partitions = max(int(spark.conf.get(key)), needed)
     spark.conf.set(key, partitions)
     return partitions
 
