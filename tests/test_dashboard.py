@@ -154,7 +154,8 @@ def test_latest_windows(spark):
 def test_reports(spark):
     gold = gold_edit_volume(spiky(spark))
     assert tuple(reports.volume_totals(gold).first()) == (26, gold.filter("is_anomaly").count())
-    counts = {row.window_duration: row["count"] for row in reports.rows_per_granularity(gold).collect()}
+    rows = reports.rows_per_granularity(gold).collect()
+    counts = {row.window_duration: row["count"] for row in rows}
     assert counts == {"1min": 21, "5min": 5}
     span = reports.time_range(spiky(spark)).first()
     assert (span.earliest, span.latest) == (moment(0), moment(1229))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from datetime import UTC, date, datetime, timedelta, timezone
+from pathlib import Path
 
 import pytest
 from pyspark.errors import PySparkException
@@ -38,7 +39,8 @@ def rows_of(spark, table):
 
 
 def days(spark, table):
-    return {str(row.date): row["count"] for row in spark.table(table).groupBy("date").count().collect()}
+    rows = spark.table(table).groupBy("date").count().collect()
+    return {str(row.date): row["count"] for row in rows}
 
 
 def on_days(spark, *numbers, **fields):
@@ -166,3 +168,13 @@ def test_hot_date_is_written_whole(spark, names):
     assert days(spark, table) == {"1970-01-08": 1, "1970-01-09": 1400}
     replace_dates(frame, table, START)
     assert days(spark, table) == {"1970-01-08": 1, "1970-01-09": 1400}
+
+
+def test_one_file_per_small_date(spark, names, folder):
+    table, where = names["user_table"], f"{folder}/t"
+    rows = [{"t": (7 + n % 3) * DAY + n, "user": f"u{n}"} for n in range(600)]
+    frame = user_activity(silver_rows(spark, rows).repartition(8))
+    create_table(frame, table, path=where)
+    assert [len([*day.glob("*.parquet")]) for day in Path(where).glob("date=*")] == [1, 1, 1]
+    replace_dates(frame, table, START)
+    assert [len([*day.glob("*.parquet")]) for day in Path(where).glob("date=*")] == [1, 1, 1]

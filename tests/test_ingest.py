@@ -97,7 +97,12 @@ def test_edit_payload_is_flat_and_complete(spark):
     topic, key, body = one(
         spark,
         event(
-            id=5, title='a "b" é\n', bot=True, length={"old": 1, "new": 2}, revision={"new": 9}, x=1
+            id=5,
+            title='a "b" é\n',
+            bot=True,
+            length={"old": 1, "new": 2},
+            revision={"new": 9},
+            x=1,
         ),
     )
     assert (topic, key) == ("wiki_edits", "5")
@@ -153,7 +158,8 @@ def test_mistyped_fields_are_passed_on(spark):
 
 
 def test_repeated_key_takes_the_last_value(spark):
-    assert one(spark, '{"server_name": "en.wikipedia.org", "type": "edit", "id": 1, "id": 2}')[1] == "2"
+    text = '{"server_name": "en.wikipedia.org", "type": "edit", "id": 1, "id": 2}'
+    assert one(spark, text)[1] == "2"
 
 
 def test_site_and_topics_are_parameters(spark):

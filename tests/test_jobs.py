@@ -22,8 +22,8 @@ MADE = (fixed.BRONZE_EDITS_TABLE, fixed.SILVER_TABLE, fixed.VOLUME_TABLE, fixed.
 @pytest.fixture
 def bronze_table(spark, folder):
     lines = [
-        f'{{"id":{n},"timestamp":{172_800 + 30 * n},"user":"u{n % 4}","bot":{str(n % 2 == 0).lower()},'
-        f'"title":"p","length_old":1,"length_new":{n},"comment":"rv"}}'
+        f'{{"id":{n},"timestamp":{172_800 + 30 * n},"user":"u{n % 4}","title":"p",'
+        f'"bot":{("false", "true")[n % 2]},"length_old":1,"length_new":{n},"comment":"rv"}}'
         for n in range(100)
     ]
     records = spark.createDataFrame([(text.encode(), moment(0), 0, 0) for text in lines], RECORD)

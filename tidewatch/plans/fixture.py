@@ -6,7 +6,7 @@ operators, so that the same rows can be derived in another SQL engine.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch import fixed
@@ -60,18 +60,21 @@ def raw_events(events: DataFrame) -> DataFrame:
         kind = F.when(number % 10 == remainder, name).otherwise(kind)
     is_log = number % 10 == 8
     site = F.when(number % 13 == 0, OTHER_SITE).when(number % 29 != 0, F.col("server_name"))
+
+    def pair(name: str) -> Column:
+        old, new = F.col(f"{name}_old"), F.col(f"{name}_new")
+        return F.struct(old.alias("old"), new.alias("new")).alias(name)
+
     event = F.struct(
         kind.alias("type"),
         "id", "title", "wiki", "namespace", "user", "bot", "minor", "timestamp", "comment",
-        F.struct(F.col("length_old").alias("old"), F.col("length_new").alias("new")).alias("length"),
-        F.struct(F.col("revision_old").alias("old"), F.col("revision_new").alias("new")).alias(
-            "revision"
-        ),
+        pair("length"),
+        pair("revision"),
         F.when(is_log, "delete").alias("log_type"),
         F.when(is_log, "restore").alias("log_action"),
         site.alias("server_name"),
     )
     text = F.to_json(event, {"ignoreNullFields": "false"})
-    # one row out per row in: without the explode, Catalyst would write the JSON text anew for every
-    # later expression that reads it
+    # one row out per row in: without the explode, Catalyst would write the JSON text anew for
+    # every later expression that reads it
     return edits(events).select(F.explode(F.array(text)).alias("value"))

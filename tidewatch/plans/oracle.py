@@ -214,6 +214,8 @@ recent AS (SELECT * FROM silver WHERE edit_timestamp >= TIMESTAMP '{LOOKBACK}'),
   WHERE window_duration = '1min' AND {SINCE} ORDER BY window_start""",
     "user_slice": f"""{USERS} SELECT {USER_COLUMNS} FROM activity
   WHERE window_duration = '5min' AND {SINCE} ORDER BY window_start, edit_count DESC""",
+    "user_slice_sql": f"""{USERS} SELECT {USER_COLUMNS} FROM activity
+  WHERE window_duration = '1min' AND {SINCE} ORDER BY window_start, edit_count DESC""",
     "kpis": f"""{ROWS} SELECT count(*) AS windows, CAST(sum(total_edits) AS BIGINT) AS total_edits,
   count(*) FILTER (WHERE is_anomaly) AS anomalous_windows,
   round(avg(bot_ratio), 6) AS avg_bot_ratio, max(total_edits) AS peak_edits,

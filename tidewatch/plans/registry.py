@@ -124,6 +124,19 @@ def volume_slice_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_sql(spark, text, args, volume=_volume(spark, sf_dir))
 
 
+def user_slice_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The user slice as SQL text over the gold table."""
+    text = f"""
+        SELECT {", ".join(dashboard.USER_COLUMNS)}
+        FROM {{activity}}
+        WHERE window_duration = :granularity
+          AND date >= CAST(:since AS DATE) AND window_start >= CAST(:since AS TIMESTAMP)
+        ORDER BY window_start, edit_count DESC, user, bot
+    """
+    args = {"granularity": "1min", "since": str(SLICE)}
+    return run_sql(spark, text, args, activity=_users(spark, sf_dir))
+
+
 def anomaly_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dashboard.users_in_anomalies(_user_rows(spark, sf_dir), _volume_rows(spark, sf_dir))
 
@@ -228,6 +241,7 @@ QUERIES: dict[str, Query] = {
     "user_slice": lambda s, d: comparable(
         reports.by_window_and_edits(dashboard.user_slice(_users(s, d), SLICE))
     ),
+    "user_slice_sql": lambda s, d: comparable(user_slice_sql(s, d)),
     "kpis": lambda s, d: comparable(dashboard.key_figures(_volume_rows(s, d))),
     "slice_users": lambda s, d: dashboard.distinct_users(_user_rows(s, d)),
     "volume_series": lambda s, d: comparable(dashboard.volume_series(_volume_rows(s, d))),

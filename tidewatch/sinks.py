@@ -46,12 +46,12 @@ def append_stream(
     path: str | None = None,
     fmt: str = "parquet",
     partition_by: Iterable[str] = (),
-    evolve: bool = True,
+    evolve: bool = False,
 ) -> StreamingQuery:
     """Start appending what ``stream`` has now to a table or folder; stops when that is done.
 
-    Progress is kept in ``checkpoint``, so a rerun takes up new input only.  With ``evolve`` off, a
-    target of another schema is refused before anything is written.
+    Progress is kept in ``checkpoint``, so a rerun takes up new input only.  A target of another
+    schema is refused before anything is written, unless ``evolve`` is set.
     """
     if not evolve:
         known = _existing_schema(stream.sparkSession, table, path, fmt)
@@ -99,8 +99,15 @@ def await_all(queries: Iterable[StreamingQuery]) -> None:
 
 def create_table(frame: DataFrame, table: str, fmt: str = "parquet", **options: str) -> None:
     """Write the whole table, partitioned by date, with whatever schema ``frame`` has."""
-    writer = frame.hint("rebalance", "date").write.format(fmt).partitionBy("date").options(**options)
-    writer.mode("overwrite").option("overwriteSchema", "true").saveAsTable(table)
+    (
+        frame.hint("rebalance", "date")
+        .write.format(fmt)
+        .partitionBy("date")
+        .mode("overwrite")
+        .option("overwriteSchema", "true")
+        .options(**options)
+        .saveAsTable(table)
+    )
 
 
 @contextmanager
@@ -118,7 +125,8 @@ def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
 
 def _dates_from(spark: SparkSession, table: str, start: date) -> list[date]:
     """Existing partitions from ``start`` on: one short row per day, from the catalog."""
-    values = (row.partition.split("=", 1)[1] for row in spark.sql(f"SHOW PARTITIONS {table}").collect())
+    partitions = spark.sql(f"SHOW PARTITIONS {table}").collect()
+    values = (row.partition.split("=", 1)[1] for row in partitions)
     dates = (date.fromisoformat(value) for value in values if value[:1].isdigit())
     return sorted(day for day in dates if day >= start)
 

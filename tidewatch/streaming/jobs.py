@@ -75,7 +75,6 @@ def silver_job(
         checkpoint,
         fmt=fmt,
         partition_by=[SILVER_PARTITION],
-        evolve=False,
         **(target or {"table": fixed.SILVER_TABLE}),
     )
     await_all([query])
