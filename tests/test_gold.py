@@ -178,3 +178,12 @@ def test_one_file_per_small_date(spark, names, folder):
     assert [len([*day.glob("*.parquet")]) for day in Path(where).glob("date=*")] == [1, 1, 1]
     replace_dates(frame, table, START)
     assert [len([*day.glob("*.parquet")]) for day in Path(where).glob("date=*")] == [1, 1, 1]
+
+
+def test_files_are_sorted_within(spark, names, folder):
+    rows = [{"t": 8 * DAY + 60 * (n * 37 % 500), "user": f"u{n}"} for n in range(500)]
+    frame = user_activity(silver_rows(spark, rows).repartition(8))
+    create_table(frame, names["user_table"], path=f"{folder}/t")
+    stored = spark.read.parquet(f"{folder}/t").coalesce(1)
+    keys = [(row.window_duration, row.window_start) for row in stored.collect()]
+    assert len(keys) == 1000 and keys == sorted(keys)

@@ -2,41 +2,63 @@
 
 from __future__ import annotations
 
+import json
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 
-from tests.helpers import moment, silver_rows
+from tests.helpers import silver_rows
 from tidewatch import fixed
 from tidewatch.__main__ import main
-from tidewatch.operators.bronze import bronze_edits
 from tidewatch.operators.windows import user_activity
 from tidewatch.plans.gold import gold_edit_volume
 from tidewatch.plans.page import dashboard_page
-from tidewatch.schemas import RECORD
 
 AS_OF = "1970-01-03T06:00:00"
-MADE = (fixed.BRONZE_EDITS_TABLE, fixed.SILVER_TABLE, fixed.VOLUME_TABLE, fixed.USER_TABLE)
+MADE = (
+    fixed.BRONZE_EDITS_TABLE,
+    fixed.BRONZE_PAGE_TABLE,
+    fixed.SILVER_TABLE,
+    fixed.VOLUME_TABLE,
+    fixed.USER_TABLE,
+)
 
 
 @pytest.fixture
-def bronze_table(spark, folder):
-    lines = [
-        f'{{"id":{n},"timestamp":{172_800 + 30 * n},"user":"u{n % 4}","title":"p",'
-        f'"bot":{("false", "true")[n % 2]},"length_old":1,"length_new":{n},"comment":"rv"}}'
-        for n in range(100)
-    ]
-    records = spark.createDataFrame([(text.encode(), moment(0), 0, 0) for text in lines], RECORD)
-    bronze_edits(records).write.option("path", f"{folder}/b").saveAsTable(fixed.BRONZE_EDITS_TABLE)
-    yield
+def feed(spark, folder):
+    """A recorded event stream: 100 edits and one page event."""
+    lines = []
+    for n in range(101):
+        event = {
+            "type": "log" if n == 100 else "edit",
+            "server_name": fixed.SITE,
+            "id": n,
+            "timestamp": 172_800 + 30 * n,
+            "user": f"u{n % 4}",
+            "bot": n % 2 == 0,
+            "title": "p",
+            "length": {"old": 1, "new": n},
+            "comment": "rv",
+        }
+        lines += ["event: message", f"id: {n}", f"data: {json.dumps(event)}", ""]
+    Path(folder, "feed").mkdir()
+    Path(folder, "feed", "a.txt").write_text("\n".join([":ok", *lines]))
+    yield f"{folder}/feed"
     for name in MADE:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
-def test_silver_gold_report_page(spark, folder, bronze_table, capsys):
+def test_all_jobs_in_a_row(spark, folder, feed, capsys):
+    topics, checkpoint = f"{folder}/topics", f"{folder}/ck"
     for _ in range(2):
-        main(["silver", "--checkpoint", f"{folder}/ck"])
+        words = ["--topics", topics, "--checkpoint"]
+        main(["ingest", "--feed", feed, "--sse", *words, f"{checkpoint}/ingest"])
+        main(["bronze", *words, f"{checkpoint}/bronze", "--option", "maxFilesPerTrigger=5"])
+        main(["silver", "--checkpoint", f"{checkpoint}/silver"])
         main(["gold", "--as-of", AS_OF])
+    assert spark.table(fixed.BRONZE_EDITS_TABLE).count() == 100
+    assert spark.table(fixed.BRONZE_PAGE_TABLE).count() == 1
     assert spark.table(fixed.SILVER_TABLE).count() == 100
     assert spark.table(fixed.VOLUME_TABLE).count() == 50 + 10
     main(["gold", "--as-of", AS_OF, "--warm"])
@@ -49,9 +71,10 @@ def test_silver_gold_report_page(spark, folder, bronze_table, capsys):
     assert "namespace_label" in shown and "distinct_users" in shown and "avg_bot_ratio" in shown
 
 
-def test_bronze_needs_servers():
-    with pytest.raises(SystemExit):
-        main(["bronze", "--checkpoint", "x"])
+def test_topics_are_on_servers_or_in_files():
+    for words in ([], ["--servers", "s", "--topics", "t"]):
+        with pytest.raises(SystemExit):
+            main(["bronze", "--checkpoint", "x", *words])
 
 
 def test_page(spark):

@@ -1,12 +1,14 @@
 """Command line of the jobs, for ``spark-submit`` or ``python -m tidewatch``.
 
-    bronze  --servers HOST:PORT [--option key=value ...] --checkpoint DIR
+    ingest  --feed DIR [--sse] (--servers HOST:PORT | --topics DIR) --checkpoint DIR
+    bronze  (--servers HOST:PORT | --topics DIR) --checkpoint DIR
     silver  --checkpoint DIR
     gold    [--as-of TIME] [--warm]
     report  [--as-of TIME]
     page    [--as-of TIME] [--hours N] [--granularity 1min|5min]
 
-The tables go by their usual names; ``--format`` chooses their format.
+Topics are those of a message bus (``--servers``, with ``--option key=value`` for the connector) or
+folders of files (``--topics``).  Tables go by their usual names; ``--format`` chooses their format.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ import argparse
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from tidewatch import fixed
 from tidewatch.functions import lookback_start
@@ -24,8 +26,17 @@ from tidewatch.operators.anomaly import anomaly_summary
 from tidewatch.plans.gold import refresh_gold
 from tidewatch.plans.page import dashboard_page
 from tidewatch.session import configure
-from tidewatch.sources import kafka_options, kafka_records, read_silver, read_table, stream_table
-from tidewatch.streaming import bronze_job, silver_job
+from tidewatch.sources import (
+    kafka_options,
+    kafka_records,
+    raw_text,
+    read_silver,
+    read_table,
+    sse_payloads,
+    stream_table,
+    topic_file_records,
+)
+from tidewatch.streaming import bronze_job, ingest_job, silver_job
 
 
 def _arguments(words: Sequence[str] | None) -> argparse.Namespace:
@@ -33,10 +44,16 @@ def _arguments(words: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument("--format", default="parquet")
     commands = parser.add_subparsers(dest="command", required=True)
 
+    ingest = commands.add_parser("ingest", help="raw event files -> topics")
+    ingest.add_argument("--feed", required=True, help="folder of text files")
+    ingest.add_argument("--sse", action="store_true", help="files are a recorded event stream")
     bronze = commands.add_parser("bronze", help="topics -> bronze tables")
-    bronze.add_argument("--servers", required=True)
-    bronze.add_argument("--option", action="append", default=[], metavar="KEY=VALUE")
-    bronze.add_argument("--checkpoint", required=True)
+    for command in (ingest, bronze):
+        topics = command.add_mutually_exclusive_group(required=True)
+        topics.add_argument("--servers")
+        topics.add_argument("--topics")
+        command.add_argument("--option", action="append", default=[], metavar="KEY=VALUE")
+        command.add_argument("--checkpoint", required=True)
 
     features = commands.add_parser("silver", help="bronze edits -> silver table")
     features.add_argument("--checkpoint", required=True)
@@ -52,6 +69,19 @@ def _arguments(words: Sequence[str] | None) -> argparse.Namespace:
     return parser.parse_args(words)
 
 
+def _topic_sink(given: argparse.Namespace) -> dict[str, str]:
+    if given.topics:
+        return {"fmt": "parquet", "path": given.topics, **given.option}
+    settings = kafka_options(given.servers, **given.option)
+    return {"fmt": "kafka", **{k: v for k, v in settings.items() if k.startswith("kafka.")}}
+
+
+def _records(spark: SparkSession, given: argparse.Namespace, topic: str) -> DataFrame:
+    if given.topics:
+        return topic_file_records(spark, given.topics, topic, stream=True, **given.option)
+    return kafka_records(spark, topic, kafka_options(given.servers, **given.option))
+
+
 def _report(spark: SparkSession, as_of: datetime | None) -> None:
     recent = read_silver(spark, fixed.SILVER_TABLE, start=lookback_start(as_of))
     edits = read_silver(spark, fixed.SILVER_TABLE)
@@ -74,11 +104,17 @@ def _report(spark: SparkSession, as_of: datetime | None) -> None:
 def main(words: Sequence[str] | None = None) -> None:
     given = _arguments(words)
     spark = configure(SparkSession.builder.appName(f"tidewatch {given.command}").getOrCreate())
-    if given.command == "bronze":
-        options = kafka_options(given.servers, **dict(o.split("=", 1) for o in given.option))
+    if given.command in ("ingest", "bronze"):
+        given.option = dict(option.split("=", 1) for option in given.option)
+    if given.command == "ingest":
+        lines = raw_text(spark, given.feed, stream=True)
+        ingest_job(
+            sse_payloads(lines) if given.sse else lines, given.checkpoint, **_topic_sink(given)
+        )
+    elif given.command == "bronze":
         bronze_job(
-            kafka_records(spark, fixed.EDIT_TOPIC, options),
-            kafka_records(spark, fixed.PAGE_TOPIC, options),
+            _records(spark, given, fixed.EDIT_TOPIC),
+            _records(spark, given, fixed.PAGE_TOPIC),
             given.checkpoint,
             fmt=given.format,
         )

@@ -2,6 +2,7 @@ from tidewatch.sources.messages import (
     kafka_options,
     kafka_records,
     raw_text,
+    sse_payloads,
     topic_file_records,
 )
 from tidewatch.sources.tables import read_silver, read_table, run_sql, stream_table
@@ -13,6 +14,7 @@ __all__ = [
     "read_silver",
     "read_table",
     "run_sql",
+    "sse_payloads",
     "stream_table",
     "topic_file_records",
 ]

@@ -42,6 +42,15 @@ def raw_text(
     return reader_for(spark, stream, options).text(path)
 
 
+def sse_payloads(lines: DataFrame) -> DataFrame:
+    """The event texts in a recorded server-sent event stream: what follows ``data:`` in ``value``.
+
+    Other lines (event names, ids, comments, blanks) are dropped.  An event has one data line.
+    """
+    payload = F.regexp_extract("value", "^data: ?(.*)$", 1)
+    return lines.filter(F.col("value").startswith("data:")).select(payload.alias("value"))
+
+
 def topic_file_records(
     spark: SparkSession, path: str, topic: str, stream: bool = False, **options: str | int
 ) -> DataFrame:
