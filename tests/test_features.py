@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewatch.operators import bronze, silver
-from tidewatch.schemas import EDIT_MESSAGE, RECORD
+from tidewatch.schemas import BRONZE_EDITS, BRONZE_PAGE_EVENTS, EDIT_MESSAGE, RECORD
 
 ARRIVED = datetime(2024, 1, 2, 3, 4, 5)
 
@@ -36,6 +36,13 @@ def test_bronze_keeps_every_record(spark):
         "partition",
         "ingested_at",
     ]
+    for frame, schema in (
+        (rows, BRONZE_EDITS),
+        (bronze.bronze_page_events(records(spark)), BRONZE_PAGE_EVENTS),
+    ):
+        assert [(f.name, f.dataType) for f in frame.schema] == [
+            (f.name, f.dataType) for f in schema
+        ]
     broken, mistyped, good = rows.orderBy("offset").collect()
     assert [broken[name] for name in EDIT_MESSAGE.names] == [None] * 14
     assert (mistyped.id, mistyped.bot, mistyped.timestamp) == (None, False, 1)

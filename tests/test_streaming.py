@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tests.helpers import silver_rows
 from tidewatch.operators import bronze, ingest, silver
+from tidewatch.schemas import BRONZE_EDITS
 from tidewatch.sinks import append_stream, await_all
 from tidewatch.sources import (
     kafka_options,
@@ -61,8 +62,7 @@ def run_all(spark, folder):
         {"path": f"{folder}/edits"},
         {"path": f"{folder}/pages"},
     )
-    schema = bronze.bronze_edits(records("wiki_edits")).schema
-    appended = stream_table(spark, path=f"{folder}/edits", schema=schema)
+    appended = stream_table(spark, path=f"{folder}/edits", schema=BRONZE_EDITS)
     silver_job(appended, f"{folder}/ck/silver", {"path": f"{folder}/silver"})
 
 
@@ -152,9 +152,7 @@ def test_named_tables(spark, folder):
 def test_silver_schema_may_not_change(spark, folder):
     add_file(folder, "a.json", raw_line(1))
     run_all(spark, folder)
-    edits = stream_table(
-        spark, path=f"{folder}/edits", schema=read_table(spark, path=f"{folder}/edits").schema
-    )
+    edits = stream_table(spark, path=f"{folder}/edits", schema=BRONZE_EDITS)
     with pytest.raises(ValueError, match="extra"):
         silver_job(
             edits.withColumn("extra", F.lit(1)), f"{folder}/ck/other", {"path": f"{folder}/silver"}

@@ -20,7 +20,7 @@ from tidewatch.operators import bronze, dashboard, ingest, reports, silver, wind
 from tidewatch.operators.anomaly import anomaly_summary
 from tidewatch.plans import fixture
 from tidewatch.plans.gold import gold_edit_volume, gold_edit_volume_since, refresh_gold
-from tidewatch.schemas import EDIT_MESSAGE, RECORD
+from tidewatch.schemas import BRONZE_EDITS, EDIT_MESSAGE, RECORD
 from tidewatch.session import configure, scan_bytes, scratch_folder, size_shuffles
 from tidewatch.sources import raw_text, read_silver, run_sql, stream_table, topic_file_records
 from tidewatch.sources.tables import edits_since
@@ -171,8 +171,7 @@ def stream_bronze_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
         {"path": f"{folder}/edits"},
         {"path": f"{folder}/pages"},
     )
-    schema = bronze.bronze_edits(records(fixed.EDIT_TOPIC)).schema
-    appended = stream_table(spark, path=f"{folder}/edits", schema=schema)
+    appended = stream_table(spark, path=f"{folder}/edits", schema=BRONZE_EDITS)
     silver_job(appended, f"{folder}/checkpoints/silver", {"path": f"{folder}/silver"})
     return comparable(read_silver(spark, path=f"{folder}/silver"))
 

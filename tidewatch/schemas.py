@@ -52,7 +52,7 @@ PAGE_MESSAGE = _struct(
     server_name=TEXT,
 )
 
-# Message fields that sit one level down in the raw event.
+# Message fields that sit one level down in the raw event.
 NESTED_FIELDS = {
     "length_old": "length.old",
     "length_new": "length.new",
@@ -84,5 +84,12 @@ RAW_EVENT = _struct(
 # What a message source delivers, whatever the connector.
 RECORD = _struct(value=BinaryType(), timestamp=TimestampType(), offset=LONG, partition=INT)
 
+# The bronze tables: a message, where and when it came from, and when it was taken in.
+_ARRIVAL = _struct(
+    kafka_timestamp=TimestampType(), offset=LONG, partition=INT, ingested_at=TimestampType()
+)
+BRONZE_EDITS = StructType(EDIT_MESSAGE.fields + _ARRIVAL.fields)
+BRONZE_PAGE_EVENTS = StructType(PAGE_MESSAGE.fields + _ARRIVAL.fields)
+
 # What the topic sink takes.
 TOPIC_MESSAGE = _struct(topic=TEXT, key=TEXT, value=TEXT)
