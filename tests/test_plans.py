@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import pytest
 
+from tidewatch.operators import ingest
 from tidewatch.operators.windows import user_activity
+from tidewatch.plans import fixture
 from tidewatch.plans.gold import gold_edit_volume
 from tidewatch.plans.registry import QUERIES, _silver, registered
+from tidewatch.streaming import silver_stream
 
 SF_DIR = "/root/testdata/sf0.001"
 WRITING = {name for name in QUERIES if name.startswith(("stream", "refresh"))}
@@ -41,3 +44,10 @@ def test_activity_combines_before_each_shuffle(spark):
     plan = physical(user_activity(_silver(spark, SF_DIR)))
     assert plan.count("FileScan") == 1 and plan.count("Exchange hashpartitioning(") == 2
     assert "partial_count(1)" in plan and "partial_count(distinct title" in plan
+
+
+def test_stream_steps_do_not_shuffle(spark):
+    edits = fixture.edits(fixture.load_events(spark, SF_DIR))
+    sent = ingest.messages(fixture.raw_events(fixture.load_events(spark, SF_DIR)))
+    for frame in (silver_stream(edits), sent):
+        assert "Exchange" not in physical(frame)

@@ -101,6 +101,17 @@ def test_end_to_end_and_rerun(spark, folder):
     assert streamed.filter("ingested_at IS NULL OR silver_processed_at IS NULL").isEmpty()
 
 
+def test_replay_is_cut_into_batches(spark, folder):
+    for name in ("a.json", "b.json", "c.json"):
+        add_file(folder, name, raw_line(1))
+    for limit, batches in (({"maxBytesPerTrigger": 1}, 3), ({}, 1)):
+        raw = raw_text(spark, f"{folder}/raw", stream=True, **limit)
+        checkpoint = f"{folder}/ck{batches}"
+        ingest_job(raw, checkpoint, fmt="parquet", path=f"{folder}/topics{batches}")
+        assert len([*Path(checkpoint, "commits").glob("[0-9]*")]) == batches
+        assert spark.read.parquet(f"{folder}/topics{batches}").count() == 3
+
+
 def test_bronze_keeps_source_metadata(spark, folder):
     add_file(folder, "a.json", raw_line(1))
     run_all(spark, folder)
