@@ -187,3 +187,13 @@ def test_files_are_sorted_within(spark, names, folder):
     stored = spark.read.parquet(f"{folder}/t").coalesce(1)
     keys = [(row.window_duration, row.window_start) for row in stored.collect()]
     assert len(keys) == 1000 and keys == sorted(keys)
+
+
+def test_absurd_future_date_is_carried_along(spark, names):
+    far = silver_rows(spark, [{"t": 1.7e12}, {"t": 9.2e12}])
+    for silver in (on_days(spark, 8).union(far), on_days(spark, 8, 9).union(far)):
+        refresh_gold(spark, silver=silver, as_of=AS_OF, **names)
+    counts = spark.table(names["user_table"]).groupBy(F.col("date").cast("string")).count()
+    found = {day: n for day, n in counts.collect()}
+    assert len(found) == 4 and set(found.values()) == {2}
+    assert {"1970-01-08", "1970-01-09"} < found.keys()

@@ -28,13 +28,15 @@ def _expand(edits: DataFrame, granularities: Mapping[str, int]) -> DataFrame:
 
 
 def _window_columns(granularities: Mapping[str, int]) -> list[Column]:
-    start, seconds = F.col("window_epoch"), F.col("window_seconds")
+    # casts, as timestamp_seconds raises on the end of a window at the far end of time
+    epoch, seconds = F.col("window_epoch"), F.col("window_seconds")
+    start = epoch.cast("timestamp")
     labels = [F.lit(part) for label, length in granularities.items() for part in (length, label)]
     return [
-        F.timestamp_seconds(start).alias("window_start"),
-        F.timestamp_seconds(start + seconds).alias("window_end"),
+        start.alias("window_start"),
+        (epoch + seconds).cast("timestamp").alias("window_end"),
         F.try_element_at(F.create_map(*labels), seconds).alias("window_duration"),
-        F.to_date(F.timestamp_seconds(start)).alias("date"),
+        F.to_date(start).alias("date"),
     ]
 
 
