@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tidewatch.llm import chat, exact
+from tidewatch.llm import chat, exact, tokenfile
 from tidewatch.llm.common import Query
 
 QUERIES: dict[str, Query] = {
     "op1_chat_snapshots": chat.op1_chat_snapshots,
+    "op2_token_file": tokenfile.op2_token_file,
     "op5_exact_dedup": exact.op5_exact_dedup,
 }
 
