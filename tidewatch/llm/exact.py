@@ -49,16 +49,15 @@ def _grouped(docs: DataFrame, prefix_chars: int, hash_all: bool) -> DataFrame:
     )
     rows = rows.withColumn("length", F.octet_length("norm"))
     by_length = rows.groupBy("length").count().where("count > 1").select("length")
-    prefix = F.xxhash64(F.substring("norm", 1, prefix_chars)).alias("prefix")
-    same_length = rows.select("length", prefix).join(by_length, "length", "left_semi")
+    rows = rows.withColumn("prefix", F.xxhash64(F.substring("norm", 1, prefix_chars)))
+    # Combined before the test of the length, so that a frequent length is few rows there.
+    by_prefix = rows.groupBy("length", "prefix").count()
     shared = (
-        same_length.groupBy("length", "prefix")
-        .count()
+        by_prefix.join(by_length, "length", "left_semi")
         .where("count > 1")
         .select("length", "prefix", F.lit(True).alias("survives"))
     )
     full = F.sha2("norm", 256)
-    rows = rows.withColumn("prefix", F.xxhash64(F.substring("norm", 1, prefix_chars)))
     if hash_all:
         hashed = (
             rows.withColumn("text_sha256", full)
