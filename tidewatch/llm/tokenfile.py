@@ -87,17 +87,16 @@ def _serialised(found: list[bytes], end_id: int, kind: str) -> list[np.ndarray]:
 def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int) -> Dictionary:
     """A dictionary trained on id arrays of a bounded sample of ``docs``.
 
-    The sample is the documents of the smallest hashes among those of at most
-    ``DICTIONARY_DOC_BYTES`` bytes, ``DICTIONARY_DOCS`` of them; it affects the size of the frames
-    only. Too small a sample is used as it is, without training.
+    The sample is those of at most ``DICTIONARY_DOC_BYTES`` bytes among the ``DICTIONARY_DOCS``
+    documents of the smallest hashes of ids; it affects the size of the frames only. Too small a sample is used as it is, without training.
     """
-    short = texts(docs).where(F.octet_length("text") <= DICTIONARY_DOC_BYTES)
-    sample = (
-        short.select("text", F.xxhash64("doc_id", "text").alias("h"))
-        .orderBy("h", "text")
-        .limit(DICTIONARY_DOCS)
-        .collect()
-    )
+    rank = F.xxhash64("doc_id")
+    lowest = texts(docs).select(rank.alias("h")).orderBy("h").limit(DICTIONARY_DOCS)
+    highest = lowest.agg(F.max("h")).first()[0]
+    sample = []
+    if highest is not None:
+        near = texts(docs).where((rank <= highest) & (F.octet_length("text") <= DICTIONARY_DOC_BYTES))
+        sample = near.select("text").limit(DICTIONARY_DOCS).collect()
     kind = _width(tokenizer, end_id)
     found = encoder(tokenizer).encode([row.text for row in sample])
     samples = [ids.tobytes() for ids in _serialised(found, end_id, kind)]
@@ -226,10 +225,10 @@ _DOCS_DDL = "doc_id long, start long, n_tokens long, ids_crc32 long, ids binary"
 def _placed(blocks: DataFrame) -> DataFrame:
     """Blocks with ``start``, the ids of all documents before them."""
     totals = blocks.groupBy("part").agg(F.sum("tokens").alias("all"))
-    # One row for each written file.
+    # One row for each written file, so at most as many as the shuffle has partitions.
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("part", F.coalesce(F.sum("all").over(before), F.lit(0)).alias("before"))
-    return blocks.join(offsets, "part").withColumn("start", F.col("before") + F.col("part_start"))
+    return blocks.join(F.broadcast(offsets), "part").withColumn("start", F.col("before") + F.col("part_start"))
 
 
 def read_token_file(spark: SparkSession, path: str) -> DataFrame:

@@ -19,14 +19,22 @@ CACHE_PIECES = 500_000
 # Characters cut into pieces at a time, so that a very long text needs no long list.
 SPAN_CHARS = 1 << 20
 
-_MARKS = frozenset(".,;:!?")
-# Pieces that can stand between separators.
-_WORD = re.compile(r"[^\s|\0]+")
+_MARKS = frozenset("!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~")
+# Words of which the normal form is plain: no case or composition rules but those of Latin-1.
+_LETTERS = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+# The byte-level alphabet: bytes that print stand for themselves, the others for characters from
+# U+0100 on. A blank between words stays a blank here.
+_PRINTING = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_OTHERS = [byte for byte in range(256) if byte not in _PRINTING]
+_BYTE_NAMES = {byte: 256 + i for i, byte in enumerate(_OTHERS) if byte != 0x20}
+_BLANK_NAME = chr(256 + _OTHERS.index(0x20))
 _UNEVEN = re.compile(r" (?!\S)")
 # Before a blank that a non-blank follows; the blank belongs to the piece after it.
 _BLANK = re.compile(r" (?=\S)")
-# Between a letter or digit and a mark, between a mark and one line break, after that break.
-_MARK = re.compile(r"(?<=[^\W_])(?=[.,;:!?])|(?<=[.,;:!?])(?=\n)|(?<=[.,;:!?]\n)(?=[^\W_])")
+# Between a letter or digit and a mark, between a mark and one line break, after that break. The
+# apostrophe is no such mark: it may belong to the letters after it.
+_P = r"[!-&(-/:-@\[-`{-~]"
+_MARK = re.compile(rf"(?<=[^\W_])(?={_P})|(?<={_P})(?=\n)|(?<={_P}\n)(?=[^\W_])")
 
 
 def _chunking(spec: dict) -> str | None:
@@ -50,7 +58,7 @@ class Encoder:
 
     def __init__(self, path: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         # The strings of special tokens in a text are ordinary text.
@@ -59,10 +67,11 @@ class Encoder:
             self.chunking = _chunking(json.load(file))
         # With blanks kept, a piece stands for itself with a blank before it.
         self.lead = " " if self.chunking == "kept" else ""
-        # Between words in one call: gives one id of its own, which no plain word contains.
-        self.between = "\n" if self.chunking == "kept" else " | "
-        mark = self.tokenizer.encode(self.between, add_special_tokens=False).ids
-        self.mark = mark[0] if len(mark) == 1 else None
+        self.edges = self._word_edges() if self.chunking else None
+        # The same model for words whose normal form is known: no step before it but splitting.
+        self.bare = Tokenizer.from_file(path)
+        self.bare.normalizer = normalizers.Sequence([])
+        self.bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -70,20 +79,35 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
+    def _word_edges(self) -> np.ndarray | None:
+        """For each id, whether it begins (blanks kept) or ends (blanks dropped) a word."""
+        vocab = self.tokenizer.get_vocab(with_added_tokens=True)
+        edges = np.zeros(max(vocab.values(), default=0) + 1, bool)
+        if self.chunking == "kept":
+            edges[[i for token, i in vocab.items() if token.startswith(_BLANK_NAME)]] = True
+        else:
+            suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+            if not suffix:
+                return None
+            edges[[i for token, i in vocab.items() if token.endswith(suffix)]] = True
+        return edges
+
     def _encode_words(self, words: list[str]) -> list[bytes]:
-        """Ids of words without white space: all of them in one call, told apart by the mark."""
-        text = self.between.join([self.lead + word for word in words])
-        found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
-        ids = np.array(found[0].ids, "<u4")
-        ends = np.flatnonzero(ids == self.mark)
-        if len(ends) != len(words) - 1:
+        """Ids of words of Latin letters, all in one call; the edges of words tell them apart."""
+        text = " ".join(words)
+        if not self.lead:
+            text = text.lower()
+        if not text.isascii():
+            text = text.encode().decode("latin-1").translate(_BYTE_NAMES)
+        if self.lead:
+            text = _BLANK_NAME + text.replace(" ", " " + _BLANK_NAME)
+        ids = np.array(self.bare.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+        cuts = np.flatnonzero(self.edges[ids])
+        if len(cuts) != len(words):
             return self._encode([self.lead + word for word in words])
-        cuts = (4 * np.append(ends, len(ids))).tolist()
-        raw, out, start = ids.tobytes(), [], 0
-        for cut in cuts:
-            out.append(raw[start:cut])
-            start = cut + 4
-        return out
+        cuts = [*cuts.tolist(), len(ids)] if self.lead else [0, *(cuts + 1).tolist()]
+        raw = ids.tobytes()
+        return [raw[4 * a : 4 * b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
     def _learn(self, pieces: set[str]) -> None:
         """See that all ``pieces`` are in the young generation."""
@@ -102,10 +126,10 @@ class Encoder:
             else:
                 missing.add(piece)
         # The first part has the blank of its piece; the others are kept under a name of their own.
-        lead = len(self.lead)
+        lead, inner = len(self.lead), "\0" if self.lead else ""
         for first, *others in joined.values():
             missing.add(first[lead:])
-            missing.update(["\0" + other for other in others])
+            missing.update([inner + other for other in others])
         words, odd = [], []
         for piece in missing:
             if piece in young:
@@ -113,14 +137,14 @@ class Encoder:
             if piece in old:
                 young[piece] = old[piece]
                 continue
-            (words if self.mark is not None and _WORD.fullmatch(piece) else odd).append(piece)
+            (words if self.edges is not None and _LETTERS.fullmatch(piece) else odd).append(piece)
         for start in range(0, len(words), 8192):
             some = words[start : start + 8192]
             young.update(zip(some, self._encode_words(some), strict=True))
         alone = [x[1:] if x[:1] == "\0" else self.lead + x for x in odd]
         young.update(zip(odd, self._encode(alone), strict=True))
         for piece, (first, *others) in joined.items():
-            ids = [young[first[lead:]], *[young["\0" + other] for other in others]]
+            ids = [young[first[lead:]], *[young[inner + other] for other in others]]
             young[piece] = b"".join(ids)
 
     def _spans(self, text: str) -> Iterator[str]:
