@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from tidewatch.llm import chat, exact, minhash, packing, tokenfile
+from tidewatch.llm import chat, exact, minhash, packing, repeats, tokenfile
 from tidewatch.llm.common import Query
 
 QUERIES: dict[str, Query] = {
     "op1_chat_snapshots": chat.op1_chat_snapshots,
     "op2_token_file": tokenfile.op2_token_file,
     "op5_exact_dedup": exact.op5_exact_dedup,
+    "op7_repeats": repeats.op7_repeats,
     "op8_minhash": minhash.op8_minhash,
     "op9_packing": packing.op9_packing,
 }
