@@ -25,12 +25,20 @@ from tidewatch.llm.common import KEY, row_key, stored, table, texts
 FIT_ROWS = 40_000
 # Terms in the model at most, those of the largest z-scores; fewer pass the test as a rule.
 MODEL_TERMS = 20_000
-LEAST_Z = 4.0
-PRIOR = 500.0
+LEAST_Z = 3.5
+# Weight of the Dirichlet prior: this share of the counted documents, and so many at least.
+PRIOR_SHARE, PRIOR_LEAST = 0.05, 50.0
+# Beginnings of words are terms of their own, for inflected and compound forms.
+BEGINNINGS = (5, 4)
+# Distinct words whose scores a task remembers.
+KNOWN_WORDS = 300_000
 # What a term without evidence adds to a segment.
 DRIFT = -0.15
 # Expected number of equally good segments in a background text, below which one is significant.
 E_VALUE = 0.05
+# Where the two constants of the law are looked for; without hits in background texts they are 1, as
+# for scores that are log-likelihood ratios.
+RATES, SCALES = (0.25, 4.0), (1e-6, 1.0)
 SPAN_CHARS = 1 << 20
 # Distinct terms that a task counts before it passes them on.
 COUNT_TERMS = 300_000
@@ -49,6 +57,25 @@ class Model:
     weights: np.ndarray = field(default_factory=lambda: np.zeros(4))
 
 
+def _terms(word: str) -> list[str]:
+    """A word and its beginnings, which are marked."""
+    return [word, *["^" + word[:n] for n in BEGINNINGS if len(word) > n]]
+
+
+class Words(dict):
+    """Scores of words, found once each: that of the word or else of its longest known beginning."""
+
+    def __init__(self, scores: dict[str, float]) -> None:
+        self.scores = scores
+
+    def __missing__(self, word: str) -> float:
+        if len(self) > KNOWN_WORDS:
+            self.clear()
+        found = next((self.scores[t] for t in _terms(word) if t in self.scores), 0.0)
+        self[word] = found
+        return found
+
+
 def _spans(text: str) -> Iterator[tuple[int, str]]:
     start = 0
     while len(text) - start > SPAN_CHARS:
@@ -86,9 +113,9 @@ def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     return [(first, last, after - before) for first, last, before, after in out]
 
 
-def token_scores(text: str, model: Model) -> tuple[np.ndarray, np.ndarray]:
+def token_scores(text: str, known: Words) -> tuple[np.ndarray, np.ndarray]:
     """Score and place (first character) of each token of a whole text."""
-    get, scores, places = model.scores.get, [], []
+    scores, places = [], []
     for start, span in _spans(text):
         words = _WORD.findall(span.lower()) if span.isascii() else None
         if words is None:
@@ -96,7 +123,7 @@ def token_scores(text: str, model: Model) -> tuple[np.ndarray, np.ndarray]:
             words, at = [w for w, _ in found], [a for _, a in found]
         else:
             at = None
-        values = np.array([get(w, 0.0) for w in words])
+        values = np.array([known[w] for w in words])
         if at is None and values.any():
             at = [m.start() for m in _WORD.finditer(span)]
         scores.append(values)
@@ -111,13 +138,13 @@ def features(scores: np.ndarray, model: Model) -> tuple[np.ndarray, list[tuple]]
     A segment is (first token, one after the last, score, expected number by chance).
     """
     n = len(scores)
-    found = []
+    found, surprise, best = [], 0.0, 0.0
     for first, last, score in segments(scores):
-        chance = model.scale * max(n, 1) * np.exp(-model.rate * score)
-        if chance < E_VALUE:
-            found.append((first, last, score, float(chance)))
-    surprise = sum(-np.log(chance) for *_, chance in found)
-    best = max((-np.log(chance) for *_, chance in found), default=0.0)
+        log_chance = np.log(model.scale * max(n, 1)) - model.rate * score
+        if log_chance < np.log(E_VALUE):
+            found.append((first, last, score, float(np.exp(log_chance))))
+            surprise -= log_chance
+            best = max(best, -log_chance)
     hits = float((scores > 0).sum())
     return np.array([1.0, np.log1p(surprise), np.log1p(best), hits / max(n, 1) ** 0.5]), found
 
@@ -139,59 +166,49 @@ def _sample(labels: DataFrame, fit_rows: int) -> DataFrame:
     return known.orderBy(order, "label_id").limit(fit_rows).withColumn("half", F.pmod(order, F.lit(2)))
 
 
+_COUNTS = ("other_0", "toxic_0", "other_1", "toxic_1")
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: dict[int, Counter] = {0: Counter(), 1: Counter()}
+    """Documents of each half and label that hold a term."""
+    counts = [Counter() for _ in _COUNTS]
 
     def rows() -> pa.RecordBatch:
-        terms = list(counts[0].keys() | counts[1].keys())
-        out = pa.RecordBatch.from_arrays(
-            [
-                pa.array(terms, pa.string()),
-                pa.array([counts[1][t] for t in terms], pa.int64()),
-                pa.array([counts[0][t] for t in terms], pa.int64()),
-            ],
-            ["term", "toxic", "other"],
+        terms = list(set().union(*counts))
+        columns = [pa.array([c[t] for t in terms], pa.int64()) for c in counts]
+        for c in counts:
+            c.clear()
+        return pa.RecordBatch.from_arrays(
+            [pa.array(terms, pa.string()), *columns], ["term", *_COUNTS]
         )
-        counts[0].clear()
-        counts[1].clear()
-        return out
 
     for batch in batches:
-        for text, toxic in zip(
-            batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True
-        ):
-            terms: set[str] = set()
+        for text, toxic, half in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            words: set[str] = set()
             for _, span in _spans(text):
-                terms.update(word.lower() for word in _WORD.findall(span))
-            counts[int(toxic > 0)].update(terms)
-        if len(counts[0]) + len(counts[1]) > COUNT_TERMS:
-            yield rows()
+                words.update(_WORD.findall(span.lower()))
+            counts[2 * half + (toxic > 0)].update({t for word in words for t in _terms(word)})
+            if sum(map(len, counts)) > COUNT_TERMS:
+                yield rows()
     yield rows()
 
 
-def _term_scores(counts: DataFrame, docs: tuple[int, int], prior: float, least_z: float) -> DataFrame:
-    """``term, score`` of the terms that toxic documents hold significantly more often.
+def _term_scores(counts: DataFrame, toxic: str, other: str, n_toxic: int, n_other: int) -> DataFrame:
+    """``term, score, z`` of the terms that toxic documents hold significantly more often.
 
-    Counts are numbers of documents, so that one document cannot make a term. The prior spreads
-    ``prior`` documents over the terms as the whole sample does.
+    Counts are numbers of documents, so that one document cannot make a term. The prior spreads its
+    documents over the terms as all counted documents do.
     """
-    n_toxic, n_other = docs
-    share = (F.col("toxic") + F.col("other")) / (n_toxic + n_other)
-
-    def odds(name: str, n: int) -> tuple[Column, Column]:
-        held = F.col(name) + F.least(share, F.lit(0.5)) * F.lit(prior * n / (n_toxic + n_other))
-        held = F.greatest(held, F.lit(1e-3))
-        return F.ln(held / F.greatest(n + prior - held, F.lit(1e-3))), held
-
-    log_toxic, held_toxic = odds("toxic", n_toxic)
-    log_other, held_other = odds("other", n_other)
-    score = log_toxic - log_other
-    z = score / F.sqrt(1 / held_toxic + 1 / held_other)
-    return (
-        counts.withColumn("score", score)
-        .withColumn("z", z)
-        .where((F.col("z") >= least_z) & (F.col("toxic") >= 3))
+    n = n_toxic + n_other
+    prior = max(PRIOR_LEAST, PRIOR_SHARE * n)
+    y_toxic, y_other = F.expr(toxic), F.expr(other)
+    alpha = (y_toxic + y_other) / n * prior
+    held_toxic, held_other = y_toxic + alpha, y_other + alpha
+    score = F.ln(held_toxic / (n_toxic + prior - held_toxic + 1e-3)) - F.ln(
+        held_other / (n_other + prior - held_other + 1e-3)
     )
+    z = score / F.sqrt(1 / held_toxic + 1 / held_other)
+    return counts.where(y_toxic >= 3).select("term", score.alias("score"), z.alias("z"))
 
 
 def _law(found: list[tuple[np.ndarray, int]], model: Model) -> None:
@@ -201,11 +218,10 @@ def _law(found: list[tuple[np.ndarray, int]], model: Model) -> None:
     with a segment above a middling score agree with the number seen.
     """
     values = np.concatenate([scores for scores, toxic in found if not toxic] or [np.zeros(0)])
+    values = values.astype(float)
     if not (values > 0).any() or values.mean() >= 0:
         return
-    low, high = 1e-6, 1.0
-    while np.exp(high * values).mean() < 1 and high < 64:
-        high *= 2
+    low, high = RATES
     for _ in range(60):
         middle = (low + high) / 2
         low, high = (middle, high) if np.exp(middle * values).mean() < 1 else (low, middle)
@@ -218,7 +234,7 @@ def _law(found: list[tuple[np.ndarray, int]], model: Model) -> None:
     level = float(np.median([s for s, _ in tops if s > 0]))
     above = sum(s >= level for s, _ in tops)
     expected = sum(n for _, n in tops) * np.exp(-model.rate * level)
-    model.scale = above / max(expected, 1e-12)
+    model.scale = float(np.clip(above / expected, *SCALES))
 
 
 def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-2, steps: int = 50) -> np.ndarray:
@@ -240,36 +256,44 @@ def fit(
     labels: DataFrame,
     *,
     fit_rows: int = FIT_ROWS,
-    prior: float = PRIOR,
     least_z: float = LEAST_Z,
     model_terms: int = MODEL_TERMS,
 ) -> Model:
     """Learn from ``labels`` (``doc_id, toxic``); rows whose crc32(id) mod 5 is 0 are never used.
 
-    Half of the at most ``fit_rows`` labelled rows give the counts of terms, the other half the
-    calibration. Without rows of both kinds every text gets the same score.
+    At most ``fit_rows`` labelled rows are used, in two halves: each is scored with the counts of the
+    other to fit the calibration, the final terms come from both. Without rows of both kinds every
+    text gets the same score.
     """
     # At most fit_rows rows of three numbers, so the broadcast has a bound.
     sample = F.broadcast(stored(_sample(labels, fit_rows), "labels"))
     rows = texts(docs).join(sample, F.col("doc_id") == F.col("label_id"))
-    counting = rows.where("half = 0").select("text", "toxic")
-    totals = {r["toxic"] > 0: r["n"] for r in counting.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    model = Model({}, weights=np.zeros(4))
-    both = (totals.get(True, 0), totals.get(False, 0))
-    if all(both):
-        counted = counting.mapInArrow(_count, "term string, toxic long, other long")
-        sums = counted.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
-        terms = _term_scores(sums, both, prior, least_z).orderBy(F.desc("z"), "term").limit(model_terms)
-        model.scores = {r["term"]: r["score"] for r in terms.select("term", "score").collect()}
+    rows = rows.select("text", "toxic", F.col("half").cast("int").alias("half"))
+    n = [0] * 4
+    for row in rows.groupBy("half", "toxic").agg(F.count(F.lit(1)).alias("n")).collect():
+        n[2 * row["half"] + (row["toxic"] > 0)] += row["n"]
+    counted = rows.mapInArrow(_count, "term string, " + ", ".join(f"{c} long" for c in _COUNTS))
+    sums = counted.groupBy("term").agg(*[F.sum(c).alias(c) for c in _COUNTS])
+    sums = stored(sums.where("toxic_0 + toxic_1 >= 3"), "terms")
+
+    def terms(toxic: str, other: str, n_toxic: int, n_other: int) -> dict[str, float]:
+        if not (n_toxic and n_other):
+            return {}
+        best = _term_scores(sums, toxic, other, n_toxic, n_other).where(F.col("z") >= least_z)
+        best = best.orderBy(F.desc("z"), "term").limit(model_terms)
+        return {r["term"]: r["score"] for r in best.collect()}
+
+    other_half = [terms("toxic_1", "other_1", n[3], n[2]), terms("toxic_0", "other_0", n[1], n[0])]
+    whole = terms("toxic_0 + toxic_1", "other_0 + other_1", n[1] + n[3], n[0] + n[2])
+    model = Model(whole)
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = [Words(scores) for scores in other_half]
         for batch in batches:
             packed, kinds = [], []
-            for text, toxic in zip(
-                batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True
-            ):
-                scores = token_scores(text, model)[0]
-                # Runs of background tokens as one number each.
+            for text, toxic, half in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                scores = token_scores(text, known[half])[0]
+                # The background tokens between hits all have the same score.
                 hits = np.flatnonzero(scores > 0)
                 packed.append([len(scores), *np.stack([hits, scores[hits]], 1).ravel().tolist()])
                 kinds.append(toxic)
@@ -278,13 +302,12 @@ def fit(
                 ["scores", "toxic"],
             )
 
-    fitting = rows.where("half = 1").select("text", "toxic")
     found = []
-    for row in fitting.mapInArrow(tokens, "scores array<double>, toxic int").toLocalIterator():
-        scores = np.full(int(row["scores"][0]), DRIFT)
+    for row in rows.mapInArrow(tokens, "scores array<double>, toxic int").toLocalIterator():
+        scores = np.full(int(row["scores"][0]), DRIFT, np.float32)
         scores[np.array(row["scores"][1::2], int)] = row["scores"][2::2]
-        found.append((scores.astype(np.float32), int(row["toxic"] > 0)))
-    if found:
+        found.append((scores, int(row["toxic"] > 0)))
+    if all((n[0] + n[2], n[1] + n[3])):
         _law(found, model)
         x = np.array([features(scores, model)[0] for scores, _ in found])
         model.weights = logistic(x, np.array([toxic for _, toxic in found]))
@@ -310,12 +333,13 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
     )
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Words(model.scores)
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 some = batch.slice(start, 256)
                 scored, passages = [], []
                 for text in some.column(3).to_pylist():
-                    scores, places = token_scores(text, model)
+                    scores, places = token_scores(text, known)
                     x, found = features(scores, model)
                     scored.append(float(1 / (1 + np.exp(-np.clip(x @ model.weights, -30, 30)))))
                     passages.append(
