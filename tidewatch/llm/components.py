@@ -10,7 +10,8 @@ from tidewatch.llm.common import stored
 
 def _rewired(pairs: DataFrame) -> DataFrame:
     """Each ``(u, v)`` with the smallest of u and its neighbours in ``pairs``, as ``low``."""
-    lows = pairs.groupBy("u").agg(F.min("v").alias("low"))
+    # Written before the join, so that both its sides can be split by adaptive execution.
+    lows = stored(pairs.groupBy("u").agg(F.min("v").alias("low")), "lows")
     return pairs.join(lows.withColumnRenamed("u", "w"), F.col("u") == F.col("w")).select(
         "u", "v", F.least("u", "low").alias("low")
     )

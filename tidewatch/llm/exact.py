@@ -99,6 +99,7 @@ def _grouped(docs: DataFrame, prefix_chars: int, hash_all: bool) -> DataFrame:
             "size",
         )
     )
+    groups = stored(groups, "groups")
     same = (
         F.col("survives")
         & (F.col("length") == F.col("g_length"))

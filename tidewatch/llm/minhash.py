@@ -25,14 +25,13 @@ from tidewatch.llm.shingles import common, mix, shingle_sets
 # with 20 bands and of 4e-7 with the 28 that are taken there.
 BAND_ROWS = 4
 MISS = 1e-6
+# More hashes, of which the signature keeps a byte each; they sharpen the estimate of a pair.
+EXTRA = 160
 # Standard deviations that the signature may fall short of the threshold before a pair is left out.
-DEVIATIONS = 6.0
+DEVIATIONS = 5.0
 # Members of a bucket that one task compares with as many others.
 BLOCK = 256
 
-_RANDOM = np.random.default_rng(977)
-
-
 def _bands(threshold: float) -> int:
     return int(np.ceil(np.log(MISS) / np.log1p(-(threshold**BAND_ROWS))))
 
@@ -45,22 +44,26 @@ def _universal(count: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def signature(sets: list[np.ndarray], hashes: int) -> np.ndarray:
-    """Minima of ``hashes`` universal hashes over each (non-empty) set: one row of 32-bit values."""
-    factors, addends = _universal(hashes)
+    """Minima of universal hashes over each (non-empty) set, one row of bytes each.
+
+    ``hashes`` minima of 32 bits, for bands, are followed by ``EXTRA`` ones of a byte.
+    """
+    factors, addends = _universal(hashes + EXTRA)
     values = np.concatenate(sets)
     starts = np.cumsum([0] + [len(s) for s in sets[:-1]])
-    out = np.empty((len(sets), hashes), np.uint32)
+    out = np.empty((len(sets), hashes + EXTRA), np.uint32)
     # Spans of values that stay in the cache of the processor while all hashes are taken.
     at = 0
     while at < len(sets):
         end = max(at + 1, int(np.searchsorted(starts, starts[at] + 32768)))
         stop = starts[end] if end < len(sets) else len(values)
         span, cuts = values[starts[at] : stop], starts[at:end] - starts[at]
-        for j in range(hashes):
+        for j in range(hashes + EXTRA):
             low = np.minimum.reduceat(span * factors[j] + addends[j], cuts)
             out[at:end, j] = low >> np.uint64(32)
         at = end
-    return out
+    wide = np.ascontiguousarray(out[:, :hashes]).view(np.uint8)
+    return np.concatenate([wide, out[:, hashes:].astype(np.uint8)], 1)
 
 
 _SKETCH_DDL = (
@@ -104,10 +107,13 @@ def sketches(docs: DataFrame, *, words: int, hashes: int) -> DataFrame:
     return rows.mapInArrow(sketch, _SKETCH_DDL)
 
 
+def _least(slots: int, share: float) -> float:
+    """Equal slots of two signatures below which a pair is left out."""
+    return slots * (share - DEVIATIONS * np.sqrt(share * (1 - share) / slots))
+
+
 def _near(hashes: int, share: float) -> Column:
     """Whether the signatures ``sig_a`` and ``sig_b`` and the set sizes allow a link."""
-    least = hashes * (share - DEVIATIONS * np.sqrt(share * (1 - share) / hashes))
-
     def same(i: int) -> Column:
         parts = [F.substring(name, 4 * i + 1, 4) for name in ("sig_a", "sig_b")]
         return (parts[0] == parts[1]).cast("int")
@@ -116,7 +122,7 @@ def _near(hashes: int, share: float) -> Column:
     for i in range(1, hashes):
         equal = equal + same(i)
     sizes = F.least("n_a", "n_b") >= F.lit(share - 1e-9) * F.greatest("n_a", "n_b")
-    return sizes & (equal >= F.lit(float(least)))
+    return sizes & (equal >= F.lit(float(_least(hashes, share))))
 
 
 def _with_classes(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -184,12 +190,28 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "set_a", "set_b").mapInArrow(confirm, "a binary, b binary")
 
 
-def _across(members: DataFrame, hashes: int, share: float) -> DataFrame:
-    """Candidate pairs between members of one bucket that are in different components.
-
-    ``members``: ``key, class, root, n_shingles, signature``. A bucket is cut into blocks of about
-    ``BLOCK`` members; a task compares two blocks. Pairs whose signatures or sizes rule a link out
-    are left out there.
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows of one ``(key, x, y)`` together, from rows sorted by it."""
+    rest = None
+    for batch in batches:
+        part = pa.Table.from_batches([batch])
+        part = part if rest is None else pa.concat_tables([rest, part])
+        names = ("key", "x", "y")
+        keys = np.stack([part.column(n).to_numpy().astype(np.int64) for n in names], 1)
+        start = 0
+        for end in (np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1).tolist():
+            yield part.slice(start, end - start)
+            start = end
+        rest = part.slice(start).combine_chunks()
+    if rest is not None and rest.num_rows:
+        yield rest
+
+
+def _dealt(members: DataFrame) -> DataFrame:
+    """Members of buckets with more than one component, dealt to pairs of blocks.
+
+    ``members``: ``key, band, class, root, n_shingles, signature``. A bucket is cut into blocks of
+    about ``BLOCK`` members; ``x`` and ``y`` are the blocks that meet in one place.
     """
     sizes = members.groupBy("key").agg(
         F.count(F.lit(1)).alias("size"), F.min("root").alias("r0"), F.max("root").alias("r1")
@@ -197,76 +219,113 @@ def _across(members: DataFrame, hashes: int, share: float) -> DataFrame:
     mixed = sizes.where("r0 != r1").select(
         F.col("key").alias("bucket"), F.ceil(F.col("size") / BLOCK).alias("blocks")
     )
-    dealt = members.join(mixed, F.col("key") == F.col("bucket")).drop("bucket")
-    own = F.pmod(F.xxhash64("class"), F.col("blocks"))
-    dealt = dealt.withColumn("own", own).withColumn(
+    dealt = members.join(stored(mixed, "mixed"), F.col("key") == F.col("bucket"))
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("class"), F.col("blocks"))).withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     )
-    dealt = dealt.select(
+    return dealt.select(
         "key",
         F.least("own", "other").alias("x"),
         F.greatest("own", "other").alias("y"),
         "own",
+        "band",
         "class",
         "root",
         "n_shingles",
         "signature",
     )
-    least = hashes * (share - DEVIATIONS * np.sqrt(share * (1 - share) / hashes))
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None
-        for batch in batches:
-            part = pa.Table.from_batches([batch])
-            part = part if rest is None else pa.concat_tables([rest, part])
-            ends = _run_ends(part)
-            start = 0
-            for end in ends[:-1]:
-                yield from _pairs_of(part.slice(start, end - start), least, share)
-                start = end
-            rest = part.slice(start).combine_chunks()
-        if rest is not None and rest.num_rows:
-            yield from _pairs_of(rest, least, share)
-
-    spread = dealt.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
-    return spread.mapInArrow(compare, "a binary, b binary").distinct()
-
-
-def _run_ends(part: pa.Table) -> list[int]:
-    names = ("key", "x", "y")
-    keys = np.stack([part.column(n).to_numpy().astype(np.int64) for n in names], 1)
-    change = np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1
-    return [*change.tolist(), len(keys)]
-
-
-def _pairs_of(run: pa.Table, least: float, share: float) -> Iterator[pa.RecordBatch]:
-    """Pairs of one run, between its two blocks or within its one block."""
+
+def _candidates(run: pa.Table, hashes: int, share: float) -> list[tuple[int, np.ndarray]]:
+    """Pairs of a run that are in different components and may be links: (i, [j, ...]).
+
+    A pair is taken in the first band that it shares, so that it is looked at once.
+    """
     if run.num_rows < 2:
-        return
-    root, name = run.column("root").to_pylist(), run.column("class").to_pylist()
-    code = {r: i for i, r in enumerate(dict.fromkeys(root))}
-    roots = np.array([code[r] for r in root])
+        return []
+    root = np.unique(run.column("root").to_numpy(zero_copy_only=False), return_inverse=True)[1]
     own, size = run.column("own").to_numpy(), run.column("n_shingles").to_numpy()
-    signs = np.stack([np.frombuffer(s, np.uint32) for s in run.column("signature").to_pylist()])
-    within = run.column("x")[0].as_py() == run.column("y")[0].as_py()
-    a, b = [], []
+    band = run.column("band")[0].as_py()
+    width = 4 * BAND_ROWS
+    signs = np.stack([np.frombuffer(s, np.uint8) for s in run.column("signature").to_pylist()])
+    wide = np.ascontiguousarray(signs[:, : 4 * hashes]).view(np.uint32)
+    bands = np.ascontiguousarray(signs[:, : 4 * hashes]).view(f"V{width}")[:, :band]
+    bands = np.unique(bands.ravel(), return_inverse=True)[1].reshape(len(signs), -1)
+    extra = signs[:, 4 * hashes :]
+    least = _least(hashes + EXTRA, share)
+    across = run.column("x")[0].as_py() != run.column("y")[0].as_py()
+    out = []
     for i in range(run.num_rows - 1):
-        other = roots[i + 1 :] != roots[i]
-        if not within:
+        other = root[i + 1 :] != root[i]
+        if across:
             other &= own[i + 1 :] != own[i]
-        other &= np.minimum(size[i + 1 :], size[i]) >= (share - 1e-9) * np.maximum(
-            size[i + 1 :], size[i]
-        )
-        at = np.flatnonzero(other) + i + 1
+        small, large = np.minimum(size[i + 1 :], size[i]), np.maximum(size[i + 1 :], size[i])
+        at = np.flatnonzero(other & (small >= (share - 1e-9) * large)) + i + 1
         if len(at):
-            at = at[(signs[at] == signs[i]).sum(1) >= least]
-        for j in at:
-            a.append(min(name[i], name[j]))
-            b.append(max(name[i], name[j]))
-    if a:
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"]
-        )
+            equal = (wide[at] == wide[i]).sum(1) + (extra[at] == extra[i]).sum(1)
+            at = at[equal >= least]
+        if len(at) and band:
+            at = at[~(bands[at] == bands[i]).any(1)]
+        if len(at):
+            out.append((i, at))
+    return out
+
+
+def _across(docs: DataFrame, classes: DataFrame, members: DataFrame, sets: DataFrame, words: int,
+            hashes: int, percent: int) -> DataFrame:
+    """Links between members of one bucket that are in different components.
+
+    First the members that have a candidate at all are found from signatures, then their sets are
+    brought to the places where blocks meet, and pairs are confirmed there. Of the links of one place
+    only those are given that join components, so no more than there are members.
+    """
+    dealt = stored(_dealt(members), "dealt")
+    share = percent / 100
+
+    def promising(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for run in _runs(batches):
+            found = _candidates(run, hashes, share)
+            rows = sorted({i for i, _ in found}.union(*[at.tolist() for _, at in found]))
+            if rows:
+                yield from run.take(pa.array(rows)).combine_chunks().to_batches()
+
+    together = dealt.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
+    likely = stored(together.mapInArrow(promising, dealt.schema), "likely")
+    missing = likely.select("class").distinct().join(sets.select("class"), "class", "left_anti")
+    sets = sets.unionByName(_shingles_of(docs, classes, missing, words))
+    brought = likely.join(
+        sets.withColumnRenamed("class", "of"), F.col("class") == F.col("of")
+    ).drop("of")
+
+    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for run in _runs(batches):
+            above: dict[bytes, bytes] = {}
+
+            def top(x: bytes, above: dict[bytes, bytes] = above) -> bytes:
+                while x in above:
+                    x = above[x]
+                return x
+
+            roots, names = run.column("root").to_pylist(), run.column("class").to_pylist()
+            found = [np.frombuffer(s, np.uint64) for s in run.column("shingles").to_pylist()]
+            a, b = [], []
+            for i, at in _candidates(run, hashes, share):
+                for j in at.tolist():
+                    x, y = top(roots[i]), top(roots[j])
+                    if x == y:
+                        continue
+                    shared = common(found[i], found[j])
+                    if 100 * shared >= percent * (len(found[i]) + len(found[j]) - shared):
+                        above[x] = y
+                        a.append(names[i])
+                        b.append(names[j])
+            if a:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"]
+                )
+
+    together = brought.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
+    return together.mapInArrow(confirm, "a binary, b binary")
 
 
 def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80) -> DataFrame:
@@ -296,7 +355,7 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80) -> Da
     keys = [
         F.xxhash64(F.lit(i), F.substring("signature", width * i + 1, width)) for i in range(bands)
     ]
-    banded = classes.select("class", F.explode(F.array(*keys)).alias("key"))
+    banded = classes.select("class", F.posexplode(F.array(*keys)).alias("band", "key"))
     centres = (
         banded.groupBy("key")
         .agg(F.min("class").alias("centre"), F.max("class").alias("last"))
@@ -304,7 +363,9 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80) -> Da
         .select(F.col("key").alias("bucket"), "centre")
     )
     shared = stored(
-        banded.join(centres, F.col("key") == F.col("bucket")).select("key", "class", "centre"),
+        banded.join(stored(centres, "centres"), F.col("key") == F.col("bucket")).select(
+            "key", "band", "class", "centre"
+        ),
         "buckets",
     )
     to_centre = (
@@ -321,19 +382,15 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80) -> Da
     roots = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
     facts = classes.select("class", "n_shingles", "signature")
     members = (
-        shared.select("key", "class")
+        shared.select("key", "band", "class")
         .join(facts, "class")
         .join(roots, F.col("class") == F.col("vertex"), "left")
-        .select("key", "class", F.coalesce("root", "class").alias("root"), "n_shingles", "signature")
-    )
-    rest = stored(_across(members, hashes, share), "across")
-    missing = (
-        rest.select(F.explode(F.array("a", "b")).alias("class"))
-        .distinct()
-        .join(sets, "class", "left_anti")
+        .select(
+            "key", "band", "class", F.coalesce("root", "class").alias("root"), "n_shingles", "signature"
+        )
     )
-    sets = sets.unionByName(_shingles_of(docs, classes, missing, words))
-    links = links.unionByName(_confirmed(rest, sets, percent))
+    members = stored(members, "members")
+    links = links.unionByName(_across(docs, classes, members, sets, words, hashes, percent))
     roots = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
     named = rows.select(*[c for c in rows.columns if c != "signature"]).withColumn(
         "row", F.monotonically_increasing_id()
@@ -351,6 +408,7 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80) -> Da
         .agg(F.min(first).alias("first"))
         .select(F.col("root").alias("group"), "first")
     )
+    groups = stored(groups, "groups")
     grouped = F.col("group").isNotNull()
     return named.join(groups, F.col("root") == F.col("group"), "left").select(
         "doc_id",

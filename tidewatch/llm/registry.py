@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tidewatch.llm import chat, exact, minhash, packing, repeats, tokenfile
+from tidewatch.llm import chat, exact, minhash, packing, repeats, tokenfile, toxicity
 from tidewatch.llm.common import Query
 
 QUERIES: dict[str, Query] = {
     "op1_chat_snapshots": chat.op1_chat_snapshots,
     "op2_token_file": tokenfile.op2_token_file,
+    "op3_toxicity": toxicity.op3_toxicity,
     "op5_exact_dedup": exact.op5_exact_dedup,
     "op7_repeats": repeats.op7_repeats,
     "op8_minhash": minhash.op8_minhash,
