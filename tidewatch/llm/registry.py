@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidewatch.llm import chat, exact, minhash, packing, repeats, tokenfile, toxicity
+from tidewatch.llm import chat, exact, minhash, packing, piece, repeats, tokenfile, topk, toxicity
 from tidewatch.llm.common import Query
 
 QUERIES: dict[str, Query] = {
@@ -10,9 +10,11 @@ QUERIES: dict[str, Query] = {
     "op2_token_file": tokenfile.op2_token_file,
     "op3_toxicity": toxicity.op3_toxicity,
     "op5_exact_dedup": exact.op5_exact_dedup,
+    "op6_topk": topk.op6_topk,
     "op7_repeats": repeats.op7_repeats,
     "op8_minhash": minhash.op8_minhash,
     "op9_packing": packing.op9_packing,
+    "op10_pieces": piece.op10_pieces,
 }
 
-ORACLE: dict[str, str] = chat.SQL | exact.SQL
+ORACLE: dict[str, str] = chat.SQL | exact.SQL | topk.SQL
