@@ -376,7 +376,8 @@ def repeated_spans(
     table repeat each other. Null, empty and short texts have no spans.
     """
     anchors = anchor_rows(docs, min_bytes=min_bytes, span_bytes=span_bytes)
-    again = anchors.groupBy("bucket").count().where("count > 1").select("bucket")
+    # Written before they are joined, so that a frequent bucket can be split by adaptive execution.
+    again = stored(anchors.groupBy("bucket").count().where("count > 1").select("bucket"), "again")
     met = stored(anchors.join(again, "bucket", "left_semi"), "anchors")
     classes = met.groupBy("bucket", "around", "sides").agg(
         F.count(F.lit(1)).alias("members"), F.min(F.struct("doc__", "at")).alias("one")
@@ -393,8 +394,9 @@ def repeated_spans(
         right.cast("int").alias("right"),
     )
     sizes = classes.groupBy("bucket").agg(F.count(F.lit(1)).alias("classes"))
+    sizes = stored(sizes.where("classes > 1"), "bucket-sizes")
     ends = (
-        classes.join(sizes.where("classes > 1"), "bucket")
+        classes.join(sizes, "bucket")
         .select(
             "bucket",
             "one.doc__",
