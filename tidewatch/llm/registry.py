@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from tidewatch.llm import chat, exact, minhash, packing, piece, repeats, tokenfile, topk, toxicity
+from tidewatch.llm import chat, exact, minhash, packing, piece, quality, repeats, tokenfile, topk, toxicity
 from tidewatch.llm.common import Query
 
 QUERIES: dict[str, Query] = {
     "op1_chat_snapshots": chat.op1_chat_snapshots,
     "op2_token_file": tokenfile.op2_token_file,
     "op3_toxicity": toxicity.op3_toxicity,
+    "op4_quality": quality.op4_quality,
     "op5_exact_dedup": exact.op5_exact_dedup,
     "op6_topk": topk.op6_topk,
     "op7_repeats": repeats.op7_repeats,

@@ -16,6 +16,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
@@ -496,6 +497,45 @@ def remove_repeats(
     )
 
 
+def _cut_text(text: pd.Series, spans: pd.Series) -> pd.Series:
+    """Texts without their spans of bytes, widened to whole characters."""
+
+    def cut(whole: str, found: list) -> str:
+        content = whole.encode()
+        wide = []
+        for first, last in _merged(found):
+            while first > 0 and content[first] & 0xC0 == 0x80:
+                first -= 1
+            while last < len(content) and content[last] & 0xC0 == 0x80:
+                last += 1
+            wide.append({"first": first, "last": last})
+        return _rest(content, _merged(wide)).decode()
+
+    pairs = zip(text, spans, strict=True)
+    return pd.Series([w if s is None or not len(s) else cut(w, list(s)) for w, s in pairs], dtype=object)
+
+
+def drop_repeats(docs: DataFrame, *, min_bytes: int = MIN_BYTES) -> DataFrame:
+    """``docs`` with ``text`` freed of repeated strings; all rows and columns stay.
+
+    Every occurrence goes, as in :func:`remove_repeats`; a character that is cut into goes as a whole.
+    If there is a column ``n_chars``, it is counted anew where the text has changed. Null texts stay
+    null; a text may become empty.
+    """
+    spans = repeated_spans(docs, min_bytes=min_bytes)
+    spans = spans.groupBy(*KEY).agg(F.collect_set(F.struct("first", "last")).alias("spans__"))
+    joined = row_key(docs).join(spans, KEY, "left")
+    # Texts without spans do not pass through Python.
+    changed = joined.where("spans__ is not null").withColumn(
+        "text", F.pandas_udf(_cut_text, "string")("text", "spans__")
+    )
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        changed = changed.withColumn("n_chars", F.char_length("text").cast(kind))
+    columns = [f"`{name}`" for name in docs.columns]
+    return joined.where("spans__ is null").select(*columns).unionByName(changed.select(*columns))
+
+
 def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents")).select(
         "doc_id",
