@@ -41,6 +41,17 @@ def row_key(docs: DataFrame) -> DataFrame:
 KEY = ["doc__", "tag__"]
 
 
+def with_rows(docs: DataFrame) -> DataFrame:
+    """:data:`KEY` and the whole row as ``original__``: none of its columns can clash with others."""
+    named = docs.select(F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("original__"))
+    keyed = row_key(
+        named.withColumn("doc_id", F.col("original__.doc_id")).withColumn(
+            "text", F.col("original__.text")
+        )
+    )
+    return keyed.select("original__", *KEY)
+
+
 def keep_rows(docs: DataFrame, decisions: DataFrame) -> DataFrame:
     """Rows of ``docs`` that ``decisions`` (:data:`KEY` and ``kept``, one for each row) keeps.
 
@@ -51,10 +62,10 @@ def keep_rows(docs: DataFrame, decisions: DataFrame) -> DataFrame:
         .agg(F.bool_or("kept").alias("stays__"), F.count(F.lit(1)).alias("rows__"))
         .where("not stays__ or rows__ > 1")
     )
-    keyed = row_key(docs)
+    keyed = with_rows(docs)
     single = keyed.join(marks, KEY, "left_anti")
     repeated = keyed.join(marks.where("stays__"), KEY, "left_semi").dropDuplicates(KEY)
-    return single.unionByName(repeated).select(*[f"`{name}`" for name in docs.columns])
+    return single.unionByName(repeated).select("original__.*")
 
 
 def stored(frame: DataFrame, purpose: str) -> DataFrame:

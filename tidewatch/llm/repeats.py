@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import KEY, row_key, stored, table, texts
+from tidewatch.llm.common import KEY, row_key, stored, table, texts, with_rows
 from tidewatch.llm.shingles import mix
 
 MIN_BYTES = 200
@@ -524,16 +524,18 @@ def drop_repeats(docs: DataFrame, *, min_bytes: int = MIN_BYTES) -> DataFrame:
     """
     spans = repeated_spans(docs, min_bytes=min_bytes)
     spans = spans.groupBy(*KEY).agg(F.collect_set(F.struct("first", "last")).alias("spans__"))
-    joined = row_key(docs).join(spans, KEY, "left")
+    joined = with_rows(docs).join(spans, KEY, "left")
     # Texts without spans do not pass through Python.
-    changed = joined.where("spans__ is not null").withColumn(
-        "text", F.pandas_udf(_cut_text, "string")("text", "spans__")
-    )
+    cut = F.pandas_udf(_cut_text, "string")("original__.text", "spans__")
+    changed = F.col("original__").withField("text", F.col("cut__"))
     if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        changed = changed.withColumn("n_chars", F.char_length("text").cast(kind))
-    columns = [f"`{name}`" for name in docs.columns]
-    return joined.where("spans__ is null").select(*columns).unionByName(changed.select(*columns))
+        count = F.char_length("cut__").cast(docs.schema["n_chars"].dataType)
+        changed = changed.withField("n_chars", count)
+    changed = joined.where("spans__ is not null").withColumn("cut__", cut).select(
+        changed.alias("original__")
+    )
+    same = joined.where("spans__ is null").select("original__")
+    return same.unionByName(changed).select("original__.*")
 
 
 def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import KEY, row_key, stored, table, texts
+from tidewatch.llm.common import KEY, row_key, stored, table, texts, with_rows
 
 # The model is fitted on so many labelled rows at most, those of the smallest hashes of their ids.
 FIT_ROWS = 40_000
@@ -372,7 +372,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, *, least: float = 0.5) -> Dat
     kept = scored.select(*KEY, (F.col("score") < least).alias("kept"))
     # Toxic rows only go by key; rows repeated in the table are none of this operator's business.
     gone = stored(kept.where("not kept").select(*KEY).distinct(), "toxic")
-    return row_key(docs).join(gone, KEY, "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    return with_rows(docs).join(gone, KEY, "left_anti").select("original__.*")
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
