@@ -211,25 +211,35 @@ def _term_scores(counts: DataFrame, toxic: str, other: str, n_toxic: int, n_othe
     return counts.where(y_toxic >= 3).select("term", score.alias("score"), z.alias("z"))
 
 
-def _law(found: list[tuple[np.ndarray, int]], model: Model) -> None:
-    """Estimate ``rate`` and ``scale`` from token scores of background texts.
+def _expanded(n: int, hits: np.ndarray) -> np.ndarray:
+    """Scores of ``n`` tokens from the places and scores of the hits among them."""
+    scores = np.full(n, DRIFT)
+    scores[hits[:, 0].astype(int)] = hits[:, 1]
+    return scores
+
+
+def _law(found: list[tuple[int, np.ndarray, bool]], model: Model) -> None:
+    """Estimate ``rate`` and ``scale`` from the hits of background texts.
 
     The rate is the root of E[exp(rate * score)] = 1; the scale makes the expected number of texts
     with a segment above a middling score agree with the number seen.
     """
-    values = np.concatenate([scores for scores, toxic in found if not toxic] or [np.zeros(0)])
-    values = values.astype(float)
-    if not (values > 0).any() or values.mean() >= 0:
+    other = [(n, hits) for n, hits, toxic in found if not toxic]
+    values = np.concatenate([hits[:, 1] for _, hits in other] or [np.zeros(0)]).astype(float)
+    plain = sum(n for n, _ in other) - len(values)
+    if not len(values) or values.sum() + plain * DRIFT >= 0:
         return
+
+    def mean(rate: float) -> float:
+        return (np.exp(rate * values).sum() + plain * np.exp(rate * DRIFT)) / (plain + len(values))
+
     low, high = RATES
     for _ in range(60):
         middle = (low + high) / 2
-        low, high = (middle, high) if np.exp(middle * values).mean() < 1 else (low, middle)
+        low, high = (middle, high) if mean(middle) < 1 else (low, middle)
     model.rate = low
     tops = [
-        (max((s for *_, s in segments(scores)), default=0.0), len(scores))
-        for scores, toxic in found
-        if not toxic
+        (max((s for *_, s in segments(_expanded(n, hits))), default=0.0), n) for n, hits in other
     ]
     level = float(np.median([s for s, _ in tops if s > 0]))
     above = sum(s >= level for s, _ in tops)
@@ -302,15 +312,15 @@ def fit(
                 ["scores", "toxic"],
             )
 
-    found = []
-    for row in rows.mapInArrow(tokens, "scores array<double>, toxic int").toLocalIterator():
-        scores = np.full(int(row["scores"][0]), DRIFT, np.float32)
-        scores[np.array(row["scores"][1::2], int)] = row["scores"][2::2]
-        found.append((scores, int(row["toxic"] > 0)))
+    # At most fit_rows rows, of hits alone.
+    found = [
+        (int(r["scores"][0]), np.array(r["scores"][1:], np.float32).reshape(-1, 2), r["toxic"] > 0)
+        for r in rows.mapInArrow(tokens, "scores array<double>, toxic int").collect()
+    ]
     if all((n[0] + n[2], n[1] + n[3])):
         _law(found, model)
-        x = np.array([features(scores, model)[0] for scores, _ in found])
-        model.weights = logistic(x, np.array([toxic for _, toxic in found]))
+        x = np.array([features(_expanded(n_, hits), model)[0] for n_, hits, _ in found])
+        model.weights = logistic(x, np.array([float(toxic) for *_, toxic in found]))
     return model
 
 
