@@ -31,6 +31,8 @@ WINDOW = 2048
 # Combinations of three lengths in the least-squares problem, those of the most frequent lengths.
 TRIPLES = 6000
 STEPS = 400
+# Documents encoded together.
+DOCS = 2048
 
 _PIECES_DDL = (
     "doc_id long, start long, length int, ids_crc32 long, doc_tokens long, part int, nth long"
@@ -49,8 +51,8 @@ def cut_documents(docs: DataFrame, *, tokenizer: str, end_id: int, window: int =
         part, seen, tokenize = TaskContext.get().partitionId(), Counter(), encoder(tokenizer)
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                some = batch.slice(at, 512)
+            for at in range(0, batch.num_rows, DOCS):
+                some = batch.slice(at, DOCS)
                 rows = []
                 found = tokenize.encode(some.column(1).to_pylist())
                 for doc, ids in zip(some.column(0).to_pylist(), found, strict=True):

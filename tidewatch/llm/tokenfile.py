@@ -33,6 +33,8 @@ DICTIONARY_BYTES = 1 << 16
 # A block is closed when its frames have so many bytes.
 BLOCK_BYTES = 4 << 20
 LEVEL = 3
+# Documents encoded together.
+DOCS = 2048
 
 _BLOCK = pa.schema(
     [
@@ -135,8 +137,8 @@ def _blocks(tokenizer: str, end_id: int, kind: str, dictionary: Dictionary, bloc
             return pa.RecordBatch.from_pylist([row], schema=_BLOCK)
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                some = batch.slice(at, 512)
+            for at in range(0, batch.num_rows, DOCS):
+                some = batch.slice(at, DOCS)
                 found = tokenize.encode(some.column(1).to_pylist())
                 for doc, array in zip(
                     some.column(0).to_pylist(), _serialised(found, end_id, kind), strict=True

@@ -13,13 +13,14 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 # Distinct pieces in each of the two generations of the cache.
-CACHE_PIECES = 500_000
+CACHE_PIECES = 300_000
 # Characters cut into pieces at a time, so that a very long text needs no long list.
-SPAN_CHARS = 1 << 20
+SPAN_CHARS = 1 << 22
 
-_MARKS = frozenset("!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~")
 # Words of which the normal form is plain: no case or composition rules but those of Latin-1.
 _LETTERS = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
 # The byte-level alphabet: bytes that print stand for themselves, the others for characters from
@@ -27,14 +28,20 @@ _LETTERS = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
 _PRINTING = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _OTHERS = [byte for byte in range(256) if byte not in _PRINTING]
 _BYTE_NAMES = {byte: 256 + i for i, byte in enumerate(_OTHERS) if byte != 0x20}
-_BLANK_NAME = chr(256 + _OTHERS.index(0x20))
-_UNEVEN = re.compile(r" (?!\S)")
+_BLANK_NAME, _BREAK_NAME = (chr(256 + _OTHERS.index(byte)) for byte in (0x20, 0x0A))
+# A piece that no blank precedes begins with this; texts that hold it are encoded as they are.
+_INNER = "\0"
 # Before a blank that a non-blank follows; the blank belongs to the piece after it.
 _BLANK = re.compile(r" (?=\S)")
-# Between a letter or digit and a mark, between a mark and one line break, after that break. The
-# apostrophe is no such mark: it may belong to the letters after it.
+# The same for a whole text: a blank before another one, or at the end.
+_SPACES = r"\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+_UNEVEN = f" ([{_SPACES}]|$)|{_INNER}"
+# Between a letter or digit and a mark, before or after which no token goes on. The apostrophe is no
+# such mark: it may belong to the letters after it.
 _P = r"[!-&(-/:-@\[-`{-~]"
-_MARK = re.compile(rf"(?<=[^\W_])(?={_P})|(?<={_P})(?=\n)|(?<={_P}\n)(?=[^\W_])")
+_BEFORE_MARK = rf"([\pL\pN])({_P})"
+# Between a mark and one line break, and after that break.
+_BREAK = rf"({_P})\n([\pL\pN])"
 
 
 def _chunking(spec: dict) -> str | None:
@@ -68,6 +75,7 @@ class Encoder:
         # With blanks kept, a piece stands for itself with a blank before it.
         self.lead = " " if self.chunking == "kept" else ""
         self.edges = self._word_edges() if self.chunking else None
+        self.line_break = self.tokenizer.token_to_id(_BREAK_NAME)
         # The same model for words whose normal form is known: no step before it but splitting.
         self.bare = Tokenizer.from_file(path)
         self.bare.normalizer = normalizers.Sequence([])
@@ -92,62 +100,60 @@ class Encoder:
             edges[[i for token, i in vocab.items() if token.endswith(suffix)]] = True
         return edges
 
-    def _encode_words(self, words: list[str]) -> list[bytes]:
+    def _encode_words(self, words: list[str], inner: bool = False) -> list[bytes]:
         """Ids of words of Latin letters, all in one call; the edges of words tell them apart."""
+        between = " " if not inner else f" {_BREAK_NAME} "
         text = " ".join(words)
         if not self.lead:
             text = text.lower()
         if not text.isascii():
             text = text.encode().decode("latin-1").translate(_BYTE_NAMES)
-        if self.lead:
+        if inner:
+            text = text.replace(" ", between)
+        elif self.lead:
             text = _BLANK_NAME + text.replace(" ", " " + _BLANK_NAME)
         ids = np.array(self.bare.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-        cuts = np.flatnonzero(self.edges[ids])
-        if len(cuts) != len(words):
-            return self._encode([self.lead + word for word in words])
-        cuts = [*cuts.tolist(), len(ids)] if self.lead else [0, *(cuts + 1).tolist()]
         raw = ids.tobytes()
-        return [raw[4 * a : 4 * b] for a, b in zip(cuts, cuts[1:], strict=False)]
+        if inner:
+            ends = [*np.flatnonzero(ids == self.line_break).tolist(), len(ids)]
+            begins = [0, *[end + 1 for end in ends[:-1]]]
+        elif self.lead:
+            begins = np.flatnonzero(self.edges[ids]).tolist()
+            ends = [*begins[1:], len(ids)]
+        else:
+            ends = (np.flatnonzero(self.edges[ids]) + 1).tolist()
+            begins = [0, *ends[:-1]]
+        if len(begins) != len(words):
+            return self._encode([word if inner else self.lead + word for word in words])
+        return [raw[4 * a : 4 * b] for a, b in zip(begins, ends, strict=True)]
 
-    def _learn(self, pieces: set[str]) -> None:
+    def _learn(self, pieces: list[str]) -> None:
         """See that all ``pieces`` are in the young generation."""
         young, old = self.young, self.old
-        # A zero character starts the names of parts, so pieces with one are encoded as they are.
-        zero = [piece for piece in pieces if "\0" in piece]
-        young.update(zip(zero, self._encode([self.lead + piece for piece in zero]), strict=True))
-        pieces.difference_update(zero)
-        joined, missing = {}, set()
+        new = []
         for piece in pieces:
             known = old.get(piece)
-            if known is not None:
-                young[piece] = known
-            elif piece[-1:] in _MARKS or "\n" in piece:
-                joined[piece] = _MARK.split(self.lead + piece)
+            if known is None:
+                new.append(piece)
             else:
-                missing.add(piece)
-        # The first part has the blank of its piece; the others are kept under a name of their own.
-        lead, inner = len(self.lead), "\0" if self.lead else ""
-        for first, *others in joined.values():
-            missing.add(first[lead:])
-            missing.update([inner + other for other in others])
-        words, odd = [], []
-        for piece in missing:
-            if piece in young:
-                continue
-            if piece in old:
-                young[piece] = old[piece]
-                continue
-            (words if self.edges is not None and _LETTERS.fullmatch(piece) else odd).append(piece)
+                young[piece] = known
+        plain = _LETTERS.fullmatch if self.edges is not None else lambda _: None
+        words = [x for x in new if plain(x)]
+        inner = [x for x in new if x[:1] == _INNER and plain(x, 1)] if self.lead else []
+        done = {*words, *inner}
+        odd = [x for x in new if x not in done]
         for start in range(0, len(words), 8192):
             some = words[start : start + 8192]
             young.update(zip(some, self._encode_words(some), strict=True))
-        alone = [x[1:] if x[:1] == "\0" else self.lead + x for x in odd]
-        young.update(zip(odd, self._encode(alone), strict=True))
-        for piece, (first, *others) in joined.items():
-            ids = [young[first[lead:]], *[young[inner + other] for other in others]]
-            young[piece] = b"".join(ids)
+        for start in range(0, len(inner), 8192):
+            some = inner[start : start + 8192]
+            found = self._encode_words([x[1:] for x in some], inner=True)
+            young.update(zip(some, found, strict=True))
+        texts = [x[1:] if x[:1] == _INNER else self.lead + x for x in odd]
+        young.update(zip(odd, self._encode(texts), strict=True))
 
     def _spans(self, text: str) -> Iterator[str]:
+        """``text`` cut before blanks; the blank goes with what follows it."""
         start = 0
         while len(text) - start > SPAN_CHARS:
             cut = _BLANK.search(text, start + SPAN_CHARS)
@@ -166,38 +172,64 @@ class Encoder:
         start = 0
         while start < len(spans):
             end, chars = start, 0
-            while end < len(spans) and (end == start or chars < SPAN_CHARS // 4):
+            while end < len(spans) and (end == start or chars < SPAN_CHARS):
                 chars += len(spans[end][1])
                 end += 1
-            for i, found in self._encode_spans(spans[start:end]):
-                ids[i].append(found)
-            start = end
-        return [b"".join(parts) for parts in ids]
-
-    def _encode_spans(self, spans: list[tuple[int, str]]) -> list[tuple[int, bytes]]:
-        flat: list[str] = []
-        ends = []
-        firsts = []
-        for _, span in spans:
-            pieces = _BLANK.split(span) if _UNEVEN.search(span) else span.split(" ")
-            if self.lead:
-                firsts.append(pieces[0])
-                del pieces[0]
-            flat += pieces
-            ends.append(len(flat))
-        known = list(map(self.young.get, flat))
-        if None in known:
-            new = [i for i, ids in enumerate(known) if ids is None]
-            self._learn({flat[i] for i in new})
-            for i in new:
-                known[i] = self.young[flat[i]]
-        heads = self._encode(firsts) if self.lead else [b""] * len(spans)
-        out, start = [], 0
-        for (i, _), head, end in zip(spans, heads, ends, strict=True):
-            out.append((i, head + b"".join(known[start:end])))
+            found = self._encode_spans([span for _, span in spans[start:end]])
+            for (i, _), part in zip(spans[start:end], found, strict=True):
+                ids[i].append(part)
             start = end
-        if len(self.young) > CACHE_PIECES:
-            self.young, self.old = {}, self.young
+        return [parts[0] if len(parts) == 1 else b"".join(parts) for parts in ids]
+
+    def _pieces(self, spans: pa.Array) -> pa.ListArray:
+        """Spans cut into pieces that are encoded by themselves.
+
+        Where blanks are kept, a piece stands for itself with a blank before it, or begins with
+        ``_INNER``. Where they are dropped, any white space is a place to cut.
+        """
+        if self.lead:
+            # The blank that begins a later span of a long text is that of its first piece.
+            led = pc.starts_with(spans, " ")
+            spans = pc.if_else(led, pc.utf8_slice_codeunits(spans, 1), pc.binary_join_element_wise(
+                pa.scalar(_INNER, pa.large_string()), spans, pa.scalar("", pa.large_string())))
+            spans = pc.replace_substring_regex(spans, _BREAK, f"\\1 {_INNER}\n {_INNER}\\2")
+            spans = pc.replace_substring_regex(spans, _BEFORE_MARK, rf"\1 {_INNER}\2")
+        else:
+            spans = pc.replace_substring_regex(spans, r"[\t\n\x0b\f\r]", " ")
+            spans = pc.replace_substring_regex(spans, _BEFORE_MARK, r"\1 \2")
+        return pc.split_pattern(spans, " ")
+
+    def _encode_spans(self, spans: list[str]) -> list[bytes]:
+        """Pieces are cut and numbered by Arrow; each distinct one is looked up once."""
+        column = pa.array(spans, pa.large_string())
+        uneven = pc.match_substring_regex(column, _UNEVEN) if self.lead else pc.equal(column, None)
+        whole = [i for i, x in enumerate(uneven.to_pylist()) if x]
+        if whole:
+            column = pc.if_else(uneven, pa.scalar("", pa.large_string()), column)
+        lists = self._pieces(column)
+        bounds = lists.offsets.to_numpy()
+        bounds = bounds - bounds[0]
+        named = lists.flatten().dictionary_encode()
+        pieces = named.dictionary.to_pylist()
+        young = self.young
+        new = [piece for piece in pieces if piece not in young]
+        if new:
+            self._learn(new)
+        known = list(map(young.__getitem__, pieces))
+        index = named.indices.to_numpy()
+        lengths = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        begins = np.cumsum(lengths) - lengths
+        counts = lengths[index]
+        ends = np.cumsum(counts)
+        total = int(ends[-1]) if len(ends) else 0
+        places = np.repeat(begins[index] - (ends - counts), counts) + np.arange(total)
+        ids = np.frombuffer(b"".join(known), "<u4")[places]
+        edges = np.concatenate([[0], ends])[bounds].tolist()
+        out = [ids[a:b].tobytes() for a, b in zip(edges, edges[1:], strict=False)]
+        for i, found in zip(whole, self._encode([spans[i] for i in whole]), strict=True):
+            out[i] = found
+        if len(young) > CACHE_PIECES:
+            self.young, self.old = {}, young
         return out
 
 

@@ -300,23 +300,30 @@ def fit(
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = [Words(scores) for scores in other_half]
         for batch in batches:
-            packed, kinds = [], []
+            sizes, packed, kinds = [], [], []
             for text, toxic, half in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 scores = token_scores(text, known[half])[0]
                 # The background tokens between hits all have the same score.
                 hits = np.flatnonzero(scores > 0)
-                packed.append([len(scores), *np.stack([hits, scores[hits]], 1).ravel().tolist()])
+                sizes.append(len(scores))
+                packed.append(np.stack([hits, scores[hits]], 1).astype("<f8").tobytes())
                 kinds.append(toxic)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(packed, pa.list_(pa.float64())), pa.array(kinds, pa.int32())],
-                ["scores", "toxic"],
+                [
+                    pa.array(sizes, pa.int64()),
+                    pa.array(packed, pa.binary()),
+                    pa.array(kinds, pa.int32()),
+                ],
+                ["n", "hits", "toxic"],
             )
 
-    # At most fit_rows rows, of hits alone.
+    # At most fit_rows rows, of hits alone, as bytes.
+    scored = rows.mapInArrow(tokens, "n long, hits binary, toxic int").toArrow()
     found = [
-        (int(r["scores"][0]), np.array(r["scores"][1:], np.float32).reshape(-1, 2), r["toxic"] > 0)
-        for r in rows.mapInArrow(tokens, "scores array<double>, toxic int").collect()
+        (n_, np.frombuffer(hits, "<f8").reshape(-1, 2), toxic > 0)
+        for n_, hits, toxic in zip(*[c.to_pylist() for c in scored.columns], strict=True)
     ]
+    del scored
     if all((n[0] + n[2], n[1] + n[3])):
         _law(found, model)
         x = np.array([features(_expanded(n_, hits), model)[0] for n_, hits, _ in found])
