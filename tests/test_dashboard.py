@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta, timezone
+from datetime import date, datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
 
 from tests.helpers import moment, silver_rows
-from tidewatch.functions import floor_minutes, slice_start
+from tidewatch.functions import floor_minutes, slice_start, utc_date
 from tidewatch.operators import dashboard, reports
 from tidewatch.operators.windows import user_activity
 from tidewatch.plans.gold import gold_edit_volume
+from tidewatch.sources.tables import SILVER_PARTITION, edits_since
 
 
 def spiky(spark, **spike):
@@ -89,19 +90,35 @@ def test_series(spark):
     assert [row.window_start for row in table.collect()] == [moment(1200)]
 
 
-@pytest.mark.parametrize("broadcast_rows", [None, 0, 10])
-def test_users_in_anomalies(spark, broadcast_rows):
+def test_bounds_with_a_zone(spark):
+    """01:00 at +05:00 is 20:00 UTC of the day before."""
+    rows = silver_rows(spark, [{"t": 19 * 3600}, {"t": 20 * 3600}, {"t": 25 * 3600}])
+    east = datetime(1970, 1, 2, 1, 0, tzinfo=timezone(timedelta(hours=5)))
+    assert utc_date(east) == date(1970, 1, 1) and utc_date(date(1970, 1, 2)) == date(1970, 1, 2)
+    activity = dashboard.user_slice(user_activity(rows), east, "1min")
+    assert activity.count() == 2
+    by_day = rows.withColumn(SILVER_PARTITION, F.to_date("edit_timestamp"))
+    assert edits_since(by_day, east).count() == 2
+
+
+def test_other_labels(spark):
+    rows = user_activity(silver_rows(spark, [{"t": 0}]), {"hour": 3600})
+    assert dashboard.user_slice(rows, None, "hour", ["hour"]).count() == 1
+    with pytest.raises(ValueError, match="granularity"):
+        dashboard.user_slice(rows, None, "1min", ["hour"])
+
+
+@pytest.mark.parametrize("threshold", ["-1", "10m"])
+def test_users_in_anomalies(spark, threshold):
     source = spiky(spark)
     volume = dashboard.volume_slice(gold_edit_volume(source), granularity="1min")
     users = dashboard.user_slice(user_activity(source), granularity="1min")
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     try:
-        found = dashboard.users_in_anomalies(users, volume, broadcast_rows)
+        found = dashboard.users_in_anomalies(users, volume)
         assert found.columns == users.columns
         assert sorted(row.user for row in found.collect()) == ["busy", "q0"]
-        plan = found._jdf.queryExecution().executedPlan().toString()
-        assert ("BroadcastHashJoin" in plan) == (broadcast_rows == 10)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 

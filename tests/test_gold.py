@@ -11,9 +11,10 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tests.helpers import moment, silver_rows
+from tidewatch import fixed
 from tidewatch.functions import lookback_start
 from tidewatch.operators.windows import edit_volume, user_activity
-from tidewatch.plans.gold import gold_edit_volume_since, refresh_gold
+from tidewatch.plans.gold import Settings, gold_edit_volume_since, refresh_gold
 from tidewatch.sinks import (
     create_table,
     replace_dates,
@@ -189,6 +190,75 @@ def test_files_are_sorted_within(spark, names, folder):
     assert len(keys) == 1000 and keys == sorted(keys)
 
 
+@pytest.mark.parametrize("external", [False, True])
+def test_far_dates_vanish_like_others(spark, names, folder, external):
+    """Dates 32,768 days apart and beyond the year 9999 are told apart and removed."""
+    table = names["user_table"]
+    where = {"path": f"{folder}/t"} if external else {}
+    far = [{"t": 1.7e12}, {"t": (8 + 32_768) * DAY}]
+    old = user_activity(on_days(spark, 7, 8, 9).union(silver_rows(spark, far[:1])))
+    create_table(old, table, **where)
+    assert any(day.startswith("+") for day in days_as_text(spark, table))
+    replace_dates(user_activity(on_days(spark, 8).union(silver_rows(spark, far[1:]))), table, START)
+    assert days_as_text(spark, table) == ["1970-01-07", "1970-01-08", "2059-09-27"]
+    listed = {row.partition for row in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    assert listed == {f"date={day}" for day in days_as_text(spark, table)}
+    if external:
+        assert spark.read.parquet(f"{folder}/t").select("date").distinct().count() == 3
+
+
+def days_as_text(spark, table):
+    found = spark.table(table).select(F.col("date").cast("string")).distinct().collect()
+    return sorted(row.date for row in found)
+
+
+def test_vanished_dates_of_a_managed_table_run_no_job(spark, names):
+    table = names["user_table"]
+    create_table(user_activity(on_days(spark, *range(8, 20))), table)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("vanish", "")
+    try:
+        replace_dates(user_activity(on_days(spark, 8)), table, START)
+        many = len(tracker.getJobIdsForGroup("vanish"))
+        spark.sparkContext.setJobGroup("nothing", "")
+        replace_dates(user_activity(on_days(spark, 8)), table, START)
+        none = len(tracker.getJobIdsForGroup("nothing"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    # what is left over is removed without a job for each date
+    assert many < none + 11
+    assert days(spark, table) == {"1970-01-08": 2}
+
+
+def test_silver_by_path(spark, names, folder):
+    """The path asked for is read, also if there is a table of the usual name."""
+    on_days(spark, 8).write.saveAsTable(fixed.SILVER_TABLE)
+    try:
+        on_days(spark, 10).write.parquet(f"{folder}/silver")
+        refresh_gold(spark, silver_path=f"{folder}/silver", as_of=AS_OF, **names)
+        assert days(spark, names["user_table"]) == {"1970-01-10": 2}
+        refresh_gold(spark, as_of=AS_OF, **names)
+        assert days(spark, names["user_table"]) == {"1970-01-08": 2}
+        with pytest.raises(ValueError, match="one of"):
+            refresh_gold(spark, silver_table="x", silver_path="y", as_of=AS_OF, **names)
+    finally:
+        spark.sql(f"DROP TABLE {fixed.SILVER_TABLE}")
+
+
+def test_other_settings(spark, names):
+    """Window lengths, baseline, sigma and group columns reach the tables."""
+    settings = Settings({"hour": 3600}, 7200, 0.5, by=["title"])
+    rows = [{"t": 8 * DAY + 3600 * h, "title": t} for h in range(3) for t in "ab" for _ in range(h + 1)]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    refresh_gold(spark, silver=silver_rows(spark, rows), as_of=AS_OF, settings=settings, **names)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    volume = spark.table(names["volume_table"])
+    found = {(r.title, r.total_edits): (r.rolling_mean_edits, r.is_anomaly) for r in volume.collect()}
+    assert found == {(t, n): ((n + 1) / 2, n > 1) for t in "ab" for n in (1, 2, 3)}
+    assert set(volume.select("window_duration").distinct().first()) == {"hour"}
+    assert "title" in spark.table(names["user_table"]).columns
+
+
 def test_absurd_future_date_is_carried_along(spark, names):
     far = silver_rows(spark, [{"t": 1.7e12}, {"t": 9.2e12}])
     for silver in (on_days(spark, 8).union(far), on_days(spark, 8, 9).union(far)):

@@ -10,7 +10,7 @@ import pytest
 
 from tests.helpers import silver_rows
 from tidewatch import fixed
-from tidewatch.__main__ import main
+from tidewatch.__main__ import _arguments, _topic_sink, main
 from tidewatch.operators.windows import user_activity
 from tidewatch.plans.gold import gold_edit_volume
 from tidewatch.plans.page import dashboard_page
@@ -53,9 +53,10 @@ def test_all_jobs_in_a_row(spark, folder, feed, capsys):
     topics, checkpoint = f"{folder}/topics", f"{folder}/ck"
     for _ in range(2):
         words = ["--topics", topics, "--checkpoint"]
-        main(["ingest", "--feed", feed, "--sse", *words, f"{checkpoint}/ingest"])
+        limits = ["--feed-option", "maxFilesPerTrigger=1"]
+        main(["ingest", "--feed", feed, "--sse", *limits, *words, f"{checkpoint}/ingest"])
         main(["bronze", *words, f"{checkpoint}/bronze", "--option", "maxFilesPerTrigger=5"])
-        main(["silver", "--checkpoint", f"{checkpoint}/silver"])
+        main(["silver", "--checkpoint", f"{checkpoint}/silver", "--files-per-day", "2"])
         main(["gold", "--as-of", AS_OF])
     assert spark.table(fixed.BRONZE_EDITS_TABLE).count() == 100
     assert spark.table(fixed.BRONZE_PAGE_TABLE).count() == 1
@@ -65,12 +66,24 @@ def test_all_jobs_in_a_row(spark, folder, feed, capsys):
     assert spark.table(fixed.VOLUME_TABLE).count() == 50 + 10
     main(["gold", "--as-of", "1980-01-01"])
     main(["report", "--as-of", AS_OF])
-    main(["page", "--as-of", AS_OF, "--hours", "6", "--granularity", "1min"])
+    page = ["page", "--as-of", AS_OF, "--hours", "6", "--granularity", "1min"]
+    main([*page, "--out", f"{folder}/page"])
     shown = capsys.readouterr().out
+    assert "volume_series" in shown and "only showing" not in shown
+    assert spark.read.parquet(f"{folder}/page/volume_series").count() == 50
     assert "replaced from 1970-01-01 on" in shown and "nothing found from 1979-12-30 on" in shown
     assert "namespace_label" in shown and "distinct_users" in shown and "avg_bot_ratio" in shown
 
 
+def test_options_of_a_topic_sink():
+    words = ["ingest", "--feed", "f", "--servers", "s", "--checkpoint", "c", "--option", "a=b"]
+    given = _arguments(words)
+    given.option = dict(option.split("=", 1) for option in given.option)
+    sink = _topic_sink(given)
+    assert sink["a"] == "b" and sink["kafka.bootstrap.servers"] == "s"
+    assert "startingOffsets" not in sink
+
+
 def test_topics_are_on_servers_or_in_files():
     for words in ([], ["--servers", "s", "--topics", "t"]):
         with pytest.raises(SystemExit):
@@ -80,12 +93,16 @@ def test_topics_are_on_servers_or_in_files():
 def test_page(spark):
     quiet = [{"t": 60 * n, "user": "q"} for n in range(10)]
     source = silver_rows(spark, quiet + [{"t": 600, "user": f"b{n % 2}"} for n in range(40)])
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("page", "")
     frames = dashboard_page(
         gold_edit_volume(source),
         user_activity(source),
         as_of=datetime(1970, 1, 1, 6, 4),
         granularity="1min",
     )
+    assert not tracker.getJobIdsForGroup("page")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     counts = {name: frame.count() for name, frame in frames.items()}
     assert counts == {
         "volume": 11,

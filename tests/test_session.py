@@ -28,7 +28,11 @@ def test_scratch_is_below_the_shared_folder():
 def test_no_local_scratch_on_a_cluster():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.scratch_folder(Session(spark_master="spark://host:7077"), "job")
-    assert session.scratch_folder(Session(spark_master="local[2]"), "job").startswith("/tmp/run-")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.scratch_folder(Session(spark_master="local-cluster[2,1,1024]"), "job")
+    for master in ("local", "local[2]", "local[*]"):
+        made = session.scratch_folder(Session(spark_master=master), "job")
+        assert made.startswith("/tmp/run-")
 
 
 def test_shuffles_are_sized_upwards_only(spark):
@@ -39,10 +43,20 @@ def test_shuffles_are_sized_upwards_only(spark):
         assert session.size_shuffles(spark, 10 * session.SHUFFLE_TASK_BYTES * 10 + 1) == 101
         assert session.size_shuffles(spark, 0) == 101
         assert session.size_shuffles(spark, 10**18) == session.MAX_SHUFFLE_PARTITIONS
+        assert session.size_shuffles(spark, 10**18, at_most=40_000) == 40_000
     finally:
         spark.conf.set(key, before)
 
 
+def test_sizing_ends_with_its_block(spark):
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    with pytest.raises(ValueError), session.sized_shuffles(spark, 2**40) as partitions:
+        assert int(spark.conf.get(key)) == partitions == 2**40 // session.SHUFFLE_TASK_BYTES
+        raise ValueError
+    assert spark.conf.get(key) == before
+
+
 def test_scan_bytes(spark, folder):
     spark.range(100_000).write.parquet(f"{folder}/t")
     size = sum(file.stat().st_size for file in Path(f"{folder}/t").glob("*.parquet"))

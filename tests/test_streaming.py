@@ -20,6 +20,8 @@ from tidewatch.sources import (
     read_silver,
     read_table,
     run_sql,
+    sse_blocks,
+    sse_payloads,
     stream_table,
     topic_file_records,
 )
@@ -184,6 +186,58 @@ def test_failed_stream_stops_its_companions(spark, folder):
     assert not any(query.isActive for query in queries)
 
 
+def test_only_a_missing_folder_counts_as_unwritten(spark, folder):
+    add_file(folder, "a.json", raw_line(1))
+    lines = raw_text(spark, f"{folder}/raw", stream=True)
+    with pytest.raises(Exception, match="nosuchformat"):
+        append_stream(lines, f"{folder}/ck", path=f"{folder}/raw", fmt="nosuchformat")
+
+
+def test_files_of_a_long_history(spark, folder):
+    """A batch that meets many days in every task writes few files for each."""
+    rows = [raw_line(n, day=n % 20) for n in range(400)]
+    for part in range(8):
+        add_file(folder, f"{part}.json", *rows[part::8])
+    raw = raw_text(spark, f"{folder}/raw", stream=True)
+    ingest_job(raw, f"{folder}/ck/ingest", fmt="parquet", path=f"{folder}/topics")
+    records = [
+        topic_file_records(spark, f"{folder}/topics", topic, stream=True)
+        for topic in ("wiki_edits", "wiki_page_events")
+    ]
+    targets = {"path": f"{folder}/edits"}, {"path": f"{folder}/pages"}
+    bronze_job(*records, f"{folder}/ck/bronze", *targets)
+    appended = stream_table(spark, path=f"{folder}/edits", schema=BRONZE_EDITS)
+    for name, limit in (("plain", None), ("few", 2)):
+        silver_job(appended, f"{folder}/ck/{name}", {"path": f"{folder}/{name}"}, files_per_day=limit)
+        assert ids(read_silver(spark, path=f"{folder}/{name}")) == list(range(400))
+    files = [len([*day.glob("*.parquet")]) for day in Path(folder, "few").glob("edit_date=*")]
+    assert len(files) == 20 and max(files) <= 2
+
+
+def test_events_of_several_lines(spark, folder):
+    """Data lines of an event are joined; what has none is dropped."""
+    text = "\n\n".join(
+        [
+            ":ok",
+            'event: message\nid: 1\ndata: {"a": 1,\ndata: "b": 2}',
+            "data:x\r\ndata:\r\ndata:  y",
+            "id: 3",
+            "\ndata: z",
+        ]
+    )
+    Path(folder, "raw").mkdir()
+    Path(folder, "raw", "a.txt").write_bytes(text.encode())
+    found = sse_payloads(sse_blocks(spark, f"{folder}/raw"))
+    assert sorted(row.value for row in found.collect()) == ["x\n\n y", "z", '{"a": 1,\n"b": 2}']
+
+
+def test_two_objects_in_one_text_are_the_first(spark):
+    """A decision: garbage that ends in a brace is not looked for."""
+    texts = [(f"{raw_line(1)} {raw_line(2)}",), (f"{raw_line(3)} x",)]
+    sent = ingest.messages(spark.createDataFrame(texts, "value string"))
+    assert [row.key for row in sent.collect()] == ["1"]
+
+
 def test_kafka_options(spark):
     options = kafka_options("broker:1", maxOffsetsPerTrigger="5", startingOffsets="latest")
     assert options["kafka.bootstrap.servers"] == "broker:1"
@@ -192,6 +246,7 @@ def test_kafka_options(spark):
     assert options["failOnDataLoss"] == "false"
     assert options["startingOffsets"] == "latest" and options["maxOffsetsPerTrigger"] == "5"
     assert kafka_options("b")["startingOffsets"] == "earliest"
+    assert int(kafka_options("b")["maxOffsetsPerTrigger"]) > 0
     # no connector here: the source is asked for by its name, and that is as far as it goes
     with pytest.raises(Exception, match="(?i)kafka"):
         kafka_records(spark, "wiki_edits", options)

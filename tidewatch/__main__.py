@@ -1,14 +1,15 @@
 """Command line of the jobs, for ``spark-submit`` or ``python -m tidewatch``.
 
-    ingest  --feed DIR [--sse] (--servers HOST:PORT | --topics DIR) --checkpoint DIR
+    ingest  (--feed DIR [--sse] | --feed-topic NAME) [--feed-option KEY=VALUE]
+            (--servers HOST:PORT | --topics DIR) --checkpoint DIR
     bronze  (--servers HOST:PORT | --topics DIR) --checkpoint DIR
-    silver  --checkpoint DIR
+    silver  --checkpoint DIR [--files-per-day N]
     gold    [--as-of TIME] [--warm]
     report  [--as-of TIME]
-    page    [--as-of TIME] [--hours N] [--granularity 1min|5min]
+    page    [--as-of TIME] [--hours N] [--granularity 1min|5min] [--out DIR]
 
 Topics are those of a message bus (``--servers``, with ``--option key=value`` for the connector) or
-folders of files (``--topics``).  Tables go by their usual names; ``--format`` chooses their format.
+folders of files (``--topics``).  A topic of raw events is read from the same servers.  Tables go by their usual names; ``--format`` chooses their format.
 """
 
 from __future__ import annotations
@@ -29,9 +30,11 @@ from tidewatch.session import configure
 from tidewatch.sources import (
     kafka_options,
     kafka_records,
+    raw_records,
     raw_text,
     read_silver,
     read_table,
+    sse_blocks,
     sse_payloads,
     stream_table,
     topic_file_records,
@@ -39,13 +42,24 @@ from tidewatch.sources import (
 from tidewatch.streaming import bronze_job, ingest_job, silver_job
 
 
+# What a page shows: all but its two slices of the tables themselves.
+SHOWN = (
+    "key_figures", "distinct_users", "volume_series", "bot_series", "z_score_series",
+    "top_editors", "anomalies",
+)
+MOST_ROWS = 2**31 - 1
+
+
 def _arguments(words: Sequence[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="tidewatch", description="Edit-stream analytics jobs")
     parser.add_argument("--format", default="parquet")
     commands = parser.add_subparsers(dest="command", required=True)
 
     ingest = commands.add_parser("ingest", help="raw event files -> topics")
-    ingest.add_argument("--feed", required=True, help="folder of text files")
+    feed = ingest.add_mutually_exclusive_group(required=True)
+    feed.add_argument("--feed", help="folder of text files")
+    feed.add_argument("--feed-topic", help="topic of raw events")
+    ingest.add_argument("--feed-option", action="append", default=[], metavar="KEY=VALUE")
     ingest.add_argument("--sse", action="store_true", help="files are a recorded event stream")
     bronze = commands.add_parser("bronze", help="topics -> bronze tables")
     for command in (ingest, bronze):
@@ -57,6 +71,7 @@ def _arguments(words: Sequence[str] | None) -> argparse.Namespace:
 
     features = commands.add_parser("silver", help="bronze edits -> silver table")
     features.add_argument("--checkpoint", required=True)
+    features.add_argument("--files-per-day", type=int, help="shuffle by day before writing")
 
     gold = commands.add_parser("gold", help="silver -> gold tables, last days only")
     gold.add_argument("--warm", action="store_true", help="baseline reads the hour before")
@@ -64,6 +79,7 @@ def _arguments(words: Sequence[str] | None) -> argparse.Namespace:
     page = commands.add_parser("page", help="key figures, editors and anomalies of a slice")
     page.add_argument("--hours", type=int, default=fixed.DEFAULT_HOURS)
     page.add_argument("--granularity", default=fixed.DEFAULT_GRANULARITY)
+    page.add_argument("--out", help="also write every frame to a folder of its name here")
     for command in (gold, report, page):
         command.add_argument("--as-of", type=datetime.fromisoformat)
     return parser.parse_args(words)
@@ -72,8 +88,19 @@ def _arguments(words: Sequence[str] | None) -> argparse.Namespace:
 def _topic_sink(given: argparse.Namespace) -> dict[str, str]:
     if given.topics:
         return {"fmt": "parquet", "path": given.topics, **given.option}
-    settings = kafka_options(given.servers, **given.option)
-    return {"fmt": "kafka", **{k: v for k, v in settings.items() if k.startswith("kafka.")}}
+    # of the defaults, those that also concern a writer; of the given options, all
+    settings = {k: v for k, v in kafka_options(given.servers).items() if k.startswith("kafka.")}
+    return {"fmt": "kafka", **settings, **given.option}
+
+
+def _raw(spark: SparkSession, given: argparse.Namespace) -> DataFrame:
+    if given.feed_topic:
+        if not given.servers:
+            raise SystemExit("--feed-topic needs --servers")
+        return raw_records(spark, given.feed_topic, kafka_options(given.servers, **given.feed_option))
+    if given.sse:
+        return sse_payloads(sse_blocks(spark, given.feed, stream=True, **given.feed_option))
+    return raw_text(spark, given.feed, stream=True, **given.feed_option)
 
 
 def _records(spark: SparkSession, given: argparse.Namespace, topic: str) -> DataFrame:
@@ -98,7 +125,12 @@ def _report(spark: SparkSession, as_of: datetime | None) -> None:
         reports.editor_preview(users),
         reports.latest_windows(volume),
     ):
-        frame.show(20, truncate=False)
+        _show(frame)
+
+
+def _show(frame: DataFrame) -> None:
+    """All rows of a frame that is small by its nature: totals, lists, windows of a slice."""
+    frame.show(MOST_ROWS, truncate=False)
 
 
 def main(words: Sequence[str] | None = None) -> None:
@@ -107,10 +139,9 @@ def main(words: Sequence[str] | None = None) -> None:
     if given.command in ("ingest", "bronze"):
         given.option = dict(option.split("=", 1) for option in given.option)
     if given.command == "ingest":
-        lines = raw_text(spark, given.feed, stream=True)
-        ingest_job(
-            sse_payloads(lines) if given.sse else lines, given.checkpoint, **_topic_sink(given)
-        )
+        given.feed_option = dict(option.split("=", 1) for option in given.feed_option)
+    if given.command == "ingest":
+        ingest_job(_raw(spark, given), given.checkpoint, **_topic_sink(given))
     elif given.command == "bronze":
         bronze_job(
             _records(spark, given, fixed.EDIT_TOPIC),
@@ -120,11 +151,11 @@ def main(words: Sequence[str] | None = None) -> None:
         )
     elif given.command == "silver":
         bronze = stream_table(spark, fixed.BRONZE_EDITS_TABLE)
-        silver_job(bronze, given.checkpoint, fmt=given.format)
-    elif given.command == "gold":
-        done = refresh_gold(
-            spark, as_of=given.as_of, warm_baseline=given.warm, fmt=given.format
+        silver_job(
+            bronze, given.checkpoint, fmt=given.format, files_per_day=given.files_per_day
         )
+    elif given.command == "gold":
+        done = refresh_gold(spark, as_of=given.as_of, warm_baseline=given.warm, fmt=given.format)
         print(f"{'replaced' if done.written else 'nothing found'} from {done.start} on")
     elif given.command == "report":
         _report(spark, given.as_of)
@@ -132,8 +163,12 @@ def main(words: Sequence[str] | None = None) -> None:
         volume = read_table(spark, fixed.VOLUME_TABLE)
         users = read_table(spark, fixed.USER_TABLE)
         frames = dashboard_page(volume, users, given.as_of, given.hours, given.granularity)
-        for name in ("key_figures", "distinct_users", "top_editors", "anomalies"):
-            frames[name].show(20, truncate=False)
+        for name in SHOWN:
+            print(name)
+            _show(frames[name])
+        if given.out:
+            for name, frame in frames.items():
+                frame.write.mode("overwrite").parquet(f"{given.out.rstrip('/')}/{name}")
 
 
 if __name__ == "__main__":

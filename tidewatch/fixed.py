@@ -1,8 +1,9 @@
 """Fixed values.
 
 Every name, lookup entry, pattern and threshold here has to keep its exact value for results to
-stay comparable with tables that already exist.  All of them are defaults of parameters, so a
-caller can override each one.
+stay comparable with tables that already exist.  Labels, patterns, window lengths, thresholds and
+table names are defaults of parameters of the functions that use them, up to ``refresh_gold`` and
+``dashboard_page``; topics, event types and the message schemas are what the other side expects.
 """
 
 from __future__ import annotations

@@ -8,9 +8,11 @@ from tidewatch.functions.edits import (
 )
 from tidewatch.functions.time import (
     floor_minutes,
+    lit_date,
     lit_moment,
     lookback_start,
     slice_start,
+    utc_date,
     window_epoch,
 )
 
@@ -20,10 +22,12 @@ __all__ = [
     "editor_label",
     "floor_minutes",
     "is_revert",
+    "lit_date",
     "lit_moment",
     "lookback_start",
     "namespace_label",
     "percent",
     "slice_start",
+    "utc_date",
     "window_epoch",
 ]

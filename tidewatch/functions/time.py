@@ -25,6 +25,16 @@ def _utc(moment: datetime) -> datetime:
     return moment.astimezone(UTC).replace(tzinfo=None) if moment.tzinfo else moment
 
 
+def utc_date(moment: date) -> date:
+    """The UTC date of a date or datetime; one without zone is taken as UTC."""
+    return _utc(moment).date() if isinstance(moment, datetime) else moment
+
+
+def lit_date(moment: date) -> Column:
+    """:func:`utc_date` as a column, to bound a partition column with."""
+    return F.lit(str(utc_date(moment))).cast("date")
+
+
 def lookback_start(as_of: datetime | None = None, days: int = fixed.LOOKBACK_DAYS) -> date:
     """First date a refresh recomputes: that many whole days before the UTC date of ``as_of``."""
     return (_utc(as_of or datetime.now(UTC)) - timedelta(days=days)).date()

@@ -8,6 +8,8 @@ single ordered pass would give.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,8 +23,12 @@ def rolling_baseline(
     volume: DataFrame,
     baseline_seconds: int = fixed.BASELINE_SECONDS,
     chunk_seconds: int = CHUNK_SECONDS,
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """Add ``rolling_mean_edits`` and ``rolling_stddev_edits`` (0.0 where only one row is seen)."""
+    """Add ``rolling_mean_edits`` and ``rolling_stddev_edits`` (0.0 where only one row is seen).
+
+    With ``by``, each value of those columns is compared with its own past.
+    """
 
     def chunk_of(epoch):
         return epoch - F.pmod(epoch, F.lit(chunk_seconds))
@@ -38,7 +44,7 @@ def rolling_baseline(
     )
     # both columns in one select: one sort and one window node
     frame = (
-        Window.partitionBy("window_duration", "chunk")
+        Window.partitionBy("window_duration", "chunk", *by)
         .orderBy("epoch")
         .rangeBetween(-baseline_seconds, 0)
     )
@@ -62,13 +68,14 @@ def flag_anomalies(
     baseline_seconds: int = fixed.BASELINE_SECONDS,
     sigma: float = fixed.SIGMA,
     chunk_seconds: int = CHUNK_SECONDS,
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """Add the rolling baseline, ``anomaly_threshold``, ``is_anomaly`` and ``z_score``."""
     edits, mean, spread = (
         F.col(name) for name in ("total_edits", "rolling_mean_edits", "rolling_stddev_edits")
     )
     return (
-        rolling_baseline(volume, baseline_seconds, chunk_seconds)
+        rolling_baseline(volume, baseline_seconds, chunk_seconds, by)
         .withColumn("anomaly_threshold", mean + F.lit(float(sigma)) * spread)
         .withColumns(
             {

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch import fixed
-from tidewatch.functions import editor_label, lit_moment, percent
+from tidewatch.functions import editor_label, lit_date, lit_moment, percent
 
 # Column lists are fixed values: the order in which the tables show them.
 VOLUME_COLUMNS = (
@@ -29,14 +30,13 @@ ANOMALY_COLUMNS = (
 def since(table: DataFrame, start: datetime) -> DataFrame:
     """Rows whose window starts at or after ``start``; the date bound prunes partitions."""
     return table.filter(
-        (F.col("date") >= F.lit(str(start)[:10]).cast("date"))
-        & (F.col("window_start") >= lit_moment(start))
+        (F.col("date") >= lit_date(start)) & (F.col("window_start") >= lit_moment(start))
     )
 
 
-def _slice(table, columns, granularity, start):
-    if granularity not in fixed.GRANULARITIES:
-        raise ValueError(f"granularity must be one of {[*fixed.GRANULARITIES]}, not {granularity}")
+def _slice(table, columns, granularity, start, granularities):
+    if granularity not in granularities:
+        raise ValueError(f"granularity must be one of {[*granularities]}, not {granularity}")
     rows = table if start is None else since(table, start)
     return rows.filter(F.col("window_duration") == granularity).select(*columns)
 
@@ -45,17 +45,22 @@ def volume_slice(
     volume: DataFrame,
     start: datetime | None = None,
     granularity: str = fixed.DEFAULT_GRANULARITY,
+    granularities: Iterable[str] = fixed.GRANULARITIES,
 ) -> DataFrame:
-    """Volume rows of one granularity from ``start`` on; the whole table if there is no start."""
-    return _slice(volume, VOLUME_COLUMNS, granularity, start)
+    """Volume rows of one granularity from ``start`` on; the whole table if there is no start.
+
+    ``granularities`` are the labels the table has.
+    """
+    return _slice(volume, VOLUME_COLUMNS, granularity, start, granularities)
 
 
 def user_slice(
     activity: DataFrame,
     start: datetime | None = None,
     granularity: str = fixed.DEFAULT_GRANULARITY,
+    granularities: Iterable[str] = fixed.GRANULARITIES,
 ) -> DataFrame:
-    return _slice(activity, USER_COLUMNS, granularity, start)
+    return _slice(activity, USER_COLUMNS, granularity, start, granularities)
 
 
 def key_figures(volume: DataFrame) -> DataFrame:
@@ -100,19 +105,13 @@ def z_score_series(volume: DataFrame) -> DataFrame:
     return volume.select("window_start", "z_score").orderBy("window_start")
 
 
-def users_in_anomalies(
-    activity: DataFrame, volume: DataFrame, broadcast_rows: int | None = None
-) -> DataFrame:
+def users_in_anomalies(activity: DataFrame, volume: DataFrame) -> DataFrame:
     """User rows whose window is an anomalous one.
 
-    By default Spark chooses the join from the sizes it sees at run time, and splits a hot window.
-    With ``broadcast_rows`` the anomalous windows are counted first, which pays off on a written
-    table, and broadcast if there are no more than that.
+    Spark chooses the join from the sizes it sees at run time, and splits a hot window.
     """
     minute = F.date_trunc("minute", F.col("window_start"))
     unusual = anomalies(volume).select(minute.alias("minute"))
-    if broadcast_rows is not None and unusual.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        unusual = F.broadcast(unusual)
     return activity.withColumn("minute", minute).join(unusual, "minute", "left_semi").drop("minute")
 
 

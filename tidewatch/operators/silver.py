@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewatch import fixed
 from tidewatch.functions import (
     byte_delta,
     byte_magnitude,
@@ -21,7 +24,12 @@ def has_identity(bronze: DataFrame) -> DataFrame:
     return bronze.filter(F.col("id").isNotNull() & F.col("timestamp").isNotNull())
 
 
-def edit_features(bronze: DataFrame) -> DataFrame:
+def edit_features(
+    bronze: DataFrame,
+    labels: Mapping[int, str] = fixed.NAMESPACE_LABELS,
+    other_label: str = fixed.OTHER_NAMESPACE,
+    revert_pattern: str = fixed.REVERT_PATTERN,
+) -> DataFrame:
     """Time, size, namespace and revert features of the edits that pass the gate."""
     # a cast, as timestamp_seconds raises on values too large for a timestamp
     timed = has_identity(bronze).withColumn("edit_timestamp", F.col("timestamp").cast("timestamp"))
@@ -33,8 +41,8 @@ def edit_features(bronze: DataFrame) -> DataFrame:
         F.dayofweek("edit_timestamp").alias("edit_day_of_week"),
         "bytes_delta",
         byte_magnitude(F.col("bytes_delta")).alias("abs_bytes_delta"),
-        namespace_label(F.col("namespace")).alias("namespace_label"),
-        is_revert(F.col("comment")).alias("is_revert"),
+        namespace_label(F.col("namespace"), labels, other_label).alias("namespace_label"),
+        is_revert(F.col("comment"), revert_pattern).alias("is_revert"),
         F.current_timestamp().alias("silver_processed_at"),
     )
 

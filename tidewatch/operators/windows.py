@@ -7,7 +7,7 @@ one hot window, user or page are spread by the distinct column before they meet.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,12 +46,17 @@ def _ones(condition: Column) -> Column:
 
 
 def edit_volume(
-    edits: DataFrame, granularities: Mapping[str, int] = fixed.GRANULARITIES
+    edits: DataFrame,
+    granularities: Mapping[str, int] = fixed.GRANULARITIES,
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """One row per non-empty window: edit, bot, human, user, byte and revert figures."""
+    """One row per non-empty window: edit, bot, human, user, byte and revert figures.
+
+    With ``by``, one row per window and value of those columns.
+    """
     figures = (
         _expand(edits, granularities)
-        .groupBy(*_KEYS)
+        .groupBy(*_KEYS, *by)
         .agg(
             F.count("*").alias("total_edits"),
             _ones(F.col("bot")).alias("bot_edits"),
@@ -69,12 +74,17 @@ def edit_volume(
 
 
 def user_activity(
-    edits: DataFrame, granularities: Mapping[str, int] = fixed.GRANULARITIES
+    edits: DataFrame,
+    granularities: Mapping[str, int] = fixed.GRANULARITIES,
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """One row per window, user and bot flag; a null user or flag is a group of its own."""
+    """One row per window, user and bot flag; a null user or flag is a group of its own.
+
+    With ``by``, one row per value of those columns, too.
+    """
     figures = (
         _expand(edits, granularities)
-        .groupBy(*_KEYS, "user", "bot")
+        .groupBy(*_KEYS, "user", "bot", *by)
         .agg(
             F.count("*").alias("edit_count"),
             F.sum("abs_bytes_delta").alias("bytes_changed"),

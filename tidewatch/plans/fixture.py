@@ -36,8 +36,11 @@ def edits(events: DataFrame) -> DataFrame:
         "title": F.concat(F.lit("Page_"), k.cast("string")),
         "wiki": F.lit("enwiki"),
         "namespace": k % 16,
-        "user": F.concat(F.lit("user_"), F.col("user_id").cast("string")),
-        "bot": F.col("user_id") % 5 == 0,
+        "user": F.when(
+            F.col("event_id") % 89 != 0,
+            F.concat(F.lit("user_"), F.col("user_id").cast("string")),
+        ),
+        "bot": F.when(F.col("event_id") % 83 != 0, F.col("user_id") % 5 == 0),
         "minor": kind == "view",
         "timestamp": F.unix_seconds(F.col("ts").cast("timestamp")),
         "comment": comment,
@@ -52,6 +55,40 @@ def edits(events: DataFrame) -> DataFrame:
     )
 
 
+# Event number modulo -> what happens to its text; the first rule that fits wins.
+SPOILED = {
+    "empty": 41,
+    "blank": 43,
+    "truncated": 47,
+    "scalar": 53,
+    "array": 59,
+    "mistyped id": 61,
+    "no length": 67,
+    "null length": 71,
+    "no comment": 73,
+}
+
+
+def _spoiled(text: Column, number: Column) -> Column:
+    """The texts of some events made blank, broken, mistyped or incomplete."""
+    length = r'"length":\{[^}]*\},'
+    made = {
+        "empty": F.lit(""),
+        "blank": F.lit(" \t "),
+        "truncated": F.substring_index(text, "}", 2),
+        "scalar": F.lit("5"),
+        "array": F.lit("[1]"),
+        "mistyped id": F.regexp_replace(text, r'"id":(null|\d+)', '"id":"x"'),
+        "no length": F.regexp_replace(text, length, ""),
+        "null length": F.regexp_replace(text, length, '"length":null,'),
+        "no comment": F.regexp_replace(text, r'"comment":(null|"[^"]*"),', ""),
+    }
+    result = text
+    for name, modulo in reversed(SPOILED.items()):
+        result = F.when(number % modulo == 0, made[name]).otherwise(result)
+    return result
+
+
 def raw_events(events: DataFrame) -> DataFrame:
     """One JSON text per event in a column ``value``; nulls are written out."""
     number = F.col("revision_old")
@@ -74,7 +111,7 @@ def raw_events(events: DataFrame) -> DataFrame:
         F.when(is_log, "restore").alias("log_action"),
         site.alias("server_name"),
     )
-    text = F.to_json(event, {"ignoreNullFields": "false"})
+    text = _spoiled(F.to_json(event, {"ignoreNullFields": "false"}), number)
     # one row out per row in: without the explode, Catalyst would write the JSON text anew for
     # every later expression that reads it
     return edits(events).select(F.explode(F.array(text)).alias("value"))

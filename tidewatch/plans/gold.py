@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,17 +13,36 @@ from tidewatch.functions import lookback_start
 from tidewatch.operators.anomaly import flag_anomalies
 from tidewatch.operators.dashboard import since
 from tidewatch.operators.windows import edit_volume, user_activity
+from tidewatch.session import MAX_SHUFFLE_PARTITIONS, scan_bytes, sized_shuffles
 from tidewatch.sinks import write_by_date
 from tidewatch.sources.tables import edits_since, read_table
 
 
-def gold_edit_volume(silver: DataFrame) -> DataFrame:
+# Bytes that one byte of a stored table becomes in a shuffle, per window length.
+EXPANSION = 4
+
+
+@dataclass(frozen=True)
+class Settings:
+    """What the gold tables are computed with; group columns are none by default."""
+
+    granularities: Mapping[str, int] = field(default_factory=lambda: dict(fixed.GRANULARITIES))
+    baseline_seconds: int = fixed.BASELINE_SECONDS
+    sigma: float = fixed.SIGMA
+    by: Sequence[str] = ()
+
+
+USUAL = Settings()
+
+
+def gold_edit_volume(silver: DataFrame, settings: Settings = USUAL) -> DataFrame:
     """All window lengths of the volume table, each compared with its own past."""
-    return flag_anomalies(edit_volume(silver))
+    volume = edit_volume(silver, settings.granularities, settings.by)
+    return flag_anomalies(volume, settings.baseline_seconds, settings.sigma, by=settings.by)
 
 
 def gold_edit_volume_since(
-    silver: DataFrame, start: date, warm_baseline: bool = False
+    silver: DataFrame, start: date, warm_baseline: bool = False, settings: Settings = USUAL
 ) -> DataFrame:
     """Volume rows from midnight of ``start`` on.
 
@@ -30,10 +50,10 @@ def gold_edit_volume_since(
     past.  With ``warm_baseline`` the hour before is read as well, used, and left out of the result.
     """
     if not warm_baseline:
-        return gold_edit_volume(edits_since(silver, start))
+        return gold_edit_volume(edits_since(silver, start), settings)
     midnight = datetime(start.year, start.month, start.day)
-    history = edits_since(silver, midnight - timedelta(seconds=fixed.BASELINE_SECONDS))
-    return since(gold_edit_volume(history), midnight)
+    history = edits_since(silver, midnight - timedelta(seconds=settings.baseline_seconds))
+    return since(gold_edit_volume(history, settings), midnight)
 
 
 @dataclass(frozen=True)
@@ -46,7 +66,7 @@ class Refresh:
 
 def refresh_gold(
     spark: SparkSession,
-    silver_table: str | None = fixed.SILVER_TABLE,
+    silver_table: str | None = None,
     silver_path: str | None = None,
     volume_table: str = fixed.VOLUME_TABLE,
     user_table: str = fixed.USER_TABLE,
@@ -56,21 +76,34 @@ def refresh_gold(
     fmt: str = "parquet",
     silver: DataFrame | None = None,
     location: str | None = None,
+    silver_fmt: str = "parquet",
+    settings: Settings = USUAL,
+    max_partitions: int = MAX_SHUFFLE_PARTITIONS,
 ) -> Refresh:
     """Recompute the dates of the lookback from silver and replace them in both gold tables.
 
     An edit that came late is taken up if its date is within the lookback.  If silver has no edit
     there, nothing is written.  Running it again gives the same tables, also after a failure.
-    With ``location``, tables created here are external ones in folders below it.
+    With ``location``, tables created here are external ones in folders below it.  Silver is given
+    by one of ``silver``, ``silver_table`` and ``silver_path`` (in ``silver_fmt``), or else is the
+    table of the usual name; ``fmt`` is that of the gold tables.  The shuffles are sized from the
+    lookback for the duration of the refresh.
     """
     start = lookback_start(as_of, lookback_days)
+    if sum(given is not None for given in (silver, silver_table, silver_path)) > 1:
+        raise ValueError("give one of silver, silver_table and silver_path")
     if silver is None:
-        silver = read_table(spark, silver_table, silver_path, fmt)
+        if silver_table is None and silver_path is None:
+            silver_table = fixed.SILVER_TABLE
+        silver = read_table(spark, silver_table, silver_path, silver_fmt)
     recent = edits_since(silver, start)
     if recent.isEmpty():
         return Refresh(start, written=False)
-    volume = gold_edit_volume_since(silver, start, warm_baseline)
-    for table, rows in ((volume_table, volume), (user_table, user_activity(recent))):
-        options = {"path": f"{location}/{table}"} if location else {}
-        write_by_date(rows, table, start, fmt, **options)
+    volume = gold_edit_volume_since(silver, start, warm_baseline, settings)
+    users = user_activity(recent, settings.granularities, settings.by)
+    shuffled = scan_bytes(recent) * EXPANSION * len(settings.granularities)
+    with sized_shuffles(spark, shuffled, max_partitions):
+        for table, rows in ((volume_table, volume), (user_table, users)):
+            options = {"path": f"{location}/{table}"} if location else {}
+            write_by_date(rows, table, start, fmt, **options)
     return Refresh(start, written=True)

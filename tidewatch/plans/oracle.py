@@ -5,7 +5,15 @@ The SQL is written in the plain form: one pass per window length, one unpartitio
 
 from __future__ import annotations
 
-from tidewatch.plans.registry import EARLIER, EARLIER_LOOKBACK, LOOKBACK, SLICE
+from tidewatch.plans import fixture
+from tidewatch.plans.registry import (
+    EARLIER,
+    EARLIER_LOOKBACK,
+    FAR_DAYS,
+    LOOKBACK,
+    SLICE,
+    VANISHED,
+)
 
 EDITS = """
 edits AS (
@@ -14,8 +22,8 @@ edits AS (
     'Page_' || k AS title,
     'enwiki' AS wiki,
     k % 16 AS namespace,
-    'user_' || user_id AS "user",
-    user_id % 5 = 0 AS bot,
+    CASE WHEN event_id % 89 <> 0 THEN 'user_' || user_id END AS "user",
+    CASE WHEN event_id % 83 <> 0 THEN user_id % 5 = 0 END AS bot,
     event_type = 'view' AS minor,
     epoch_us(ts) // 1000000 AS "timestamp",
     CASE event_type WHEN 'error' THEN 'Undid revision 1' WHEN 'click' THEN 'rv vandalism'
@@ -29,17 +37,33 @@ edits AS (
   FROM (SELECT *, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events)
 )"""
 
+# events whose text is spoiled: the first rule that fits wins
+SPOILED = "CASE " + " ".join(
+    f"WHEN revision_old % {modulo} = 0 THEN '{name}'" for name, modulo in fixture.SPOILED.items()
+) + " ELSE 'sound' END"
+DROPPED = "'empty', 'blank', 'truncated', 'scalar', 'array'"
+
 ROUTED = f"""{EDITS},
 routed AS (
-  SELECT *,
+  SELECT * REPLACE (
+      CASE WHEN state IN ('no length', 'null length') THEN NULL ELSE length_old END AS length_old,
+      CASE WHEN state IN ('no length', 'null length') THEN NULL ELSE length_new END AS length_new,
+      CASE WHEN state = 'no comment' THEN '' ELSE comment END AS comment,
+      CASE WHEN state = 'mistyped id' THEN NULL ELSE id END AS id),
     CASE WHEN revision_old % 10 <= 6 THEN 'wiki_edits' ELSE 'wiki_page_events' END AS topic,
-    coalesce(CAST(id AS VARCHAR), 'None') AS key,
+    CASE WHEN state = 'mistyped id' THEN 'x' ELSE coalesce(CAST(id AS VARCHAR), 'None') END AS key,
+    CASE WHEN state = 'mistyped id' THEN CAST('"x"' AS JSON) ELSE to_json(id) END AS id_json,
     CASE WHEN revision_old % 10 = 8 THEN 'delete' END AS log_type,
     CASE WHEN revision_old % 10 = 8 THEN 'restore' END AS log_action
-  FROM edits
+  FROM (SELECT *, {SPOILED} AS state FROM edits)
   WHERE revision_old % 10 <> 9 AND revision_old % 13 <> 0 AND revision_old % 29 <> 0
+    AND state NOT IN ({DROPPED})
 )"""
 
+# where bronze rows came from, as the registry sets it, and whether their stamp is set
+ARRIVAL = """make_timestamp("timestamp" * 1000000) AS kafka_timestamp, "timestamp" AS "offset",
+  CAST("timestamp" % 8 AS INTEGER) AS "partition", true AS ingested_at_set"""
+
 SILVER = f"""{EDITS},
 silver AS (
   SELECT *,
@@ -79,20 +103,20 @@ def _volume(label: str, source: str) -> str:
     FROM {source} GROUP BY window_start)"""
 
 
-def _flagged(label: str, source: str) -> str:
+def _flagged(label: str, source: str, hours: int = 1, sigma: float = 2.0) -> str:
     return f"""
   SELECT * EXCLUDE (mean, spread),
     round(mean, 6) AS rolling_mean_edits,
     round(spread, 6) AS rolling_stddev_edits,
-    round(mean + 2.0 * spread, 6) AS anomaly_threshold,
-    total_edits > mean + 2.0 * spread AS is_anomaly,
+    round(mean + {sigma} * spread, 6) AS anomaly_threshold,
+    total_edits > mean + {sigma} * spread AS is_anomaly,
     round(CASE WHEN spread > 0 THEN (total_edits - mean) / spread ELSE 0.0 END, 6) AS z_score
   FROM (
     SELECT *, avg(total_edits) OVER past AS mean,
       coalesce(stddev_samp(total_edits) OVER past, 0.0) AS spread
     FROM ({_volume(label, source)})
     WINDOW past AS (ORDER BY window_start
-      RANGE BETWEEN INTERVAL 1 HOUR PRECEDING AND CURRENT ROW))"""
+      RANGE BETWEEN INTERVAL {hours} HOUR PRECEDING AND CURRENT ROW))"""
 
 
 def _gold(source: str = "silver", name: str = "gold") -> str:
@@ -136,11 +160,11 @@ USER_COLUMNS = """window_start, "user", bot, edit_count, bytes_changed, revert_c
   unique_pages_edited"""
 SILVER_ROWS = f"WITH {SILVER} SELECT * FROM silver"
 MESSAGE_JSON = {
-    "wiki_edits": "json_object('id', id, 'title', title, 'wiki', wiki, 'namespace', namespace, "
+    "wiki_edits": "json_object('id', id_json, 'title', title, 'wiki', wiki, 'namespace', namespace, "
     "'user', \"user\", 'bot', bot, 'minor', minor, 'timestamp', \"timestamp\", 'comment', comment, "
     "'length_old', length_old, 'length_new', length_new, 'revision_old', revision_old, "
     "'revision_new', revision_new, 'server_name', server_name)",
-    "wiki_page_events": "json_object('id', id, 'title', title, 'wiki', wiki, 'namespace', "
+    "wiki_page_events": "json_object('id', id_json, 'title', title, 'wiki', wiki, 'namespace', "
     "namespace, 'user', \"user\", 'bot', bot, 'timestamp', \"timestamp\", 'comment', comment, "
     "'log_type', log_type, 'log_action', log_action, 'server_name', server_name)",
 }
@@ -171,12 +195,13 @@ ORACLE: dict[str, str] = {
     "ingest_edit_messages": f"WITH {ROUTED} {_messages('wiki_edits')}",
     "ingest_page_messages": f"WITH {ROUTED} {_messages('wiki_page_events')}",
     "bronze_edits": f"""WITH {ROUTED} SELECT id, title, wiki, namespace, "user", bot, minor,
-  "timestamp", comment, length_old, length_new, revision_old, revision_new, server_name
+  "timestamp", comment, length_old, length_new, revision_old, revision_new, server_name,
+  {ARRIVAL}
   FROM routed WHERE topic = 'wiki_edits'""",
     "bronze_page_events": f"""WITH {ROUTED} SELECT id, title, wiki, namespace, "user", bot,
-  "timestamp", comment, log_type, log_action, server_name
+  "timestamp", comment, log_type, log_action, server_name, {ARRIVAL}
   FROM routed WHERE topic = 'wiki_page_events'""",
-    "silver_edits": SILVER_ROWS,
+    "silver_edits": f"WITH {SILVER} SELECT *, true AS silver_processed_at_set FROM silver",
     "silver_report": f"""WITH {SILVER} SELECT count(*) AS total_rows,
   count(*) FILTER (WHERE is_revert) AS revert_rows, count(*) FILTER (WHERE bot) AS bot_rows,
   count(*) FILTER (WHERE is_revert) / count(*) * 100 AS revert_pct,
@@ -237,7 +262,40 @@ recent AS (SELECT * FROM silver WHERE edit_timestamp >= TIMESTAMP '{LOOKBACK}'),
   human_edits, bot_ratio, z_score, revert_count FROM rows_5 WHERE is_anomaly""",
     "stream_ingest": f"WITH {ROUTED} {_messages('wiki_edits')} UNION ALL "
     f"{_messages('wiki_page_events')}",
-    "stream_bronze_silver": SILVER_ROWS,
+    "stream_ingest_sse": f"WITH {ROUTED} {_messages('wiki_edits')} UNION ALL "
+    f"{_messages('wiki_page_events')}",
+    "stream_bronze_silver": f"""WITH {SILVER} SELECT *, true AS ingested_at_set,
+  true AS silver_processed_at_set FROM silver""",
+    "stream_bronze_pages": f"""WITH {ROUTED} SELECT id, title, wiki, namespace, "user", bot,
+  "timestamp", comment, log_type, log_action, server_name, true AS ingested_at_set
+  FROM routed WHERE topic = 'wiki_page_events'""",
+    "first_windows": f"""{ROWS} SELECT {VOLUME_COLUMNS} FROM rows_5
+  ORDER BY window_start LIMIT 20""",
+    "gold_edit_volume_10min": f"WITH {SILVER} {_flagged('10min', 'silver', 2, 1.5)}",
+    "gold_edit_volume_by_bot": f"""WITH {SILVER}
+  SELECT true AS bot, * FROM ({_flagged("5min", "(SELECT * FROM silver WHERE bot)")})
+  UNION ALL BY NAME
+  SELECT false AS bot, * FROM ({_flagged("5min", "(SELECT * FROM silver WHERE NOT bot)")})
+  UNION ALL BY NAME
+  SELECT CAST(NULL AS BOOLEAN) AS bot, *
+  FROM ({_flagged("5min", "(SELECT * FROM silver WHERE bot IS NULL)")})""",
+    # the second run looks at a time without edits and writes nothing
+    "refresh_nothing_new": f"""WITH {SILVER},
+seen AS (SELECT * FROM silver WHERE edit_timestamp >= TIMESTAMP '{LOOKBACK}'),
+{_activity("seen")} SELECT * FROM activity""",
+    # of the second run, one date is gone and its edits come back 32,768 days later
+    "refresh_vanished_dates": f"""WITH {SILVER},
+kept AS (
+  SELECT * FROM silver
+  WHERE edit_timestamp >= TIMESTAMP '{EARLIER_LOOKBACK}' AND edit_timestamp < TIMESTAMP '{LOOKBACK}'
+  UNION ALL
+  SELECT * FROM silver WHERE edit_timestamp >= TIMESTAMP '{LOOKBACK}'
+    AND CAST(edit_timestamp AS DATE) <> DATE '{VANISHED}'
+  UNION ALL
+  SELECT * REPLACE (edit_timestamp + INTERVAL {FAR_DAYS} DAY AS edit_timestamp) FROM silver
+  WHERE CAST(edit_timestamp AS DATE) = DATE '{VANISHED}'
+),
+{_activity("kept")} SELECT * FROM activity""",
     # dates before the second lookback keep what the first run wrote
     "refresh_partitions": f"""WITH {SILVER},
 kept AS (

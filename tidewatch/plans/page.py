@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -11,9 +12,6 @@ from tidewatch.functions import slice_start
 from tidewatch.operators import dashboard
 from tidewatch.operators.reports import by_window, by_window_and_edits
 
-# Anomalous windows that are broadcast at most: 8 bytes each, a year of flagged minutes at worst.
-BROADCAST_WINDOWS = 500_000
-
 
 def dashboard_page(
     volume: DataFrame,
@@ -21,15 +19,17 @@ def dashboard_page(
     as_of: datetime | None = None,
     hours: int = fixed.DEFAULT_HOURS,
     granularity: str = fixed.DEFAULT_GRANULARITY,
+    granularities: Iterable[str] = fixed.GRANULARITIES,
 ) -> dict[str, DataFrame]:
     """The slices of the last ``hours`` and everything shown about them, by name.
 
-    Only the rows that are shown leave the cluster, and only when a frame is collected.
+    Building the page runs no job; only the rows that are shown leave the cluster, and only when a
+    frame is collected.
     """
     start = slice_start(as_of, hours)
-    windows = dashboard.volume_slice(volume, start, granularity)
-    users = dashboard.user_slice(activity, start, granularity)
-    unusual = dashboard.users_in_anomalies(users, windows, BROADCAST_WINDOWS)
+    windows = dashboard.volume_slice(volume, start, granularity, granularities)
+    users = dashboard.user_slice(activity, start, granularity, granularities)
+    unusual = dashboard.users_in_anomalies(users, windows)
     return {
         "volume": by_window(windows),
         "users": by_window_and_edits(users),

@@ -6,7 +6,7 @@ with those of another SQL engine.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import datetime, timedelta
 from functools import cache
 
@@ -19,10 +19,23 @@ from tidewatch.functions import lit_moment, lookback_start, slice_start
 from tidewatch.operators import bronze, dashboard, ingest, reports, silver, windows
 from tidewatch.operators.anomaly import anomaly_summary
 from tidewatch.plans import fixture
-from tidewatch.plans.gold import gold_edit_volume, gold_edit_volume_since, refresh_gold
-from tidewatch.schemas import BRONZE_EDITS, EDIT_MESSAGE, RECORD
+from tidewatch.plans.gold import (
+    Settings,
+    gold_edit_volume,
+    gold_edit_volume_since,
+    refresh_gold,
+)
+from tidewatch.schemas import BRONZE_EDITS, BRONZE_PAGE_EVENTS, EDIT_MESSAGE, RECORD
 from tidewatch.session import configure, scan_bytes, scratch_folder, size_shuffles
-from tidewatch.sources import raw_text, read_silver, run_sql, stream_table, topic_file_records
+from tidewatch.sources import (
+    raw_text,
+    read_silver,
+    run_sql,
+    sse_blocks,
+    sse_payloads,
+    stream_table,
+    topic_file_records,
+)
 from tidewatch.sources.tables import edits_since
 from tidewatch.streaming import bronze_job, ingest_job, silver_job
 
@@ -35,6 +48,9 @@ SLICE = slice_start(AS_OF)
 # An earlier refresh, whose dates the one at AS_OF partly replaces.
 EARLIER = AS_OF - timedelta(days=1)
 EARLIER_LOOKBACK = lookback_start(EARLIER)
+# A date of both lookbacks whose edits are gone at the second refresh, and come back far later.
+VANISHED = (AS_OF - timedelta(days=1)).date()
+FAR_DAYS = 32_768
 
 ROUNDED = {
     "avg_bytes_per_edit": 6,
@@ -44,11 +60,19 @@ ROUNDED = {
     "z_score": 6,
     "avg_bot_ratio": 6,
 }
+CLOCKS = ("ingested_at", "silver_processed_at")
+ARRIVAL = ("ingested_at", "kafka_timestamp", "offset", "partition")
 STAMPS = ("ingested_at", "silver_processed_at", "kafka_timestamp", "offset", "partition")
 
 
-def comparable(frame: DataFrame) -> DataFrame:
-    """Timestamps without zone, last digits of derived doubles and wall-clock stamps left out."""
+def comparable(frame: DataFrame, *, stamps: Sequence[str] = ()) -> DataFrame:
+    """Timestamps without zone, last digits of derived doubles left out.
+
+    Of the wall-clock stamps and source columns only those in ``stamps`` are shown: wall-clock ones
+    as whether they are set.
+    """
+    clocks = [F.col(n).isNotNull().alias(f"{n}_set") for n in stamps if n in CLOCKS]
+    hidden = {*STAMPS} - ({*stamps} - {*CLOCKS})
 
     def shown(name, kind):
         column = F.col(f"`{name}`")
@@ -57,7 +81,8 @@ def comparable(frame: DataFrame) -> DataFrame:
         return F.round(column, ROUNDED[name]).alias(name) if name in ROUNDED else column
 
     return frame.select(
-        *[shown(field.name, field.dataType) for field in frame.schema if field.name not in STAMPS]
+        *[shown(field.name, field.dataType) for field in frame.schema if field.name not in hidden],
+        *clocks,
     )
 
 
@@ -74,10 +99,14 @@ def _messages(spark: SparkSession, sf_dir: str, topic: str | None = None) -> Dat
 
 
 def _records(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
-    """Messages of one topic as the records a source would deliver."""
-    empty = [F.lit(None).cast(field.dataType).alias(field.name) for field in RECORD.fields[1:]]
+    """Messages of one topic as the records a source would deliver, numbered by their time."""
     sent = _messages(spark, sf_dir, topic)
-    return sent.select(F.col("value").cast("binary").alias("value"), *empty)
+    number = F.get_json_object("value", "$.timestamp").cast("long")
+    source = {"timestamp": number.cast("timestamp"), "offset": number, "partition": number % 8}
+    return sent.select(
+        F.col("value").cast("binary").alias("value"),
+        *[source[f.name].cast(f.dataType).alias(f.name) for f in RECORD.fields[1:]],
+    )
 
 
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -173,19 +202,53 @@ def stream_bronze_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     appended = stream_table(spark, path=f"{folder}/edits", schema=BRONZE_EDITS)
     silver_job(appended, f"{folder}/checkpoints/silver", {"path": f"{folder}/silver"})
-    return comparable(read_silver(spark, path=f"{folder}/silver"))
+    return comparable(read_silver(spark, path=f"{folder}/silver"), stamps=CLOCKS)
+
+
+def stream_ingest_sse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A recorded event stream -> ingest stream; the data of every third event is on two lines."""
+    folder = scratch_folder(spark, "stream-sse")
+    raw = _raw(spark, sf_dir)
+    broken = F.regexp_replace("value", r',"id":', ',\ndata: "id":')
+    text = F.when(F.pmod(F.hash("value"), F.lit(3)) == 0, broken).otherwise(F.col("value"))
+    blocks = raw.select(F.concat(F.lit("event: message\ndata: "), text).alias("value"))
+    blocks.write.option("lineSep", "\n\n").text(f"{folder}/raw")
+    payloads = sse_payloads(sse_blocks(spark, f"{folder}/raw", stream=True))
+    ingest_job(payloads, f"{folder}/checkpoint", fmt="parquet", path=f"{folder}/topics")
+    return spark.read.parquet(f"{folder}/topics").select("topic", "key", "value")
+
+
+def stream_bronze_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw text -> ingest stream -> both topics -> bronze stream; the table of page events."""
+    folder = scratch_folder(spark, "stream-pages")
+    _raw(spark, sf_dir).write.text(f"{folder}/raw")
+    raw = raw_text(spark, f"{folder}/raw", stream=True)
+    ingest_job(raw, f"{folder}/checkpoint", fmt="parquet", path=f"{folder}/topics")
+    edits, pages = (
+        topic_file_records(spark, f"{folder}/topics", topic, stream=True)
+        for topic in (fixed.EDIT_TOPIC, fixed.PAGE_TOPIC)
+    )
+    targets = {"path": f"{folder}/edits"}, {"path": f"{folder}/pages"}
+    bronze_job(edits, pages, f"{folder}/checkpoints", *targets)
+    written = spark.read.schema(BRONZE_PAGE_EVENTS).parquet(f"{folder}/pages")
+    return comparable(written, stamps=["ingested_at"])
 
 
 def _refreshed(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """One gold table after a refresh at EARLIER, which saw only what had come in by then, and
     another at AS_OF."""
+    edits = _silver(spark, sf_dir)
+    seen = edits.filter(F.col("edit_timestamp") < lit_moment(EARLIER))
+    return _after(spark, table, (seen, EARLIER), (edits, AS_OF))
+
+
+def _after(spark: SparkSession, table: str, *runs: tuple[DataFrame, datetime]) -> DataFrame:
+    """One gold table after refreshes with these silver rows at these times."""
     folder = scratch_folder(spark, "refresh")
     suffix = folder.rsplit("-", 1)[1]
     names = {"volume_table": f"volume_{suffix}", "user_table": f"users_{suffix}"}
-    edits = _silver(spark, sf_dir)
-    seen = edits.filter(F.col("edit_timestamp") < lit_moment(EARLIER))
-    refresh_gold(spark, silver=seen, as_of=EARLIER, location=folder, **names)
-    refresh_gold(spark, silver=edits, as_of=AS_OF, location=folder, **names)
+    for silver_rows, as_of in runs:
+        refresh_gold(spark, silver=silver_rows, as_of=as_of, location=folder, **names)
     result = comparable(spark.read.parquet(f"{folder}/{names[table]}"))
     for name in names.values():
         spark.sql(f"DROP TABLE {name}")  # external: the files stay
@@ -196,6 +259,22 @@ def refresh_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _refreshed(spark, sf_dir, "user_table")
 
 
+def refresh_nothing_new(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second refresh finds no edit in its lookback."""
+    edits = _silver(spark, sf_dir)
+    return _after(spark, "user_table", (edits, AS_OF), (edits, AS_OF + timedelta(days=3650)))
+
+
+def refresh_vanished_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """At the second refresh one date has no edits any more, and a far one has."""
+    edits = _silver(spark, sf_dir)
+    gone = F.to_date("edit_timestamp") == F.lit(str(VANISHED)).cast("date")
+    later = F.col("edit_timestamp") + F.make_dt_interval(days=F.lit(FAR_DAYS))
+    moved = edits.filter(gone).withColumn("edit_timestamp", later)
+    now = edits.filter(~gone).unionByName(moved)
+    return _after(spark, "user_table", (edits, EARLIER), (now, AS_OF))
+
+
 def refresh_volume_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _refreshed(spark, sf_dir, "volume_table")
 
@@ -204,11 +283,13 @@ QUERIES: dict[str, Query] = {
     "ingest_route_counts": ingest_route_counts,
     "ingest_edit_messages": lambda s, d: _messages(s, d, fixed.EDIT_TOPIC),
     "ingest_page_messages": lambda s, d: _messages(s, d, fixed.PAGE_TOPIC),
-    "bronze_edits": lambda s, d: comparable(bronze.bronze_edits(_records(s, d, fixed.EDIT_TOPIC))),
+    "bronze_edits": lambda s, d: comparable(
+        bronze.bronze_edits(_records(s, d, fixed.EDIT_TOPIC)), stamps=ARRIVAL
+    ),
     "bronze_page_events": lambda s, d: comparable(
-        bronze.bronze_page_events(_records(s, d, fixed.PAGE_TOPIC))
+        bronze.bronze_page_events(_records(s, d, fixed.PAGE_TOPIC)), stamps=ARRIVAL
     ),
-    "silver_edits": lambda s, d: comparable(_silver(s, d)),
+    "silver_edits": lambda s, d: comparable(_silver(s, d), stamps=["silver_processed_at"]),
     "silver_report": lambda s, d: silver.feature_report(_silver(s, d)),
     "namespace_breakdown": lambda s, d: silver.namespace_breakdown(_silver(s, d)),
     "lookback_slice": lambda s, d: comparable(edits_since(_silver(s, d), LOOKBACK)),
@@ -226,6 +307,12 @@ QUERIES: dict[str, Query] = {
     "gold_edit_volume_lookback_cold": lambda s, d: comparable(
         gold_edit_volume_since(_silver(s, d), LOOKBACK)
     ),
+    "gold_edit_volume_10min": lambda s, d: comparable(
+        gold_edit_volume(_silver(s, d), Settings({"10min": 600}, 7200, 1.5))
+    ),
+    "gold_edit_volume_by_bot": lambda s, d: comparable(
+        gold_edit_volume(_silver(s, d), Settings({"5min": 300}, by=["bot"]))
+    ),
     "anomaly_summary": lambda s, d: anomaly_summary(_volume(s, d)),
     "volume_table_report": lambda s, d: reports.volume_totals(_volume(s, d)),
     "rows_per_granularity": lambda s, d: reports.rows_per_granularity(_volume(s, d)),
@@ -233,6 +320,7 @@ QUERIES: dict[str, Query] = {
     "user_table_report": lambda s, d: reports.user_totals(_users(s, d)),
     "editor_preview": lambda s, d: comparable(reports.editor_preview(_users(s, d))),
     "latest_windows": lambda s, d: comparable(reports.latest_windows(_volume(s, d))),
+    "first_windows": lambda s, d: comparable(reports.by_window(_volume_rows(s, d)).limit(20)),
     "volume_slice": lambda s, d: comparable(
         reports.by_window(dashboard.volume_slice(_volume(s, d), SLICE))
     ),
@@ -250,8 +338,12 @@ QUERIES: dict[str, Query] = {
     "top_editors": lambda s, d: dashboard.top_editors(anomaly_users(s, d)),
     "anomaly_table": lambda s, d: comparable(dashboard.anomaly_table(_volume_rows(s, d))),
     "stream_ingest": stream_ingest,
+    "stream_ingest_sse": stream_ingest_sse,
     "stream_bronze_silver": stream_bronze_silver,
+    "stream_bronze_pages": stream_bronze_pages,
     "refresh_partitions": refresh_partitions,
+    "refresh_nothing_new": refresh_nothing_new,
+    "refresh_vanished_dates": refresh_vanished_dates,
     "refresh_volume_partitions": refresh_volume_partitions,
 }
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,22 +45,39 @@ def scan_bytes(frame: DataFrame) -> int:
     return int(float(number) * 1024 ** _UNITS.index(unit))
 
 
-def size_shuffles(spark: SparkSession, data_bytes: int) -> int:
+_PARTITIONS = "spark.sql.shuffle.partitions"
+
+
+def size_shuffles(
+    spark: SparkSession, data_bytes: int, at_most: int = MAX_SHUFFLE_PARTITIONS
+) -> int:
     """Raise the number of shuffle partitions to what ``data_bytes`` needs; returns the number.
 
     It is never lowered: with more partitions than needed, small ones are merged at run time, but
-    too few of them spill.
+    too few of them spill.  Beyond ``at_most`` the tasks get larger instead of more.
     """
-    key = "spark.sql.shuffle.partitions"
-    needed = min(-(-data_bytes // SHUFFLE_TASK_BYTES), MAX_SHUFFLE_PARTITIONS)
-    partitions = max(int(spark.conf.get(key)), needed)
-    spark.conf.set(key, partitions)
+    needed = min(-(-data_bytes // SHUFFLE_TASK_BYTES), at_most)
+    partitions = max(int(spark.conf.get(_PARTITIONS)), needed)
+    spark.conf.set(_PARTITIONS, partitions)
     return partitions
 
 
+@contextmanager
+def sized_shuffles(
+    spark: SparkSession, data_bytes: int, at_most: int = MAX_SHUFFLE_PARTITIONS
+) -> Iterator[int]:
+    """:func:`size_shuffles` for the duration of a block; the setting before is restored."""
+    before = spark.conf.get(_PARTITIONS)
+    try:
+        yield size_shuffles(spark, data_bytes, at_most)
+    finally:
+        spark.conf.set(_PARTITIONS, before)
+
+
 @cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="run-", dir="/tmp")
+def _local_folder() -> tempfile.TemporaryDirectory:
+    """Removed when this process ends."""
+    return tempfile.TemporaryDirectory(prefix="run-", dir="/tmp", ignore_cleanup_errors=True)
 
 
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
@@ -68,7 +87,8 @@ def scratch_folder(spark: SparkSession, purpose: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        master = spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[.*\])?", master):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = _local_folder()
+        base = _local_folder().name
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 from datetime import date
+from threading import Lock
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -30,13 +31,19 @@ def require_schema(frame: DataFrame, target: StructType) -> None:
         raise ValueError(f"schema differs from that of the target in: {', '.join(differing)}")
 
 
+# Error conditions of a folder without a table in it.
+_NOTHING_WRITTEN = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "DELTA_TABLE_NOT_FOUND"}
+
+
 def _existing_schema(spark, table, path, fmt) -> StructType | None:
     if table and not table_exists(spark, table):
         return None
     try:
         return read_table(spark, table, path, fmt).schema
-    except AnalysisException:
-        return None  # nothing written to the folder yet
+    except AnalysisException as error:
+        if error.getCondition() in _NOTHING_WRITTEN:
+            return None
+        raise
 
 
 def append_stream(
@@ -118,36 +125,44 @@ def create_table(frame: DataFrame, table: str, fmt: str = "parquet", **options:
     )
 
 
+# Replacements of this process follow each other, as their mode belongs to the session.
+_OVERWRITING = Lock()
+
+
 @contextmanager
 def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
     # inserting into a catalog table reads this mode from the session only: as a writer option it
     # is ignored, and the insert would empty the other partitions
     key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
-def _dates_from(spark: SparkSession, table: str, start: date) -> list[date]:
-    """Existing partitions from ``start`` on: one short row per day, from the catalog."""
-    partitions = spark.sql(f"SHOW PARTITIONS {table}").collect()
-    values = (row.partition.split("=", 1)[1] for row in partitions)
-    dates = (date.fromisoformat(value) for value in values if value[:1].isdigit())
-    return sorted(day for day in dates if day >= start)
-
-
-# Days that fit into the bitmap of written dates (its fixed size in Spark is 32,768 bits).
-_BITMAP_DAYS = 32_768
+    with _OVERWRITING:
+        before = spark.conf.get(key)
+        spark.conf.set(key, "dynamic")
+        try:
+            yield
+        finally:
+            spark.conf.set(key, before)
+
+
+def _dates_from(spark: SparkSession, table: str, start: date) -> dict[str, str]:
+    """Existing partitions from ``start`` on, one short entry per day from the catalog: the value of
+    the partition, and the date as Spark writes it.  Dates are compared by Spark, as those beyond
+    the year 9999 are no dates in Python."""
+    value = F.substring_index("partition", "=", -1)
+    day = F.expr("try_cast(value AS date)")
+    found = (
+        spark.sql(f"SHOW PARTITIONS {table}")
+        .select(value.alias("value"))
+        .where(day >= F.lit(str(start)).cast("date"))
+        .select("value", day.cast("string").alias("day"))
+    )
+    return {row.value: row.day for row in found.collect()}
 
 
 def replace_dates(frame: DataFrame, table: str, start: date, fmt: str = "parquet") -> None:
     """Replace the partitions ``date >= start`` of ``table`` by ``frame``; older ones stay.
 
     Delta does it in one transaction.  For plain files it is a dynamic partition overwrite,
-    followed by emptying the partitions for which ``frame`` has no rows; each partition is replaced
+    followed by removing the partitions for which ``frame`` has no rows; each partition is replaced
     as a whole, but not all of them at once.  A row before ``start`` fails the write.
     """
     spark = frame.sparkSession
@@ -163,31 +178,39 @@ def replace_dates(frame: DataFrame, table: str, start: date, fmt: str = "parquet
     checked = F.when(F.col("date") >= first, F.col("date")).otherwise(
         F.raise_error(F.concat(F.lit(f"row before {start}: "), F.col("date").cast("string")))
     )
-    offset = F.datediff(F.col("date"), first) + 1
     written = Observation()
     rows = (
         _laid_out(frame.withColumn("date", checked))
-        .observe(written, F.bitmap_construct_agg(F.bitmap_bit_position(offset)).alias("days"))
+        # as text: one short entry per written day, of any year
+        .observe(written, F.collect_set(F.col("date").cast("string")).alias("days"))
         .select(*target.columns)
     )
     with _dynamic_overwrite(spark):
         rows.write.mode("overwrite").insertInto(table)
+    kept = set(written.get["days"] or ())
+    _remove_dates(spark, table, [value for value, day in existing.items() if day not in kept])
 
-    bits = written.get["days"] or b""
-    for day in existing:
-        position = (day - start).days % _BITMAP_DAYS
-        if position // 8 >= len(bits) or not bits[position // 8] >> position % 8 & 1:
-            _empty_date(spark, table, day)
 
+def _remove_dates(spark: SparkSession, table: str, values: list[str]) -> None:
+    """Remove whole partitions with their rows, whether the table is managed or external.
 
-def _empty_date(spark: SparkSession, table: str, day: date) -> None:
-    """Remove the rows of one partition, whether the table is managed or external."""
-    columns = [name for name in spark.table(table).columns if name != "date"]
-    nothing = spark.table(table).select(*columns).schema
-    spark.sql(
-        f"INSERT OVERWRITE TABLE {table} PARTITION (date = '{day}') SELECT * FROM {{rows}}",
-        rows=spark.createDataFrame([], nothing),
-    )
+    Dropping the partitions of a managed table removes their files.  Those of an external one are
+    emptied first.
+    """
+    if not values:
+        return
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Type'").first()
+    if described.data_type == "EXTERNAL":
+        columns = [name for name in spark.table(table).columns if name != "date"]
+        nothing = spark.createDataFrame([], spark.table(table).select(*columns).schema)
+        for value in values:
+            spark.sql(
+                f"INSERT OVERWRITE TABLE {table} PARTITION (date = '{value}') "
+                "SELECT * FROM {rows}",
+                rows=nothing,
+            )
+    listed = ", ".join(f"PARTITION (date = '{value}')" for value in values)
+    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {listed}")
 
 
 def write_by_date(

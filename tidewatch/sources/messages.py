@@ -18,12 +18,16 @@ KAFKA_DEFAULTS = {
     "startingOffsets": "earliest",
     "failOnDataLoss": "false",
 }
+# Records of one micro-batch unless the caller sets a limit: without it, the first run over a topic
+# would be one batch of everything it holds.
+BATCH_RECORDS = 200_000_000
 
 
 def kafka_options(servers: str, **options: str) -> dict[str, str]:
     """Connector options; credentials and rate limits (``maxOffsetsPerTrigger``) go in as options,
     and so does ``minPartitions``, which splits a topic partition that holds most of the data."""
-    return {**KAFKA_DEFAULTS, "kafka.bootstrap.servers": servers, **options}
+    limits = {"maxOffsetsPerTrigger": str(BATCH_RECORDS)}
+    return {**KAFKA_DEFAULTS, **limits, "kafka.bootstrap.servers": servers, **options}
 
 
 def kafka_records(
@@ -42,13 +46,35 @@ def raw_text(
     return reader_for(spark, stream, options).text(path)
 
 
-def sse_payloads(lines: DataFrame) -> DataFrame:
-    """The event texts in a recorded server-sent event stream: what follows ``data:`` in ``value``.
+def raw_records(
+    spark: SparkSession, topic: str, options: Mapping[str, str], stream: bool = True
+) -> DataFrame:
+    """Raw events that arrive as records of a topic, in a column ``value``."""
+    return kafka_records(spark, topic, options, stream).select(F.col("value").cast("string"))
+
+
+def sse_blocks(
+    spark: SparkSession,
+    path: str,
+    stream: bool = False,
+    line_break: str = "\n",
+    **options: str | int,
+) -> DataFrame:
+    """A recorded server-sent event stream from text files, one event (the lines up to a blank one)
+    per row.  A file is not split, as blank lines are found from its beginning only."""
+    return raw_text(spark, path, stream, lineSep=2 * line_break, **options)
+
+
+def sse_payloads(blocks: DataFrame) -> DataFrame:
+    """The event texts of :func:`sse_blocks`: what follows ``data:`` in the lines of a row, joined by
+    line breaks.
 
-    Other lines (event names, ids, comments, blanks) are dropped.  An event has one data line.
+    Other lines (event names, ids, comments) are dropped, and so are events without a data line.
     """
-    payload = F.regexp_extract("value", "^data: ?(.*)$", 1)
-    return lines.filter(F.col("value").startswith("data:")).select(payload.alias("value"))
+    lines = F.split("value", "\r\n|\n|\r")
+    data = F.filter(lines, lambda line: line.startswith("data:"))
+    payload = F.array_join(F.transform(data, lambda x: F.regexp_extract(x, "^data: ?(.*)$", 1)), "\n")
+    return blocks.filter(F.size(data) > 0).select(payload.alias("value"))
 
 
 def topic_file_records(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamReader
 from pyspark.sql.types import StructType
 
-from tidewatch.functions import lit_moment
+from tidewatch.functions import lit_date, lit_moment
 
 # Storage-only partition column of the silver table, so that a lookback reads its days only.
 SILVER_PARTITION = "edit_date"
@@ -61,8 +61,7 @@ def edits_since(silver: DataFrame, start: date) -> DataFrame:
     listed and read."""
     recent = silver.filter(F.col("edit_timestamp") >= lit_moment(start))
     if SILVER_PARTITION in silver.columns:
-        first_day = str(start)[:10]
-        recent = recent.filter(F.col(SILVER_PARTITION) >= F.lit(first_day).cast("date"))
+        recent = recent.filter(F.col(SILVER_PARTITION) >= lit_date(start))
     return recent
 
 

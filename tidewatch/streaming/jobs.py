@@ -55,9 +55,16 @@ def bronze_job(
     )
 
 
-def silver_stream(bronze: DataFrame) -> DataFrame:
-    """Silver rows with the storage-only day column the table is partitioned by."""
-    return edit_features(bronze).withColumn(SILVER_PARTITION, F.to_date("edit_timestamp"))
+def silver_stream(bronze: DataFrame, files_per_day: int | None = None) -> DataFrame:
+    """Silver rows with the storage-only day column the table is partitioned by.
+
+    With ``files_per_day`` the rows are shuffled by day first, so that a batch writes at most so many
+    files for each day; a day of many rows is spread over them.  Without, nothing is shuffled.
+    """
+    rows = edit_features(bronze).withColumn(SILVER_PARTITION, F.to_date("edit_timestamp"))
+    if files_per_day is None:
+        return rows
+    return rows.repartition(SILVER_PARTITION, F.pmod(F.xxhash64("id"), F.lit(files_per_day)))
 
 
 def silver_job(
@@ -65,13 +72,16 @@ def silver_job(
     checkpoint: str,
     target: dict[str, str] | None = None,
     fmt: str = "parquet",
+    files_per_day: int | None = None,
 ) -> None:
     """Bronze edits stream -> silver table, whose schema may not change.
 
-    The table is partitioned by day, so that the gold lookback lists and reads its days only.
+    The table is partitioned by day, so that the gold lookback lists and reads its days only.  Each
+    task writes a file for every day it meets; for a replay of a long history, give
+    ``files_per_day``.
     """
     query = append_stream(
-        silver_stream(bronze),
+        silver_stream(bronze, files_per_day),
         checkpoint,
         fmt=fmt,
         partition_by=[SILVER_PARTITION],
