@@ -103,6 +103,33 @@ def test_repeats(docs, rows, bucket, span):
     assert not any(brute.PASSAGE in (r.text or "") for r in cut.collect())
 
 
+def test_repeat_groups(spark, docs, rows):
+    """A group is one string, at all its places, and could not be longer."""
+    found = defaultdict(set)
+    names = {}
+    from tidewatch.llm.common import row_key, texts
+
+    for r in row_key(texts(docs)).collect():
+        names[r.doc__, r.tag__] = r.text.encode()
+    for r in repeats.repeat_groups(docs, span_bytes=5000).collect():
+        found[r.group].add((r.doc__, r.tag__, r.first, r.last))
+    assert found
+    kept = {k: c for k, c in names.items()}
+    for places in found.values():
+        strings = {kept[d, t][a:b] for d, t, a, b in places}
+        assert len(strings) == 1
+        (string,) = strings
+        assert len(string) >= 200
+        if len(string) < 360:
+            listed = {(d, t, a) for d, t, a, _ in places}
+            for (d, t), content in kept.items():
+                if len(content) < 5000:  # of periodic texts only anchored places are listed
+                    at = content.find(string)
+                    while at >= 0:
+                        assert (d, t, at) in listed
+                        at = content.find(string, at + 1)
+
+
 def test_maximal_repeats():
     """Left and right sides of an anchor; groups are closed to both sides."""
     lefts = [b"aax", b"aay", b"abz", b"aax"]

@@ -13,7 +13,8 @@ next byte to the left and to the right, is a maximal repeat with all its occurre
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import hashlib
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -32,6 +33,8 @@ SPAN_BYTES = 1 << 17
 # Members of a bucket that one task sorts; a bucket of more is resolved by counting windows.
 BUCKET = 100_000
 
+# The lower half of ``at``: the place in the text.
+_PLACE = 0xFFFFFFFF
 _BITS = 18
 _MASK = np.uint64((1 << _BITS) - 1)
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -281,6 +284,31 @@ def _packed(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(pack, "doc_id long, doc__ long, tag__ int, content binary")
 
 
+def _by_bucket(work: Callable, kinds: list[pa.DataType], ddl: str) -> Callable:
+    """A task over contexts sorted by bucket: the rows that ``work`` gives for each bucket."""
+    names = [column.split()[0] for column in ddl.split(", ")]
+
+    def answer(out: list[tuple]) -> pa.RecordBatch:
+        columns = list(zip(*out, strict=True)) or [[]] * len(kinds)
+        arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
+        return pa.RecordBatch.from_arrays(arrays, names)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        run: list[tuple] = []
+        for batch in batches:
+            out: list[tuple] = []
+            for row in zip(*[column.to_pylist() for column in batch.columns], strict=True):
+                if run and run[-1][0] != row[0]:
+                    out.extend(work(run))
+                    run = []
+                run.append(row)
+            yield answer(out)
+        if run:
+            yield answer(list(work(run)))
+
+    return scan
+
+
 _REACH_DDL = "doc__ long, at long, left int, right int"
 
 
@@ -300,32 +328,13 @@ def _scanned(contexts: DataFrame, min_bytes: int) -> DataFrame:
         for i, (left, right) in reach.items():
             yield rows[i][1], rows[i][2], left, right
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def answer(out: list[tuple]) -> pa.RecordBatch:
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
-            columns = list(zip(*out, strict=True)) or [[]] * 4
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                ["doc__", "at", "left", "right"],
-            )
-
-        run: list[tuple] = []
-        for batch in batches:
-            out: list[tuple] = []
-            for row in zip(*[column.to_pylist() for column in batch.columns], strict=True):
-                if run and run[-1][0] != row[0]:
-                    out.extend(flush(run))
-                    run = []
-                run.append(row)
-            yield answer(out)
-        yield answer(list(flush(run)))
-
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
     dealt = contexts.repartition("bucket").sortWithinPartitions("bucket", "right")
-    return dealt.mapInArrow(scan, _REACH_DDL)
+    return dealt.mapInArrow(_by_bucket(flush, kinds, _REACH_DDL), _REACH_DDL)
 
 
-def _counted(contexts: DataFrame, min_bytes: int) -> DataFrame:
-    """The same for buckets of too many members: each window around an anchor is counted.
+def _windows(contexts: DataFrame, min_bytes: int) -> tuple[DataFrame, DataFrame]:
+    """All windows around the anchors of ``contexts``, and those that occur again.
 
     Spread by window, so that a bucket of any size is many tasks.
     """
@@ -357,6 +366,12 @@ def _counted(contexts: DataFrame, min_bytes: int) -> DataFrame:
     rows = contexts.mapInArrow(windows, ddl)
     # A class of several members counts for one here; those members are covered already.
     again = rows.groupBy("bucket", "window", "offset").count().where("count > 1").drop("count")
+    return rows, stored(again, "windows")
+
+
+def _counted(contexts: DataFrame, min_bytes: int) -> DataFrame:
+    """How far repeats reach, for buckets of too many members: each window is counted."""
+    rows, again = _windows(contexts, min_bytes)
     found = rows.where("single").join(again, ["bucket", "window", "offset"], "left_semi")
     return found.groupBy("doc__", "at").agg(
         F.max("offset").alias("left"), (F.lit(min_bytes) - F.min("offset")).alias("right")
@@ -376,17 +391,10 @@ def repeated_spans(
     ``last`` (exclusive), in bytes of the text's UTF-8. Spans of a text overlap. Rows repeated in the
     table repeat each other. Null, empty and short texts have no spans.
     """
-    anchors = anchor_rows(docs, min_bytes=min_bytes, span_bytes=span_bytes)
-    # Written before they are joined, so that a frequent bucket can be split by adaptive execution.
-    again = stored(anchors.groupBy("bucket").count().where("count > 1").select("bucket"), "again")
-    met = stored(anchors.join(again, "bucket", "left_semi"), "anchors")
-    classes = met.groupBy("bucket", "around", "sides").agg(
-        F.count(F.lit(1)).alias("members"), F.min(F.struct("doc__", "at")).alias("one")
-    )
-    classes = stored(classes, "anchor-classes")
+    met, classes, ends = _anchored(docs, min_bytes, bucket, span_bytes)
     side = min_bytes + 1
     left, right = F.floor(F.col("sides") / side), F.col("sides") % side
-    at = F.col("at").bitwiseAND(F.lit(0xFFFFFFFF))
+    at = F.col("at").bitwiseAND(F.lit(_PLACE))
     several = classes.where("members > 1").select("bucket", "around", "sides")
     whole = met.join(several, ["bucket", "around", "sides"], "left_semi").select(
         "doc__",
@@ -394,19 +402,6 @@ def repeated_spans(
         left.cast("int").alias("left"),
         right.cast("int").alias("right"),
     )
-    sizes = classes.groupBy("bucket").agg(F.count(F.lit(1)).alias("classes"))
-    sizes = stored(sizes.where("classes > 1"), "bucket-sizes")
-    ends = (
-        classes.join(sizes, "bucket")
-        .select(
-            "bucket",
-            "one.doc__",
-            "one.at",
-            (F.col("members") == 1).alias("single"),
-            (F.col("classes") > bucket).alias("large"),
-        )
-    )
-    ends = stored(ends, "repeat-ends")
     small = _contexts(docs, ends.where("not large").drop("large"), min_bytes)
     parts = [whole, _scanned(small, min_bytes)]
     if not ends.where("large").isEmpty():
@@ -423,6 +418,118 @@ def repeated_spans(
     )
 
 
+def _anchored(
+    docs: DataFrame, min_bytes: int, bucket: int, span_bytes: int
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Anchors that occur again, their classes, and one member of each class in a bucket of several.
+
+    A class is what agrees in bucket and whole surroundings; ``one`` stands for it.
+    """
+    anchors = anchor_rows(docs, min_bytes=min_bytes, span_bytes=span_bytes)
+    # Written before they are joined, so that a frequent bucket can be split by adaptive execution.
+    again = stored(anchors.groupBy("bucket").count().where("count > 1").select("bucket"), "again")
+    met = stored(anchors.join(again, "bucket", "left_semi"), "anchors")
+    classes = met.groupBy("bucket", "around", "sides").agg(
+        F.count(F.lit(1)).alias("members"), F.min(F.struct("doc__", "at")).alias("one")
+    )
+    classes = stored(classes, "anchor-classes")
+    sizes = classes.groupBy("bucket").agg(F.count(F.lit(1)).alias("classes"))
+    sizes = stored(sizes.where("classes > 1"), "bucket-sizes")
+    ends = classes.join(sizes, "bucket").select(
+        "bucket",
+        "one.doc__",
+        "one.at",
+        (F.col("members") == 1).alias("single"),
+        (F.col("classes") > bucket).alias("large"),
+    )
+    return met, classes, stored(ends, "repeat-ends")
+
+
+_GROUP_DDL = "bucket long, group long, left int, right int, doc__ long, at long"
+
+
+def _grouped(contexts: DataFrame, min_bytes: int) -> DataFrame:
+    """Maximal repeats of each bucket with one row for each class that has them."""
+
+    def name(text: bytes) -> int:
+        return int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "little", signed=True)
+
+    def groups(rows: list[tuple]) -> Iterator[tuple]:
+        # A class of several members is there twice, so that what they share is an interval, too.
+        rows = [row for row in rows for _ in range(1 if row[3] else 2)]
+        lefts, rights = [r[4] for r in rows], [r[5] for r in rows]
+        for left, right, group in maximal_repeats(lefts, rights, min_bytes):
+            string = lefts[group[0]][:left][::-1] + rights[group[0]][:right]
+            # In a periodic string the anchor may be the choice of windows beyond it only; there it
+            # need not be one at other places, and another anchor of the string has them all.
+            data = np.frombuffer(string, np.uint8)
+            ends = np.full(len(data), len(data))
+            if left not in _anchors(data, ends, 0, len(data), min_bytes)[0]:
+                continue
+            found = name(string)
+            for i in group:
+                yield rows[i][0], found, left, right, rows[i][1], rows[i][2]
+
+    dealt = contexts.repartition("bucket").sortWithinPartitions("bucket", "right")
+    kinds = [pa.int64()] * 2 + [pa.int32()] * 2 + [pa.int64()] * 2
+    return dealt.mapInArrow(_by_bucket(groups, kinds, _GROUP_DDL), _GROUP_DDL)
+
+
+def repeat_groups(
+    docs: DataFrame,
+    *,
+    min_bytes: int = MIN_BYTES,
+    bucket: int = BUCKET,
+    span_bytes: int = SPAN_BYTES,
+) -> DataFrame:
+    """Maximal repeats with all their occurrences: ``group, n_bytes, doc__, tag__, first, last``.
+
+    A group is one string of at least ``min_bytes`` bytes; its rows are all the places where it
+    occurs, and neither the byte before nor the one after agrees in all of them. Strings are followed
+    to ``min_bytes`` - ``ANCHOR`` bytes before and ``min_bytes`` bytes after an anchor; a longer repeat
+    is a chain of groups that overlap, and in a bucket of more than ``bucket`` surroundings its windows
+    of ``min_bytes`` bytes are the groups. Takes and treats ``docs`` like :func:`repeated_spans`.
+    """
+    met, classes, ends = _anchored(docs, min_bytes, bucket, span_bytes)
+    side = min_bytes + 1
+    small = _contexts(docs, ends.where("not large").drop("large"), min_bytes)
+    large = _contexts(docs, ends.where("large").drop("large"), min_bytes)
+    rows, again = _windows(large, min_bytes)
+    windows = rows.join(again, ["bucket", "window", "offset"], "left_semi").select(
+        "bucket",
+        F.col("window").alias("group"),
+        F.col("offset").alias("left"),
+        (F.lit(min_bytes) - F.col("offset")).alias("right"),
+        "doc__",
+        "at",
+    )
+    inner = _grouped(small, min_bytes).unionByName(windows).select(
+        "group", "left", "right", F.col("bucket").alias("b"), F.struct("doc__", "at").alias("rep")
+    )
+    same = (F.col("bucket") == F.col("b")) & (F.col("one") == F.col("rep"))
+    named = classes.join(inner, same).select("bucket", "around", "sides", "group", "left", "right")
+    alone = classes.join(ends.select("bucket").distinct(), "bucket", "left_anti")
+    whole = alone.where("members > 1").select(
+        "bucket",
+        "around",
+        "sides",
+        F.xxhash64("bucket", "around", "sides").alias("group"),
+        F.floor(F.col("sides") / side).cast("int").alias("left"),
+        (F.col("sides") % side).cast("int").alias("right"),
+    )
+    at = F.col("at").bitwiseAND(F.lit(_PLACE))
+    return met.join(
+        stored(named.unionByName(whole), "groups"), ["bucket", "around", "sides"]
+    ).select(
+        "group",
+        (F.col("left") + F.col("right")).alias("n_bytes"),
+        "doc__",
+        F.shiftright("at", 32).cast("int").alias("tag__"),
+        (at - F.col("left")).cast("int").alias("first"),
+        (at + F.col("right")).cast("int").alias("last"),
+    ).distinct()
+
+
 def _merged(spans: list[dict]) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
     for first, last in sorted((s["first"], s["last"]) for s in spans):
