@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,13 +70,34 @@ def keep_rows(docs: DataFrame, decisions: DataFrame) -> DataFrame:
     return single.unionByName(repeated).select("original__.*")
 
 
-def stored(frame: DataFrame, purpose: str) -> DataFrame:
+# The folder of the innermost block of :func:`intermediate`.
+_FOLDER: ContextVar[str | None] = ContextVar("folder", default=None)
+
+
+@contextmanager
+def intermediate(spark: SparkSession) -> Iterator[None]:
+    """Tables that are :func:`stored` in this block are deleted at its end.
+
+    What the block hands on has to be stored with ``keep``.
+    """
+    folder = scratch_folder(spark, "intermediate")
+    before = _FOLDER.set(folder)
+    try:
+        yield
+    finally:
+        _FOLDER.reset(before)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def stored(frame: DataFrame, purpose: str, *, keep: bool = False) -> DataFrame:
     """Write ``frame`` once to the shared folder and read it back.
 
     Cuts the lineage, and survives a lost executor. The files are compressed, unlike those of a
     checkpoint.
     """
     spark = frame.sparkSession
-    path = f"{scratch_folder(spark, purpose)}/{uuid.uuid4().hex}"
+    folder = None if keep else _FOLDER.get()
+    path = f"{folder or scratch_folder(spark, purpose)}/{purpose}-{uuid.uuid4().hex}"
     frame.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(frame.schema).parquet(path)

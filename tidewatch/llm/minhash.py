@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import KEY, keep_rows, row_key, stored, table, texts
+from tidewatch.llm.common import KEY, intermediate, keep_rows, row_key, stored, table, texts
 from tidewatch.llm.components import components
 from tidewatch.llm.shingles import common, mix, shingle_sets
 
@@ -328,19 +328,8 @@ def _across(docs: DataFrame, classes: DataFrame, members: DataFrame, sets: DataF
     return together.mapInArrow(confirm, "a binary, b binary")
 
 
-def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80) -> DataFrame:
-    """Each row of ``docs`` with its component of near duplicates.
-
-    Takes ``doc_id`` and ``text``; returns ``doc_id, n_shingles, component_id, kept`` and the row key
-    of :func:`row_key`. Documents are linked if their sets of ``words``-word shingles have an
-    intersection of at least ``percent`` hundredths of their union. ``component_id`` is the smallest id
-    reachable over links. One row of each component is kept, the one of that id; of rows repeated
-    under it an arbitrary one; nulls come last. Null, empty and blank texts have empty sets and no
-    links. An empty table gives an empty result.
-
-    Links between documents that share no band are missed; their number of bands makes the
-    probability at the threshold less than ``MISS``, and much less above it.
-    """
+def _rooted(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Rows with the root of their component, and the first row of each component."""
     share = percent / 100
     bands = _bands(share)
     hashes = bands * BAND_ROWS
@@ -400,6 +389,7 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80) -> Da
             "root", F.coalesce("root", "class")
         ).drop("vertex"),
         "rooted",
+        keep=True,
     )
     first = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "row")
     groups = (
@@ -408,7 +398,25 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80) -> Da
         .agg(F.min(first).alias("first"))
         .select(F.col("root").alias("group"), "first")
     )
-    groups = stored(groups, "groups")
+    groups = stored(groups, "groups", keep=True)
+    return named, groups
+
+
+def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80) -> DataFrame:
+    """Each row of ``docs`` with its component of near duplicates.
+
+    Takes ``doc_id`` and ``text``; returns ``doc_id, n_shingles, component_id, kept`` and the row key
+    of :func:`row_key`. Documents are linked if their sets of ``words``-word shingles have an
+    intersection of at least ``percent`` hundredths of their union. ``component_id`` is the smallest id
+    reachable over links. One row of each component is kept, the one of that id; of rows repeated
+    under it an arbitrary one; nulls come last. Null, empty and blank texts have empty sets and no
+    links. An empty table gives an empty result.
+
+    Links between documents that share no band are missed; their number of bands makes the
+    probability at the threshold less than ``MISS``, and much less above it.
+    """
+    with intermediate(docs.sparkSession):
+        named, groups = _rooted(docs, words, percent)
     grouped = F.col("group").isNotNull()
     return named.join(groups, F.col("root") == F.col("group"), "left").select(
         "doc_id",

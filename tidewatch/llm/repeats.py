@@ -23,7 +23,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import KEY, row_key, stored, table, texts, with_rows
+from tidewatch.llm.common import KEY, intermediate, row_key, stored, table, texts, with_rows
 from tidewatch.llm.shingles import mix
 
 MIN_BYTES = 200
@@ -391,6 +391,12 @@ def repeated_spans(
     ``last`` (exclusive), in bytes of the text's UTF-8. Spans of a text overlap. Rows repeated in the
     table repeat each other. Null, empty and short texts have no spans.
     """
+    with intermediate(docs.sparkSession):
+        return stored(_reaches(docs, min_bytes, bucket, span_bytes), "spans", keep=True)
+
+
+def _reaches(docs: DataFrame, min_bytes: int, bucket: int, span_bytes: int) -> DataFrame:
+    """How far repeats reach from each anchor, as spans."""
     met, classes, ends = _anchored(docs, min_bytes, bucket, span_bytes)
     side = min_bytes + 1
     left, right = F.floor(F.col("sides") / side), F.col("sides") % side

@@ -211,22 +211,22 @@ def _term_scores(counts: DataFrame, toxic: str, other: str, n_toxic: int, n_othe
     return counts.where(y_toxic >= 3).select("term", score.alias("score"), z.alias("z"))
 
 
-def _expanded(n: int, hits: np.ndarray) -> np.ndarray:
+def _expanded(n: int, places: np.ndarray, values: np.ndarray) -> np.ndarray:
     """Scores of ``n`` tokens from the places and scores of the hits among them."""
     scores = np.full(n, DRIFT)
-    scores[hits[:, 0].astype(int)] = hits[:, 1]
+    scores[places] = values
     return scores
 
 
-def _law(found: list[tuple[int, np.ndarray, bool]], model: Model) -> None:
+def _law(found: list[tuple[int, np.ndarray, np.ndarray, bool]], model: Model) -> None:
     """Estimate ``rate`` and ``scale`` from the hits of background texts.
 
     The rate is the root of E[exp(rate * score)] = 1; the scale makes the expected number of texts
     with a segment above a middling score agree with the number seen.
     """
-    other = [(n, hits) for n, hits, toxic in found if not toxic]
-    values = np.concatenate([hits[:, 1] for _, hits in other] or [np.zeros(0)]).astype(float)
-    plain = sum(n for n, _ in other) - len(values)
+    other = [row[:3] for row in found if not row[3]]
+    values = np.concatenate([hits for *_, hits in other] or [np.zeros(0)]).astype(float)
+    plain = sum(n for n, *_ in other) - len(values)
     if not len(values) or values.sum() + plain * DRIFT >= 0:
         return
 
@@ -239,7 +239,7 @@ def _law(found: list[tuple[int, np.ndarray, bool]], model: Model) -> None:
         low, high = (middle, high) if mean(middle) < 1 else (low, middle)
     model.rate = low
     tops = [
-        (max((s for *_, s in segments(_expanded(n, hits))), default=0.0), n) for n, hits in other
+        (max((s for *_, s in segments(_expanded(*row))), default=0.0), row[0]) for row in other
     ]
     level = float(np.median([s for s, _ in tops if s > 0]))
     above = sum(s >= level for s, _ in tops)
@@ -306,7 +306,7 @@ def fit(
                 # The background tokens between hits all have the same score.
                 hits = np.flatnonzero(scores > 0)
                 sizes.append(len(scores))
-                packed.append(np.stack([hits, scores[hits]], 1).astype("<f8").tobytes())
+                packed.append(hits.astype("<i4").tobytes() + scores[hits].astype("<f4").tobytes())
                 kinds.append(toxic)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -319,14 +319,14 @@ def fit(
 
     # At most fit_rows rows, of hits alone, as bytes.
     scored = rows.mapInArrow(tokens, "n long, hits binary, toxic int").toArrow()
-    found = [
-        (n_, np.frombuffer(hits, "<f8").reshape(-1, 2), toxic > 0)
-        for n_, hits, toxic in zip(*[c.to_pylist() for c in scored.columns], strict=True)
-    ]
-    del scored
+    found = []
+    for n_, hits, toxic in zip(*scored.columns, strict=True):
+        places, values = np.frombuffer(hits.as_buffer(), "<i4"), np.frombuffer(hits.as_buffer(), "<f4")
+        half = len(values) // 2
+        found.append((n_.as_py(), places[:half], values[half:], toxic.as_py() > 0))
     if all((n[0] + n[2], n[1] + n[3])):
         _law(found, model)
-        x = np.array([features(_expanded(n_, hits), model)[0] for n_, hits, _ in found])
+        x = np.array([features(_expanded(*row), model)[0] for *row, _ in found])
         model.weights = logistic(x, np.array([float(toxic) for *_, toxic in found]))
     return model
 
