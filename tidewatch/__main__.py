@@ -9,7 +9,8 @@
     page    [--as-of TIME] [--hours N] [--granularity 1min|5min] [--out DIR]
 
 Topics are those of a message bus (``--servers``, with ``--option key=value`` for the connector) or
-folders of files (``--topics``).  A topic of raw events is read from the same servers.  Tables go by their usual names; ``--format`` chooses their format.
+folders of files (``--topics``).  A topic of raw events is read from the same servers.  Tables go by
+their usual names; ``--format`` chooses their format.
 """
 
 from __future__ import annotations
