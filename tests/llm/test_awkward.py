@@ -241,7 +241,8 @@ def test_segments():
     def expected(scores):
         if not scores:
             return []
-        sums = [(sum(scores[a:b]), -(b - a), -a, a, b) for a in range(len(scores)) for b in range(a + 1, len(scores) + 1)]
+        ends = [(a, b) for a in range(len(scores)) for b in range(a + 1, len(scores) + 1)]
+        sums = [(sum(scores[a:b]), a - b, -a, a, b) for a, b in ends]
         total, _, _, a, b = max(sums)
         if total <= 0:
             return []
@@ -249,7 +250,8 @@ def test_segments():
         return [*left, (a, b), *[(x + b, y + b) for x, y in right]]
 
     for _ in range(300):
-        scores = [rng.choice([-7, -5, -3, 2, 4.5, 8.25]) + rng.random() / 100 for _ in range(rng.randint(0, 9))]
+        many = rng.randint(0, 9)
+        scores = [rng.choice([-7, -5, -3, 2, 4.5, 8.25]) + rng.random() / 100 for _ in range(many)]
         found = [(a, b) for a, b, _ in toxicity.segments(np.array(scores, float))]
         assert found == expected(scores)
 
@@ -259,7 +261,8 @@ def test_chats(spark):
         (1, 0, "user", "hi"), (1, 1, "bot", "yo"),
         (2, 0, "user", "hi"), (2, 1, "bot", "yo"), (2, 2, "user", "more"),
         (3, 0, "user", "hi"), (3, 1, "bot", "yo"), (3, 2, "user", "more"),
-        (4, 0, "user", "hi"), (5, 0, "user", None), (6, None, None, ""), (7, 5, "user", "hi"), (7, 5, "user", "hi"),
+        (4, 0, "user", "hi"), (5, 0, "user", None), (6, None, None, ""),
+        (7, 5, "user", "hi"), (7, 5, "user", "hi"),
         (None, 0, "user", "lost"), (None, 1, "bot", "found"),
     ]
     rows += [(8, t, "user", f"t{t}") for t in range(40)] + [(9, t, "user", f"t{t}") for t in range(30)]
@@ -346,21 +349,25 @@ def test_pipeline_stages(spark, docs, labels, folder):
                 assert kept.columns == docs.columns and kept.schema == docs.schema
                 kept = spark.createDataFrame(kept.collect(), docs.schema)
             if name == "exact_dedup":
-                texts = [brute.BLANK.sub("", r.text or "") for r in kept.collect()]
-                assert len(texts) == len(set(texts)) == len({brute.BLANK.sub("", r.text or "") for r in before.collect()})
+                old, new = (
+                    [brute.BLANK.sub("", r.text or "") for r in x.collect()] for x in (before, kept)
+                )
+                assert len(new) == len(set(new)) and set(new) == set(old)
             elif name == "near_dedup":
                 roots, _ = brute.components([(r.doc_id, r.text) for r in before.collect()], 5, 80)
                 assert kept.count() == len(set(roots))
             elif name == "suffix_dedup":
                 assert kept.count() == before.count()
-                counts = Counter(t[p : p + 200] for r in before.collect() for t in [(r.text or "").encode()] for p in range(len(t) - 199))
+                whole = [(r.text or "").encode() for r in before.collect()]
+                counts = Counter(t[p : p + 200] for t in whole for p in range(len(t) - 199))
                 again = {s for s, n in counts.items() if n > 1}
                 for r in kept.collect():
                     content = (r.text or "").encode()
                     assert not any(content[p : p + 200] in again for p in range(len(content) - 199))
                     assert r.n_chars == len(r.text or "")
             elif name == "packing":
-                assert Counter(r.doc_id for r in kept.collect() if r.start == 0) == Counter(r.doc_id for r in before.collect())
+                packed = Counter(r.doc_id for r in kept.collect() if r.start == 0)
+                assert packed == Counter(r.doc_id for r in before.collect())
 
 
 def test_pipeline_query(spark):

@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.session import configure, scratch_folder
@@ -22,8 +22,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Rows that Spark hands to Python at a time: whole texts, so fewer than usual.
+BATCH_ROWS = 1000
+
+
 def texts(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``doc_id`` and ``text`` alone: other columns cannot clash, a null text is an empty one."""
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return docs.select(
         F.col(f"`{id_column}`").cast("long").alias("doc_id"),
         F.coalesce(F.col(f"`{text_column}`").cast("string"), F.lit("")).alias("text"),
@@ -70,6 +75,11 @@ def keep_rows(docs: DataFrame, decisions: DataFrame) -> DataFrame:
     return single.unionByName(repeated).select("original__.*")
 
 
+def held_out(ids: Column) -> Column:
+    """Whether rows of these ids are kept from every fit: crc32 of the id as text, mod 5, is 0."""
+    return F.coalesce(F.crc32(ids.cast("string").cast("binary")) % 5 == 0, F.lit(False))
+
+
 # The folder of the innermost block of :func:`intermediate`.
 _FOLDER: ContextVar[str | None] = ContextVar("folder", default=None)
 

@@ -19,7 +19,8 @@ def _rewired(pairs: DataFrame) -> DataFrame:
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    return _rewired(both).where("v > u and v != low").select(F.col("v").alias("u"), F.col("low").alias("v"))
+    wired = _rewired(both).where("v > u and v != low")
+    return wired.select(F.col("v").alias("u"), F.col("low").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:

@@ -21,8 +21,8 @@ from tidewatch.llm.common import KEY, intermediate, keep_rows, row_key, stored,
 from tidewatch.llm.components import components
 from tidewatch.llm.shingles import common, mix, shingle_sets
 
-# A pair at the threshold of 0.85 is missed by all bands with a probability of 4e-7, at 0.8 of 2e-5
-# with 20 bands and of 4e-7 with the 28 that are taken there.
+# There are as many bands as it takes to miss a pair at the threshold with a probability below MISS:
+# 19 at 0.85, 27 at 0.8.
 BAND_ROWS = 4
 MISS = 1e-6
 # More hashes, of which the signature keeps a byte each; they sharpen the estimate of a pair.

@@ -15,10 +15,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import stored, table, texts
+from tidewatch.llm.common import held_out, stored, table, texts
 
 # The model is fitted on so many rated rows at most, those of the smallest hashes of their ids.
 FIT_ROWS = 30_000
@@ -28,7 +28,7 @@ ROUNDS = 6
 RATE = 0.3
 PENALTY = 1e-6
 SPAN_CHARS = 1 << 20
-KNOWN_WORDS = 300_000
+KNOWN_WORDS = 200_000
 
 _WORD = re.compile(r"\w+|[^\w\s]+")
 _CUT = re.compile(r"\s")
@@ -104,10 +104,6 @@ def featurise(text: str, known: Slots) -> tuple[np.ndarray, np.ndarray]:
     return slots, np.concatenate([values, np.full(len(traits), 0.5)])
 
 
-def held_out(ids: Column) -> Column:
-    return F.coalesce(F.crc32(ids.cast("string").cast("binary")) % 5 == 0, F.lit(False))
-
-
 _ROW_DDL = "shard int, grade int, slots binary, values binary"
 
 

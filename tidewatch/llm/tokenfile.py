@@ -90,7 +90,8 @@ def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int) -> Dictionary
     """A dictionary trained on id arrays of a bounded sample of ``docs``.
 
     The sample is those of at most ``DICTIONARY_DOC_BYTES`` bytes among the ``DICTIONARY_DOCS``
-    documents of the smallest hashes of ids; it affects the size of the frames only. Too small a sample is used as it is, without training.
+    documents of the smallest hashes of ids; it affects the size of the frames only. Too small a sample
+    is used as it is, without training.
     """
     rank = F.xxhash64("doc_id")
     lowest = texts(docs).select(rank.alias("h")).orderBy("h").limit(DICTIONARY_DOCS)
@@ -230,7 +231,8 @@ def _placed(blocks: DataFrame) -> DataFrame:
     # One row for each written file, so at most as many as the shuffle has partitions.
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("part", F.coalesce(F.sum("all").over(before), F.lit(0)).alias("before"))
-    return blocks.join(F.broadcast(offsets), "part").withColumn("start", F.col("before") + F.col("part_start"))
+    start = F.col("before") + F.col("part_start")
+    return blocks.join(F.broadcast(offsets), "part").withColumn("start", start)
 
 
 def read_token_file(spark: SparkSession, path: str) -> DataFrame:

@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 # Distinct pieces in each of the two generations of the cache.
 CACHE_PIECES = 300_000
 # Characters cut into pieces at a time, so that a very long text needs no long list.
-SPAN_CHARS = 1 << 22
+SPAN_CHARS = 1 << 21
 
 # Words of which the normal form is plain: no case or composition rules but those of Latin-1.
 _LETTERS = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
@@ -189,9 +189,9 @@ class Encoder:
         """
         if self.lead:
             # The blank that begins a later span of a long text is that of its first piece.
-            led = pc.starts_with(spans, " ")
-            spans = pc.if_else(led, pc.utf8_slice_codeunits(spans, 1), pc.binary_join_element_wise(
-                pa.scalar(_INNER, pa.large_string()), spans, pa.scalar("", pa.large_string())))
+            inner, nothing = (pa.scalar(x, pa.large_string()) for x in (_INNER, ""))
+            marked = pc.binary_join_element_wise(inner, spans, nothing)
+            spans = pc.if_else(pc.starts_with(spans, " "), pc.utf8_slice_codeunits(spans, 1), marked)
             spans = pc.replace_substring_regex(spans, _BREAK, f"\\1 {_INNER}\n {_INNER}\\2")
             spans = pc.replace_substring_regex(spans, _BEFORE_MARK, rf"\1 {_INNER}\2")
         else:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import KEY, row_key, stored, table, texts, with_rows
+from tidewatch.llm.common import KEY, held_out, row_key, stored, table, texts, with_rows
 
 # The model is fitted on so many labelled rows at most, those of the smallest hashes of their ids.
 FIT_ROWS = 40_000
@@ -31,7 +31,7 @@ PRIOR_SHARE, PRIOR_LEAST = 0.05, 50.0
 # Beginnings of words are terms of their own, for inflected and compound forms.
 BEGINNINGS = (5, 4)
 # Distinct words whose scores a task remembers.
-KNOWN_WORDS = 300_000
+KNOWN_WORDS = 200_000
 # What a term without evidence adds to a segment.
 DRIFT = -0.15
 # Expected number of equally good segments in a background text, below which one is significant.
@@ -41,7 +41,7 @@ E_VALUE = 0.05
 RATES, SCALES = (0.25, 4.0), (1e-6, 1.0)
 SPAN_CHARS = 1 << 20
 # Distinct terms that a task counts before it passes them on.
-COUNT_TERMS = 300_000
+COUNT_TERMS = 200_000
 
 _WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
 _CUT = re.compile(r"\s")
@@ -149,16 +149,12 @@ def features(scores: np.ndarray, model: Model) -> tuple[np.ndarray, list[tuple]]
     return np.array([1.0, np.log1p(surprise), np.log1p(best), hits / max(n, 1) ** 0.5]), found
 
 
-def _held_out(ids: Column) -> Column:
-    return F.coalesce(F.crc32(ids.cast("string").cast("binary")) % 5 == 0, F.lit(False))
-
-
 def _sample(labels: DataFrame, fit_rows: int) -> DataFrame:
     """Labelled ids to fit on, at most ``fit_rows``; ``half`` tells counting and fitting rows apart."""
     ids = F.col("doc_id").cast("long")
     known = (
         labels.where("doc_id is not null and toxic is not null")
-        .where(~_held_out(ids))
+        .where(~held_out(ids))
         .groupBy(ids.alias("label_id"))
         .agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     )
@@ -397,7 +393,7 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = fit(docs, table(spark, sf_dir, "labels"))
     return score_documents(docs, model).select(
         "doc_id",
-        _held_out(F.col("doc_id")).alias("held_out"),
+        held_out(F.col("doc_id")).alias("held_out"),
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
         F.size("passages").alias("n_passages"),
