@@ -14,7 +14,7 @@ from tidewatch.session import configure, scratch_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# A null document id takes this place in joins, so that its row is not lost.
+# Stands for a null document id where a number is needed.
 NO_ID = -(2**63)
 
 
@@ -38,11 +38,13 @@ def texts(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "tex
 def row_key(docs: DataFrame) -> DataFrame:
     """Add ``doc__`` and ``tag__``: together they name a row by its ``doc_id`` and ``text``.
 
-    Rows that share an id but not the text get different tags; equal rows share both.
+    They are 128 bits of hash of both, so that many rows of one id (or without one) with different
+    texts get different names, and are spread in joins; equal rows share the name.
     """
-    return docs.withColumn(
-        "doc__", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
-    ).withColumn("tag__", F.hash(F.coalesce(F.col("text"), F.lit(""))))
+    named = [F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit(""))]
+    return docs.withColumn("doc__", F.xxhash64(F.lit(1), *named)).withColumn(
+        "tag__", F.xxhash64(F.lit(2), *named)
+    )
 
 
 KEY = ["doc__", "tag__"]

@@ -67,7 +67,7 @@ def signature(sets: list[np.ndarray], hashes: int) -> np.ndarray:
 
 
 _SKETCH_DDL = (
-    "doc_id long, doc__ long, tag__ int, n_shingles long, class binary, signature binary"
+    "doc_id long, doc__ long, tag__ long, n_shingles long, class binary, signature binary"
 )
 
 
@@ -157,7 +157,7 @@ def _shingles_of(docs: DataFrame, classes: DataFrame, wanted: DataFrame, words:
                     strict=True,
                 ):
                     pair = np.array([s.sum(), mix(s + np.uint64(1)).sum()], np.uint64)
-                    if pair.tobytes() == key:  # else another text of the same id and tag
+                    if pair.tobytes() == key:  # else another text of the same name
                         keys.append(key)
                         found.append(s.tobytes())
                 yield pa.RecordBatch.from_arrays(

@@ -33,8 +33,6 @@ SPAN_BYTES = 1 << 17
 # Members of a bucket that one task sorts; a bucket of more is resolved by counting windows.
 BUCKET = 100_000
 
-# The lower half of ``at``: the place in the text.
-_PLACE = 0xFFFFFFFF
 _BITS = 18
 _MASK = np.uint64((1 << _BITS) - 1)
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -84,13 +82,14 @@ def _anchors(data: np.ndarray, ends: np.ndarray, first: int, last: int, min_byte
     return np.flatnonzero(marked), grams, hashed
 
 
-_ANCHOR_DDL = "bucket long, around long, doc__ long, at long, sides int"
+_ANCHOR_DDL = "bucket long, around long, doc__ long, tag__ long, at int, sides int"
 _ANCHOR_SCHEMA = pa.schema(
     [
         ("bucket", pa.int64()),
         ("around", pa.int64()),
         ("doc__", pa.int64()),
-        ("at", pa.int64()),
+        ("tag__", pa.int64()),
+        ("at", pa.int32()),
         ("sides", pa.int32()),
     ]
 )
@@ -123,7 +122,7 @@ def anchor_rows(
     docs: DataFrame, *, min_bytes: int = MIN_BYTES, span_bytes: int = SPAN_BYTES
 ) -> DataFrame:
     """All anchors: the hash of the anchor (``bucket``), of its surroundings (``around``), its row,
-    ``at`` (tag and place in the text) and ``sides`` (bytes there are to the left and right)."""
+    ``at`` (the place in the text) and ``sides`` (bytes there are to the left and right)."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -153,13 +152,13 @@ def anchor_rows(
                     seen = (text, start)
                     around, sides, start = around[new], sides[new], start[new]
                     places, row = places[new], row[new]
-                at = (tags[row].astype(np.int64) << 32) | start
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(grams[places].astype(np.int64)),
                         pa.array(around.astype(np.int64)),
-                        pa.array(docs_[row].astype(np.int64)),
-                        pa.array(at),
+                        pa.array(docs_[row]),
+                        pa.array(tags[row]),
+                        pa.array(start.astype(np.int32)),
                         pa.array(sides.astype(np.int32)),
                     ],
                     schema=_ANCHOR_SCHEMA,
@@ -235,36 +234,37 @@ def _children(common: list[int], first: int, last: int, depth: int) -> list[int]
     return out
 
 
-_CONTEXT_DDL = "bucket long, doc__ long, at long, single boolean, left binary, right binary"
+_CONTEXT_DDL = (
+    "bucket long, doc__ long, tag__ long, at int, single boolean, left binary, right binary"
+)
 
 
 def _contexts(docs: DataFrame, wanted: DataFrame, min_bytes: int) -> DataFrame:
-    """Surroundings of the ``wanted`` anchors (``bucket, doc__, at, single``), from the texts."""
-    places = (
-        wanted.groupBy("doc__", F.shiftright("at", 32).cast("int").alias("tag__"))
-        .agg(F.collect_list(F.struct("bucket", "at", "single")).alias("places"))
+    """Surroundings of the ``wanted`` anchors (``bucket``, key, ``at, single``), from the texts."""
+    places = wanted.groupBy(*KEY).agg(
+        F.collect_list(F.struct("bucket", "at", "single")).alias("places")
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
         for batch in batches:
             for i in range(batch.num_rows):
-                content = unpack.decompress(batch.column(1)[i].as_py())
+                content = unpack.decompress(batch.column(2)[i].as_py())
                 rows = []
-                doc = batch.column(0)[i].as_py()
-                for place in batch.column(2)[i].as_py():
-                    at = place["at"] & 0xFFFFFFFF
+                doc, tag = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
+                for place in batch.column(3)[i].as_py():
+                    at = place["at"]
                     left = content[max(0, at - min_bytes + ANCHOR) : at][::-1]
                     right = content[at : at + min_bytes]
-                    rows.append((place["bucket"], doc, place["at"], place["single"], left, right))
-                kinds = [pa.int64()] * 3 + [pa.bool_()] + [pa.binary()] * 2
+                    rows.append((place["bucket"], doc, tag, at, place["single"], left, right))
+                kinds = [pa.int64()] * 3 + [pa.int32(), pa.bool_()] + [pa.binary()] * 2
                 names = [x.split()[0] for x in _CONTEXT_DDL.split(", ")]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)],
                     names,
                 )
 
-    joined = _packed(docs).join(places, KEY).select("doc__", "content", "places")
+    joined = _packed(docs).join(places, KEY).select(*KEY, "content", "places")
     return joined.mapInArrow(cut, _CONTEXT_DDL)
 
 
@@ -281,7 +281,7 @@ def _packed(docs: DataFrame) -> DataFrame:
             )
 
     rows = row_key(texts(docs)).select("doc_id", *KEY, "text")
-    return rows.mapInArrow(pack, "doc_id long, doc__ long, tag__ int, content binary")
+    return rows.mapInArrow(pack, "doc_id long, doc__ long, tag__ long, content binary")
 
 
 def _by_bucket(work: Callable, kinds: list[pa.DataType], ddl: str) -> Callable:
@@ -309,7 +309,7 @@ def _by_bucket(work: Callable, kinds: list[pa.DataType], ddl: str) -> Callable:
     return scan
 
 
-_REACH_DDL = "doc__ long, at long, left int, right int"
+_REACH_DDL = "doc__ long, tag__ long, at int, left int, right int"
 
 
 def _scanned(contexts: DataFrame, min_bytes: int) -> DataFrame:
@@ -319,16 +319,16 @@ def _scanned(contexts: DataFrame, min_bytes: int) -> DataFrame:
         if len(rows) < 2:
             return
         reach: dict[int, tuple[int, int]] = {}
-        lefts, rights = [r[4] for r in rows], [r[5] for r in rows]
+        lefts, rights = [r[5] for r in rows], [r[6] for r in rows]
         for left, right, group in maximal_repeats(lefts, rights, min_bytes):
             for i in group:
-                if rows[i][3]:
+                if rows[i][4]:
                     old = reach.get(i, (0, 0))
                     reach[i] = (max(old[0], left), max(old[1], right))
         for i, (left, right) in reach.items():
-            yield rows[i][1], rows[i][2], left, right
+            yield *rows[i][1:4], left, right
 
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+    kinds = [pa.int64()] * 2 + [pa.int32()] * 3
     dealt = contexts.repartition("bucket").sortWithinPartitions("bucket", "right")
     return dealt.mapInArrow(_by_bucket(flush, kinds, _REACH_DDL), _REACH_DDL)
 
@@ -342,7 +342,7 @@ def _windows(contexts: DataFrame, min_bytes: int) -> tuple[DataFrame, DataFrame]
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in zip(*[column.to_pylist() for column in batch.columns], strict=True):
-                bucket, doc, at, single, left, right = row
+                bucket, doc, tag, at, single, left, right = row
                 data = np.frombuffer(left[::-1] + right, np.uint8)
                 starts = np.arange(len(data) - min_bytes + 1)
                 offsets = len(left) - starts
@@ -356,13 +356,14 @@ def _windows(contexts: DataFrame, min_bytes: int) -> tuple[DataFrame, DataFrame]
                         pa.array(hashes.astype(np.int64)),
                         pa.array(offsets.astype(np.int32)),
                         pa.array(np.full(n, doc)),
-                        pa.array(np.full(n, at)),
+                        pa.array(np.full(n, tag)),
+                        pa.array(np.full(n, at, np.int32)),
                         pa.array(np.full(n, single)),
                     ],
-                    ["bucket", "window", "offset", "doc__", "at", "single"],
+                    ["bucket", "window", "offset", *KEY, "at", "single"],
                 )
 
-    ddl = "bucket long, window long, offset int, doc__ long, at long, single boolean"
+    ddl = "bucket long, window long, offset int, doc__ long, tag__ long, at int, single boolean"
     rows = contexts.mapInArrow(windows, ddl)
     # A class of several members counts for one here; those members are covered already.
     again = rows.groupBy("bucket", "window", "offset").count().where("count > 1").drop("count")
@@ -373,7 +374,7 @@ def _counted(contexts: DataFrame, min_bytes: int) -> DataFrame:
     """How far repeats reach, for buckets of too many members: each window is counted."""
     rows, again = _windows(contexts, min_bytes)
     found = rows.where("single").join(again, ["bucket", "window", "offset"], "left_semi")
-    return found.groupBy("doc__", "at").agg(
+    return found.groupBy(*KEY, "at").agg(
         F.max("offset").alias("left"), (F.lit(min_bytes) - F.min("offset")).alias("right")
     )
 
@@ -400,10 +401,9 @@ def _reaches(docs: DataFrame, min_bytes: int, bucket: int, span_bytes: int) -> D
     met, classes, ends = _anchored(docs, min_bytes, bucket, span_bytes)
     side = min_bytes + 1
     left, right = F.floor(F.col("sides") / side), F.col("sides") % side
-    at = F.col("at").bitwiseAND(F.lit(_PLACE))
     several = classes.where("members > 1").select("bucket", "around", "sides")
     whole = met.join(several, ["bucket", "around", "sides"], "left_semi").select(
-        "doc__",
+        *KEY,
         "at",
         left.cast("int").alias("left"),
         right.cast("int").alias("right"),
@@ -417,10 +417,9 @@ def _reaches(docs: DataFrame, min_bytes: int, bucket: int, span_bytes: int) -> D
     for part in parts[1:]:
         reach = reach.unionByName(part)
     return reach.select(
-        "doc__",
-        F.shiftright("at", 32).cast("int").alias("tag__"),
-        (at - F.col("left")).cast("int").alias("first"),
-        (at + F.col("right")).cast("int").alias("last"),
+        *KEY,
+        (F.col("at") - F.col("left")).alias("first"),
+        (F.col("at") + F.col("right")).alias("last"),
     )
 
 
@@ -436,7 +435,7 @@ def _anchored(
     again = stored(anchors.groupBy("bucket").count().where("count > 1").select("bucket"), "again")
     met = stored(anchors.join(again, "bucket", "left_semi"), "anchors")
     classes = met.groupBy("bucket", "around", "sides").agg(
-        F.count(F.lit(1)).alias("members"), F.min(F.struct("doc__", "at")).alias("one")
+        F.count(F.lit(1)).alias("members"), F.min(F.struct(*KEY, "at")).alias("one")
     )
     classes = stored(classes, "anchor-classes")
     sizes = classes.groupBy("bucket").agg(F.count(F.lit(1)).alias("classes"))
@@ -444,6 +443,7 @@ def _anchored(
     ends = classes.join(sizes, "bucket").select(
         "bucket",
         "one.doc__",
+        "one.tag__",
         "one.at",
         (F.col("members") == 1).alias("single"),
         (F.col("classes") > bucket).alias("large"),
@@ -451,7 +451,7 @@ def _anchored(
     return met, classes, stored(ends, "repeat-ends")
 
 
-_GROUP_DDL = "bucket long, group long, left int, right int, doc__ long, at long"
+_GROUP_DDL = "bucket long, group long, left int, right int, doc__ long, tag__ long, at int"
 
 
 def _grouped(contexts: DataFrame, min_bytes: int) -> DataFrame:
@@ -462,8 +462,8 @@ def _grouped(contexts: DataFrame, min_bytes: int) -> DataFrame:
 
     def groups(rows: list[tuple]) -> Iterator[tuple]:
         # A class of several members is there twice, so that what they share is an interval, too.
-        rows = [row for row in rows for _ in range(1 if row[3] else 2)]
-        lefts, rights = [r[4] for r in rows], [r[5] for r in rows]
+        rows = [row for row in rows for _ in range(1 if row[4] else 2)]
+        lefts, rights = [r[5] for r in rows], [r[6] for r in rows]
         for left, right, group in maximal_repeats(lefts, rights, min_bytes):
             string = lefts[group[0]][:left][::-1] + rights[group[0]][:right]
             # In a periodic string the anchor may be the choice of windows beyond it only; there it
@@ -474,10 +474,10 @@ def _grouped(contexts: DataFrame, min_bytes: int) -> DataFrame:
                 continue
             found = name(string)
             for i in group:
-                yield rows[i][0], found, left, right, rows[i][1], rows[i][2]
+                yield rows[i][0], found, left, right, *rows[i][1:4]
 
     dealt = contexts.repartition("bucket").sortWithinPartitions("bucket", "right")
-    kinds = [pa.int64()] * 2 + [pa.int32()] * 2 + [pa.int64()] * 2
+    kinds = [pa.int64()] * 2 + [pa.int32()] * 2 + [pa.int64()] * 2 + [pa.int32()]
     return dealt.mapInArrow(_by_bucket(groups, kinds, _GROUP_DDL), _GROUP_DDL)
 
 
@@ -506,11 +506,11 @@ def repeat_groups(
         F.col("window").alias("group"),
         F.col("offset").alias("left"),
         (F.lit(min_bytes) - F.col("offset")).alias("right"),
-        "doc__",
+        *KEY,
         "at",
     )
     inner = _grouped(small, min_bytes).unionByName(windows).select(
-        "group", "left", "right", F.col("bucket").alias("b"), F.struct("doc__", "at").alias("rep")
+        "group", "left", "right", F.col("bucket").alias("b"), F.struct(*KEY, "at").alias("rep")
     )
     same = (F.col("bucket") == F.col("b")) & (F.col("one") == F.col("rep"))
     named = classes.join(inner, same).select("bucket", "around", "sides", "group", "left", "right")
@@ -523,16 +523,14 @@ def repeat_groups(
         F.floor(F.col("sides") / side).cast("int").alias("left"),
         (F.col("sides") % side).cast("int").alias("right"),
     )
-    at = F.col("at").bitwiseAND(F.lit(_PLACE))
     return met.join(
         stored(named.unionByName(whole), "groups"), ["bucket", "around", "sides"]
     ).select(
         "group",
         (F.col("left") + F.col("right")).alias("n_bytes"),
-        "doc__",
-        F.shiftright("at", 32).cast("int").alias("tag__"),
-        (at - F.col("left")).cast("int").alias("first"),
-        (at + F.col("right")).cast("int").alias("last"),
+        *KEY,
+        (F.col("at") - F.col("left")).alias("first"),
+        (F.col("at") + F.col("right")).alias("last"),
     ).distinct()
 
 
@@ -605,7 +603,7 @@ def remove_repeats(
     joined = _packed(docs).join(spans, KEY, "left").select("doc_id", *KEY, "content", "spans")
     return joined.mapInArrow(
         remove,
-        "doc_id long, doc__ long, tag__ int, n_bytes long, n_removed long, "
+        "doc_id long, doc__ long, tag__ long, n_bytes long, n_removed long, "
         "spans array<struct<first: int, last: int>>, kept_bytes binary",
     )
 

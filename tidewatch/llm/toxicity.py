@@ -374,7 +374,7 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
     rows = row_key(texts(docs)).select("doc_id", *KEY, "text")
     return rows.mapInArrow(
         score,
-        "doc_id long, doc__ long, tag__ int, score double, "
+        "doc_id long, doc__ long, tag__ long, score double, "
         "passages array<struct<first: long, last: long, score: double, chance: double>>",
     )
 
