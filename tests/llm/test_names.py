@@ -51,3 +51,14 @@ def test_toxic_namesake_goes_alone(clash, monkeypatch):
     monkeypatch.setattr(toxicity, "score_documents", score)
     found = {r.text for r in toxicity.drop_toxic(clash, None).collect()}
     assert found == {SECOND, brute.PASSAGE + "other"}
+
+
+def test_unlinked_equal_rows_all_stay(spark):
+    """Rows without shingles are linked with nothing, so repeated ones stay, too."""
+    rows = [(None, None, "a"), (None, None, "b"), (None, "", "c"), (3, " ", "d"), (3, " ", "e")]
+    rows += [(4, SECOND, "f"), (4, SECOND, "f")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    decided = minhash.near_duplicates(frame).where("kept").collect()
+    found = minhash.drop_near_copies(frame).collect()
+    assert len(decided) == len(found) == 6
+    assert {r.source for r in found} == set("abcdef")

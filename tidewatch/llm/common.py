@@ -64,12 +64,13 @@ def with_rows(docs: DataFrame) -> DataFrame:
 def keep_rows(docs: DataFrame, decisions: DataFrame) -> DataFrame:
     """Rows of ``docs`` that ``decisions`` (:data:`KEY` and ``kept``, one for each row) keeps.
 
-    Of equal rows as many as one stay if any does; all columns are returned as they were.
+    Of rows equal in id and text all stay if all are kept, else one if any is; all columns are
+    returned as they were.
     """
     marks = (
         decisions.groupBy(*KEY)
-        .agg(F.bool_or("kept").alias("stays__"), F.count(F.lit(1)).alias("rows__"))
-        .where("not stays__ or rows__ > 1")
+        .agg(F.bool_or("kept").alias("stays__"), F.bool_and("kept").alias("all__"))
+        .where("not all__")
     )
     keyed = with_rows(docs)
     single = keyed.join(marks, KEY, "left_anti")
