@@ -27,8 +27,9 @@ BAND_ROWS = 4
 MISS = 1e-6
 # More hashes, of which the signature keeps a byte each; they sharpen the estimate of a pair.
 EXTRA = 160
-# Standard deviations that the signature may fall short of the threshold before a pair is left out.
-DEVIATIONS = 5.0
+# Standard deviations that the signature may fall short of the threshold before a pair is left out:
+# at the threshold less than 1e-8 of the pairs that share a band, so bands and this stay below MISS.
+DEVIATIONS = 6.0
 # Members of a bucket that one task compares with as many others.
 BLOCK = 256
 
@@ -412,8 +413,9 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80) -> Da
     under it an arbitrary one; nulls come last. Null, empty and blank texts have empty sets and no
     links. An empty table gives an empty result.
 
-    Links between documents that share no band are missed; their number of bands makes the
-    probability at the threshold less than ``MISS``, and much less above it.
+    Links between documents that share no band, or whose signatures fall ``DEVIATIONS`` short of the
+    threshold, are missed; both together have a probability less than ``MISS`` at the threshold, and
+    much less above it.
     """
     with intermediate(docs.sparkSession):
         named, groups = _rooted(docs, words, percent)
