@@ -26,7 +26,7 @@ def crc(ids):
 def test_registered():
     assert registry.QUERIES.keys() <= queries().keys()
     numbers = sorted(int(name[2:].split("_")[0]) for name in registry.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert "pipeline" in queries()
 
 

@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from tidewatch.llm import chat, exact, minhash, packing, piece, quality, repeats, tokenfile, topk, toxicity
+from tidewatch.llm import (
+    centroids,
+    chat,
+    divergence,
+    exact,
+    minhash,
+    packing,
+    piece,
+    quality,
+    repeats,
+    tokencounts,
+    tokenfile,
+    topk,
+    toxicity,
+)
 from tidewatch.llm.common import Query
 
 QUERIES: dict[str, Query] = {
@@ -16,6 +30,9 @@ QUERIES: dict[str, Query] = {
     "op8_minhash": minhash.op8_minhash,
     "op9_packing": packing.op9_packing,
     "op10_pieces": piece.op10_pieces,
+    "op11_centroids": centroids.op11_centroids,
+    "op12_token_counts": tokencounts.op12_token_counts,
+    "op13_divergence": divergence.op13_divergence,
 }
 
-ORACLE: dict[str, str] = chat.SQL | exact.SQL | topk.SQL
+ORACLE: dict[str, str] = chat.SQL | exact.SQL | topk.SQL | centroids.SQL | divergence.SQL
