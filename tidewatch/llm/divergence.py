@@ -27,6 +27,8 @@ SLICE_BYTES = 24 << 20
 TERMS, RARE_TERMS, MANY = 1024, 128, 2**14
 # Groups on either side of a product, and indicator columns of a product's side.
 GROUPS, COLUMNS = 64, 1024
+# Rows of three numbers and names that are sent to all tasks at most.
+BROADCAST_ROWS = 100_000
 SHARES = 1_000_000_000
 MIN_DOCS, SMOOTHING, TOP = 30, 5, 50
 
@@ -146,6 +148,12 @@ def term_counts(docs: DataFrame, *, min_docs: int = MIN_DOCS) -> DataFrame:
     )
 
 
+def _small(frame: DataFrame) -> DataFrame:
+    """A stored frame of few rows goes to all tasks, so that no frequent key is dealt to one; a larger
+    one is joined by shuffling, where adaptive execution splits frequent keys."""
+    return F.broadcast(frame) if frame.count() <= BROADCAST_ROWS else frame
+
+
 def _groups(docs: DataFrame, counts: DataFrame) -> DataFrame:
     """``lang, source, nth, groups, size, terms, whole``: each occurring group, its number within the
     language, and the sums its shares are taken of."""
@@ -183,11 +191,13 @@ def _blocks(counts: DataFrame, groups: DataFrame) -> DataFrame:
     terms = counts.where("first").select("lang", "term", scale)
     room = F.when(F.col("scale") < int(np.log2(MANY)), TERMS).otherwise(RARE_TERMS)
     scales = terms.groupBy("lang", "scale").agg(F.count("*").alias("all_terms"))
-    scales = scales.withColumn("blocks", F.ceil(F.col("all_terms") / room))
+    scales = scales.select("lang", "scale", F.ceil(F.col("all_terms") / room).alias("blocks"))
+    scales = _small(stored(scales, "scales"))
     place = F.pmod(F.xxhash64("term"), F.col("blocks")).cast("int").alias("nth_block")
     placed = counts.select("lang", "source", "term", "n", "first", scale).join(
-        scales.select("lang", "scale", "blocks"), ["lang", "scale"]
+        scales, ["lang", "scale"]
     )
+    groups = _small(groups)
     numbered = groups.select("lang", "source", "nth", "groups")
     entries = placed.select("lang", "source", "term", "n", "first", "scale", place).join(
         numbered, ["lang", "source"]
@@ -355,6 +365,7 @@ def joint_tables(docs: DataFrame, *, min_docs: int = MIN_DOCS) -> DataFrame:
         groups = stored(_groups(docs, counts), "groups")
         cells = _blocks(counts, groups).groupBy(*_BLOCK).applyInArrow(_tabulate, _CELLS)
         cells = cells.groupBy("lang", "one", "level", "other", "other_level")
+        groups = _small(groups)
         named = groups.select("lang", F.col("nth").alias("one"), "source")
         others = groups.select("lang", F.col("nth").alias("other"), F.col("source").alias("other_source"))
         result = (
@@ -394,6 +405,7 @@ def source_divergence(docs: DataFrame, *, min_docs: int = MIN_DOCS, top: int = T
         groups = stored(_groups(docs, counts), "groups")
         priced = _blocks(counts, groups).groupBy(*_BLOCK).applyInArrow(_price, _PAIRS)
         sums = priced.groupBy("lang", "one", "other").agg(F.sum("value").alias("value"))
+        groups = _small(groups)
         both = sums.unionByName(
             sums.select("lang", F.col("other").alias("one"), F.col("one").alias("other"), "value")
         )
