@@ -37,9 +37,11 @@ _BLANK = re.compile(r" (?=\S)")
 _SPACES = r"\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 _UNEVEN = f" ([{_SPACES}]|$)|{_INNER}"
 # Between a letter or digit and a mark, before or after which no token goes on. The apostrophe is no
-# such mark: it may belong to the letters after it.
+# such mark: it may belong to the letters after it. Where texts are normalised, only letters are taken
+# that stay letters: others (dotted capital I) end in a combining mark then, which joins what follows.
 _P = r"[!-&(-/:-@\[-`{-~]"
 _BEFORE_MARK = rf"([\pL\pN])({_P})"
+_STABLE_BEFORE_MARK = rf"([A-Za-z0-9\x{{c0}}-\x{{d6}}\x{{d8}}-\x{{f6}}\x{{f8}}-\x{{ff}}])({_P})"
 # Between a mark and one line break, and after that break.
 _BREAK = rf"({_P})\n([\pL\pN])"
 
@@ -61,17 +63,24 @@ def _chunking(spec: dict) -> str | None:
 
 
 class Encoder:
-    """Encodes texts to the bytes of little-endian unsigned 32-bit ids."""
+    """Encodes texts to the bytes of little-endian unsigned 32-bit ids.
 
-    def __init__(self, path: str) -> None:
+    The ids are those of the plain call of the library, where the string of an added token in a text is
+    that token; with ``ordinary`` the strings of special tokens are ordinary text.
+    """
+
+    def __init__(self, path: str, *, ordinary: bool = False) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        # The strings of special tokens in a text are ordinary text.
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = ordinary
         with open(path, encoding="utf-8") as file:
-            self.chunking = _chunking(json.load(file))
+            spec = json.load(file)
+        self.chunking = _chunking(spec)
+        # Texts that hold such a string are encoded whole, whatever the case of its letters.
+        added = [re.escape(token["content"]) for token in spec.get("added_tokens") or []]
+        self.added = f"(?i){'|'.join(added)}" if added and not ordinary else None
         # With blanks kept, a piece stands for itself with a blank before it.
         self.lead = " " if self.chunking == "kept" else ""
         self.edges = self._word_edges() if self.chunking else None
@@ -149,7 +158,7 @@ class Encoder:
             some = inner[start : start + 8192]
             found = self._encode_words([x[1:] for x in some], inner=True)
             young.update(zip(some, found, strict=True))
-        texts = [x[1:] if x[:1] == _INNER else self.lead + x for x in odd]
+        texts = [x[1:] if self.lead and x[:1] == _INNER else self.lead + x for x in odd]
         young.update(zip(odd, self._encode(texts), strict=True))
 
     def _spans(self, text: str) -> Iterator[str]:
@@ -167,6 +176,19 @@ class Encoder:
         """Ids of each text."""
         if self.chunking is None:
             return self._encode(texts)
+        if self.added and texts:
+            held = pc.match_substring_regex(pa.array(texts, pa.large_string()), self.added)
+            if pc.any(held).as_py():
+                return self._encode_some_whole(texts, held.to_pylist())
+        return self._encode_plain(texts)
+
+    def _encode_some_whole(self, texts: list[str], whole: list[bool]) -> list[bytes]:
+        odd = iter(self._encode([x for x, by_itself in zip(texts, whole, strict=True) if by_itself]))
+        plain = iter(self._encode_plain([x for x, by_itself in zip(texts, whole, strict=True) if not by_itself]))
+        return [next(odd if by_itself else plain) for by_itself in whole]
+
+    def _encode_plain(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts without the strings of added tokens, cut into pieces."""
         spans = [(i, span) for i, text in enumerate(texts) for span in self._spans(text)]
         ids: list[list[bytes]] = [[] for _ in texts]
         start = 0
@@ -196,7 +218,7 @@ class Encoder:
             spans = pc.replace_substring_regex(spans, _BEFORE_MARK, rf"\1 {_INNER}\2")
         else:
             spans = pc.replace_substring_regex(spans, r"[\t\n\x0b\f\r]", " ")
-            spans = pc.replace_substring_regex(spans, _BEFORE_MARK, r"\1 \2")
+            spans = pc.replace_substring_regex(spans, _STABLE_BEFORE_MARK, r"\1 \2")
         return pc.split_pattern(spans, " ")
 
     def _encode_spans(self, spans: list[str]) -> list[bytes]:
@@ -233,12 +255,12 @@ class Encoder:
         return out
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, *, ordinary: bool = False) -> Encoder:
     """The encoder of this Python process; tasks that follow each other share its cache."""
-    if path not in _ENCODERS:
+    if (path, ordinary) not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+        _ENCODERS[path, ordinary] = Encoder(path, ordinary=ordinary)
+    return _ENCODERS[path, ordinary]
