@@ -108,7 +108,7 @@ _ROW_DDL = "shard int, grade int, slots binary, values binary"
 
 
 def _rated(docs: DataFrame, ratings: DataFrame, fit_rows: int) -> DataFrame:
-    """Features of at most ``fit_rows`` rated rows."""
+    """Features of at most ``fit_rows`` rated rows; of several with one id, that of the smallest text."""
     ids = F.col("doc_id").cast("long")
     known = (
         ratings.where("doc_id is not null and grade is not null")
@@ -120,6 +120,7 @@ def _rated(docs: DataFrame, ratings: DataFrame, fit_rows: int) -> DataFrame:
     # At most fit_rows rows of two numbers, so the broadcast has a bound.
     sample = F.broadcast(stored(known.orderBy(order, "rated_id").limit(fit_rows), "ratings"))
     rows = texts(docs).join(sample, F.col("doc_id") == F.col("rated_id"))
+    rows = rows.groupBy("doc_id", "grade").agg(F.min("text").alias("text"))
     rows = rows.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(SHARDS)).alias("shard"), "grade", "text")
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -90,26 +90,27 @@ def _spans(text: str) -> Iterator[tuple[int, str]]:
 def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     """All maximal scoring segments: (first, one after the last, score), in their order.
 
-    One pass over the positive scores with a stack of candidates; each candidate carries the sum
-    before it and the sum at its end.
+    One pass over the positive scores with a list of candidates; each carries the sum before it, the sum
+    at its end, and a link to the last candidate before it with a smaller sum before it.  The search for
+    the one to join with follows the links, so that a candidate is passed over once.
     """
     sums = np.concatenate([[0.0], np.cumsum(scores)])
     out: list[tuple[int, int, float, float]] = []
+    links: list[int] = []
     for i in np.flatnonzero(scores > 0).tolist():
         first, before, after = i, float(sums[i]), float(sums[i + 1])
-        held: list[tuple[int, int, float, float]] = []
-        while out:
-            top = out[-1]
-            if top[2] >= before:
-                held.append(out.pop())
-                continue
-            if top[3] >= after:
+        at = len(out) - 1
+        while True:
+            while at >= 0 and out[at][2] >= before:
+                at = links[at]
+            if at < 0 or out[at][3] >= after:
                 break
-            out.pop()
-            held.clear()
-            first, before = top[0], top[2]
-        out.extend(reversed(held))
+            first, before = out[at][0], out[at][2]
+            del out[at:]
+            at = links[at]
+            del links[len(out) :]
         out.append((first, i + 1, before, after))
+        links.append(at)
     return [(first, last, after - before) for first, last, before, after in out]
 
 
@@ -207,6 +208,13 @@ def _term_scores(counts: DataFrame, toxic: str, other: str, n_toxic: int, n_othe
     return counts.where(y_toxic >= 3).select("term", score.alias("score"), z.alias("z"))
 
 
+def _unpacked(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Places and scores of the hits of a text."""
+    places, values = np.frombuffer(raw, "<i4"), np.frombuffer(raw, "<f4")
+    half = len(values) // 2
+    return places[:half], values[half:]
+
+
 def _expanded(n: int, places: np.ndarray, values: np.ndarray) -> np.ndarray:
     """Scores of ``n`` tokens from the places and scores of the hits among them."""
     scores = np.full(n, DRIFT)
@@ -214,33 +222,59 @@ def _expanded(n: int, places: np.ndarray, values: np.ndarray) -> np.ndarray:
     return scores
 
 
-def _law(found: list[tuple[int, np.ndarray, np.ndarray, bool]], model: Model) -> None:
-    """Estimate ``rate`` and ``scale`` from the hits of background texts.
-
-    The rate is the root of E[exp(rate * score)] = 1; the scale makes the expected number of texts
-    with a segment above a middling score agree with the number seen.
-    """
-    other = [row[:3] for row in found if not row[3]]
-    values = np.concatenate([hits for *_, hits in other] or [np.zeros(0)]).astype(float)
-    plain = sum(n for n, *_ in other) - len(values)
-    if not len(values) or values.sum() + plain * DRIFT >= 0:
-        return
+def _rate(values: np.ndarray, times: np.ndarray, plain: int) -> float | None:
+    """The root of E[exp(rate * score)] = 1 over hits with these scores and ``plain`` other tokens."""
+    hits = times.sum()
+    if not hits or (values * times).sum() + plain * DRIFT >= 0:
+        return None
 
     def mean(rate: float) -> float:
-        return (np.exp(rate * values).sum() + plain * np.exp(rate * DRIFT)) / (plain + len(values))
+        return ((np.exp(rate * values) * times).sum() + plain * np.exp(rate * DRIFT)) / (plain + hits)
 
     low, high = RATES
     for _ in range(60):
         middle = (low + high) / 2
         low, high = (middle, high) if mean(middle) < 1 else (low, middle)
-    model.rate = low
-    tops = [
-        (max((s for *_, s in segments(_expanded(*row))), default=0.0), row[0]) for row in other
-    ]
-    level = float(np.median([s for s, _ in tops if s > 0]))
-    above = sum(s >= level for s, _ in tops)
-    expected = sum(n for _, n in tops) * np.exp(-model.rate * level)
-    model.scale = float(np.clip(above / expected, *SCALES))
+    return low
+
+
+def _law(scored: DataFrame, model: Model) -> None:
+    """Estimate ``rate`` and ``scale`` from the hits of background texts.
+
+    The scale makes the expected number of texts with a segment above a middling score agree with the
+    number seen. The driver gets a number for each distinct score, and two for each text.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hits = [_unpacked(raw)[1] for raw in batch.column("hits").to_pylist()]
+            values, times = np.unique(np.concatenate(hits or [np.zeros(0)]), return_counts=True)
+            columns = [pa.array(values.astype(float)), pa.array(times.astype(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, ["value", "times"])
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, raws = (batch.column(name).to_pylist() for name in ("n", "hits"))
+            tops = [
+                max((s for *_, s in segments(_expanded(n, *_unpacked(raw)))), default=0.0)
+                for n, raw in zip(sizes, raws, strict=True)
+            ]
+            columns = [batch.column("n"), pa.array(tops, pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, ["n", "top"])
+
+    other = scored.where("toxic <= 0")
+    counted = other.mapInArrow(count, "value double, times long").groupBy("value")
+    counted = counted.agg(F.sum("times").alias("times")).orderBy("value").collect()
+    values, times = (np.array([row[i] for row in counted], float) for i in (0, 1))
+    tops = other.mapInArrow(best, "n long, top double").collect()
+    tokens = sum(row["n"] for row in tops)
+    rate = _rate(values, times, tokens - int(times.sum()))
+    if rate is None:
+        return
+    model.rate = rate
+    level = float(np.median([row["top"] for row in tops if row["top"] > 0]))
+    above = sum(row["top"] >= level for row in tops)
+    model.scale = float(np.clip(above / (tokens * np.exp(-rate * level)), *SCALES))
 
 
 def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-2, steps: int = 50) -> np.ndarray:
@@ -267,14 +301,15 @@ def fit(
 ) -> Model:
     """Learn from ``labels`` (``doc_id, toxic``); rows whose crc32(id) mod 5 is 0 are never used.
 
-    At most ``fit_rows`` labelled rows are used, in two halves: each is scored with the counts of the
-    other to fit the calibration, the final terms come from both. Without rows of both kinds every
-    text gets the same score.
+    At most ``fit_rows`` labelled rows are used (of several with one id, that of the smallest text), in
+    two halves: each is scored with the counts of the other to fit the calibration, the final terms
+    come from both. Without rows of both kinds every text gets the same score.
     """
     # At most fit_rows rows of three numbers, so the broadcast has a bound.
     sample = F.broadcast(stored(_sample(labels, fit_rows), "labels"))
     rows = texts(docs).join(sample, F.col("doc_id") == F.col("label_id"))
-    rows = rows.select("text", "toxic", F.col("half").cast("int").alias("half"))
+    rows = rows.groupBy("label_id", "toxic", F.col("half").cast("int").alias("half"))
+    rows = stored(rows.agg(F.min("text").alias("text")).select("text", "toxic", "half"), "labelled")
     n = [0] * 4
     for row in rows.groupBy("half", "toxic").agg(F.count(F.lit(1)).alias("n")).collect():
         n[2 * row["half"] + (row["toxic"] > 0)] += row["n"]
@@ -313,17 +348,24 @@ def fit(
                 ["n", "hits", "toxic"],
             )
 
-    # At most fit_rows rows, of hits alone, as bytes.
-    scored = rows.mapInArrow(tokens, "n long, hits binary, toxic int").toArrow()
-    found = []
-    for n_, hits, toxic in zip(*scored.columns, strict=True):
-        places, values = np.frombuffer(hits.as_buffer(), "<i4"), np.frombuffer(hits.as_buffer(), "<f4")
-        half = len(values) // 2
-        found.append((n_.as_py(), places[:half], values[half:], toxic.as_py() > 0))
+    scored = stored(rows.mapInArrow(tokens, "n long, hits binary, toxic int"), "hits")
     if all((n[0] + n[2], n[1] + n[3])):
-        _law(found, model)
-        x = np.array([features(_expanded(*row), model)[0] for *row, _ in found])
-        model.weights = logistic(x, np.array([float(toxic) for *_, toxic in found]))
+        _law(scored, model)
+
+        def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                sizes, raws = (batch.column(name).to_pylist() for name in ("n", "hits"))
+                x = [
+                    features(_expanded(size, *_unpacked(raw)), model)[0].tolist()
+                    for size, raw in zip(sizes, raws, strict=True)
+                ]
+                columns = [pa.array(x, pa.list_(pa.float64())), batch.column("toxic")]
+                yield pa.RecordBatch.from_arrays(columns, ["x", "toxic"])
+
+        # At most fit_rows rows of a few numbers.
+        found = scored.mapInArrow(describe, "x array<double>, toxic int").collect()
+        x = np.array([row["x"] for row in found])
+        model.weights = logistic(x, np.array([float(row["toxic"] > 0) for row in found]))
     return model
 
 
