@@ -437,4 +437,6 @@ def drop_near_copies(docs: DataFrame, *, words: int = 5, percent: int = 80) -> D
 
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
-    return found.select("doc_id", "n_shingles", "component_id", "kept")
+    # of rows that repeat an id, all or none
+    kept = (F.col("doc_id") == F.col("component_id")).alias("kept")
+    return found.select("doc_id", "n_shingles", "component_id", kept)
