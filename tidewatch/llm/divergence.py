@@ -24,7 +24,7 @@ from tidewatch.llm.common import BATCH_ROWS, intermediate, stored, table
 # Bytes of text whose words are counted at a time; a longer text is counted by itself.
 SLICE_BYTES = 24 << 20
 # Terms of a block, and those of one in which nearly every term has a level of its own.
-TERMS, RARE_TERMS, MANY = 1024, 128, 2**14
+TERMS, RARE_TERMS, MANY = 256, 128, 2**14
 # Groups on either side of a product, and indicator columns of a product's side.
 GROUPS, COLUMNS = 64, 1024
 # Rows of three numbers and names that are sent to all tasks at most.
