@@ -14,6 +14,7 @@ from tidewatch.__main__ import _arguments, _topic_sink, main
 from tidewatch.operators.windows import user_activity
 from tidewatch.plans.gold import gold_edit_volume
 from tidewatch.plans.page import dashboard_page
+from tidewatch.versions import current_version, read_version
 
 AS_OF = "1970-01-03T06:00:00"
 MADE = (
@@ -75,6 +76,32 @@ def test_all_jobs_in_a_row(spark, folder, feed, capsys):
     assert "namespace_label" in shown and "distinct_users" in shown and "avg_bot_ratio" in shown
 
 
+def test_late_windows_and_flags(spark, folder, feed, capsys):
+    topics, checkpoint = f"{folder}/topics", f"{folder}/ck"
+    words = ["--topics", topics, "--checkpoint"]
+    main(["ingest", "--feed", feed, "--sse", *words, f"{checkpoint}/ingest"])
+    main(["bronze", *words, f"{checkpoint}/bronze"])
+    main(["silver", "--checkpoint", f"{checkpoint}/silver", "--distinct-within", "1 hour"])
+    gold = ["--window", "10min=600", "--baseline", "7200", "--sigma", "1.5", "--by", "wiki"]
+    versions = ["--versions", f"{folder}/gold"]
+    for _ in range(2):
+        main(["late", "--checkpoint", f"{checkpoint}/late", *gold, *versions])
+    shown = capsys.readouterr().out
+    assert "replaced: 1970-01-03" in shown and "replaced: nothing" in shown
+    volume = read_version(spark, f"{folder}/gold", fixed.VOLUME_TABLE)
+    assert volume.count() == 5 and {row.window_duration for row in volume.collect()} == {"10min"}
+    main(["gold", "--as-of", AS_OF, *gold, *versions])
+    assert current_version(spark, f"{folder}/gold").number == 2
+    windows = f"{folder}/windows"
+    main(["windows", "--checkpoint", f"{checkpoint}/windows", "--out", windows, "--delay", "5 minutes"])
+    # the last edit is at 49:30, so windows that end up to 44:30 are closed
+    closed = spark.read.parquet(windows)
+    assert closed.where("window_duration = '1min'").count() == 44
+    flags = f"{folder}/flags"
+    main(["flags", "--checkpoint", f"{checkpoint}/flags", "--windows", windows, "--out", flags])
+    assert spark.read.parquet(flags).where("window_duration = '1min'").count() == 34
+
+
 def test_options_of_a_topic_sink():
     words = ["ingest", "--feed", "f", "--servers", "s", "--checkpoint", "c", "--option", "a=b"]
     given = _arguments(words)

@@ -1,0 +1,141 @@
+"""Edits older than the lookback reach gold through the late-edits job, and nothing else changes."""
+
+from __future__ import annotations
+
+import uuid
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.helpers import silver_rows
+from tidewatch.operators.windows import user_activity
+from tidewatch.plans.gold import Settings, affected_dates, gold_edit_volume, refresh_dates
+from tidewatch.sources.tables import SILVER_PARTITION, stream_table
+from tidewatch.streaming import late_edits_job
+
+DAY = 86_400
+
+
+@pytest.fixture
+def names():
+    tag = uuid.uuid4().hex
+    return {"volume_table": f"v_{tag}", "user_table": f"u_{tag}"}
+
+
+def store(rows, folder):
+    stored = rows.withColumn(SILVER_PARTITION, F.to_date("edit_timestamp"))
+    stored.write.partitionBy(SILVER_PARTITION).mode("append").parquet(f"{folder}/silver")
+
+
+def run(spark, folder, names, **options):
+    read = lambda: spark.read.parquet(f"{folder}/silver")
+    stream = stream_table(spark, path=f"{folder}/silver", schema=read().schema)
+    return late_edits_job(stream, read, f"{folder}/checkpoint", **names, **options)
+
+
+def files_by_date(spark, table):
+    found = {}
+    for path in spark.table(table).inputFiles():
+        found.setdefault(path.split("date=")[1].split("/")[0], set()).add(path)
+    return found
+
+
+def same(frame, other):
+    columns = sorted(other.columns)
+    rows = lambda f: sorted(map(tuple, f.select(*columns).collect()), key=repr)
+    return rows(frame) == rows(other)
+
+
+def history(spark, days=8, extra=()):
+    rows = [{"t": d * DAY + 3600 * h + 60 * m} for d in range(days) for h in (0, 12, 23) for m in range(0, 60, 7)]
+    return silver_rows(spark, [*rows, *extra])
+
+
+def test_late_edit_reaches_gold_and_other_dates_keep_their_files(spark, folder, names):
+    store(history(spark), folder)
+    # the last one has no edits, but those before it are in its baseline
+    assert run(spark, folder, names) == [f"1970-01-0{n}" for n in range(1, 10)]
+    before = {table: files_by_date(spark, table) for table in names.values()}
+    late = [{"t": 2 * DAY + 12 * 3600 + 5, "user": "late"}, {"t": 4 * DAY + 23.5 * 3600, "user": "late"}]
+    store(silver_rows(spark, late), folder)
+    # the second edit is in the baseline of the first windows of the next date
+    assert run(spark, folder, names) == ["1970-01-03", "1970-01-05", "1970-01-06"]
+    everything = spark.read.parquet(f"{folder}/silver").drop(SILVER_PARTITION)
+    assert same(spark.table(names["volume_table"]), gold_edit_volume(everything))
+    assert same(spark.table(names["user_table"]), user_activity(everything))
+    for table, changed in (
+        (names["volume_table"], {"1970-01-03", "1970-01-05", "1970-01-06"}),
+        (names["user_table"], {"1970-01-03", "1970-01-05"}),
+    ):
+        after = files_by_date(spark, table)
+        assert {day for day, files in after.items() if files != before[table][day]} == changed
+    assert run(spark, folder, names) == []
+
+
+def test_only_before(spark, folder, names):
+    store(history(spark), folder)
+    found = run(spark, folder, names, before=date(1970, 1, 4))
+    assert found == ["1970-01-01", "1970-01-02", "1970-01-03"]
+    days = spark.table(names["user_table"]).select(F.max("date")).first()[0]
+    assert days == date(1970, 1, 3)
+
+
+def test_affected_dates(spark):
+    def dates(seconds, settings):
+        frame = silver_rows(spark, [{"t": t} for t in seconds])
+        return {str(r.date): r.edited for r in affected_dates(frame, settings).collect()}
+
+    usual = Settings()
+    assert dates([DAY / 2, None], usual) == {"1970-01-01": True}
+    assert dates([DAY - 3600], usual) == {"1970-01-01": True, "1970-01-02": False}
+    assert dates([DAY - 3601], usual) == {"1970-01-01": True}
+    assert dates([DAY - 1, DAY], usual) == {"1970-01-01": True, "1970-01-02": True}
+    wide = Settings(baseline_seconds=2 * DAY + 5)
+    assert dates([0], wide) == {"1970-01-01": True, "1970-01-02": False, "1970-01-03": False}
+    assert dates([-1], usual) == {"1969-12-31": True, "1970-01-01": False}
+    far = silver_rows(spark, []).withColumn("edit_timestamp", F.lit("+200000-01-01").cast("timestamp"))
+    assert affected_dates(far, usual).isEmpty()
+
+
+def test_long_baselines_and_group_columns(spark, names):
+    settings = Settings({"10min": 600}, baseline_seconds=30 * 3600, sigma=1.0, by=["title"])
+    rows = [{"t": 1000 * n, "title": f"p{n % 3}"} for n in range(600)]
+    silver = silver_rows(spark, rows)
+    days = ["1970-01-03", "1970-01-06"]
+    refresh_dates(spark, silver, days, days[:1], **names, settings=settings)
+    right = gold_edit_volume(silver, settings).where(F.col("date").cast("string").isin(days))
+    assert same(spark.table(names["volume_table"]), right)
+    users = spark.table(names["user_table"]).select("date").distinct().collect()
+    assert [str(row.date) for row in users] == days[:1]
+
+
+def test_a_date_beyond_the_calendar_of_python(spark, folder, names):
+    store(history(spark, days=2), folder)
+    run(spark, folder, names)
+    far = silver_rows(spark, [{"t": 0}]).withColumn(
+        "edit_timestamp", F.timestamp_seconds(F.lit(300_000_000_000))
+    )
+    store(far, folder)
+    assert len(run(spark, folder, names)) == 1
+    assert spark.table(names["volume_table"]).where("total_edits = 1 AND year(date) > 9999").count() == 2
+
+
+def test_dates_without_rows_go(spark, names):
+    silver = history(spark, days=3)
+    every = ["1970-01-01", "1970-01-02", "1970-01-03"]
+    refresh_dates(spark, silver, every, every, **names)
+    less = silver.where(F.to_date("edit_timestamp") != F.lit("1970-01-02"))
+    refresh_dates(spark, less, every[:2], every[:2], **names)
+    found = spark.table(names["user_table"]).select("date").distinct().collect()
+    assert sorted(str(row.date) for row in found) == ["1970-01-01", "1970-01-03"]
+
+
+def test_history_reads_its_days_only(spark, folder):
+    from tidewatch.plans.gold import gold_edit_volume_on
+
+    store(history(spark), folder)
+    silver = spark.read.parquet(f"{folder}/silver")
+    plan = gold_edit_volume_on(silver, ["1970-01-05"])._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: [", 1)[1].split("PushedFilters", 1)[0]
+    assert "1970-01-04" in filters and "1970-01-05" in filters and "1970-01-06" not in filters

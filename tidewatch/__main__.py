@@ -3,13 +3,17 @@
     ingest  (--feed DIR [--sse] | --feed-topic NAME) [--feed-option KEY=VALUE]
             (--servers HOST:PORT | --topics DIR) --checkpoint DIR
     bronze  (--servers HOST:PORT | --topics DIR) --checkpoint DIR
-    silver  --checkpoint DIR [--files-per-day N]
-    gold    [--as-of TIME] [--warm]
+    silver  --checkpoint DIR [--files-per-day N] [--distinct-within TIME]
+    gold    [--as-of TIME] [--warm] [--versions DIR]
+    late    --checkpoint DIR [--before DATE] [--versions DIR]
+    windows --checkpoint DIR --out DIR [--delay TIME]
+    flags   --checkpoint DIR --windows DIR --out DIR [--delay TIME]
     report  [--as-of TIME]
     page    [--as-of TIME] [--hours N] [--granularity 1min|5min] [--out DIR]
 
 Topics are those of a message bus (``--servers``, with ``--option key=value`` for the connector) or
-folders of files (``--topics``).  A topic of raw events is read from the same servers.  Tables go by
+folders of files (``--topics``).  ``gold`` and ``late`` take ``--window LABEL=SECONDS`` (repeatable),
+``--baseline SECONDS``, ``--sigma NUMBER`` and ``--by COLUMN`` (repeatable).  A topic of raw events is read from the same servers.  Tables go by
 their usual names; ``--format`` chooses their format.
 """
 
@@ -17,7 +21,7 @@ from __future__ import annotations
 
 import argparse
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,7 +29,7 @@ from tidewatch import fixed
 from tidewatch.functions import lookback_start
 from tidewatch.operators import reports, silver
 from tidewatch.operators.anomaly import anomaly_summary
-from tidewatch.plans.gold import refresh_gold
+from tidewatch.plans.gold import Settings, refresh_gold
 from tidewatch.plans.page import dashboard_page
 from tidewatch.session import configure
 from tidewatch.sources import (
@@ -40,7 +44,15 @@ from tidewatch.sources import (
     stream_table,
     topic_file_records,
 )
-from tidewatch.streaming import bronze_job, ingest_job, silver_job
+from tidewatch.streaming import (
+    anomaly_job,
+    bronze_job,
+    ingest_job,
+    late_edits_job,
+    silver_job,
+    volume_job,
+)
+from tidewatch.streaming.volume import DELAY
 
 
 # What a page shows: all but its two slices of the tables themselves.
@@ -74,8 +86,26 @@ def _arguments(words: Sequence[str] | None) -> argparse.Namespace:
     features.add_argument("--checkpoint", required=True)
     features.add_argument("--files-per-day", type=int, help="shuffle by day before writing")
 
+    features.add_argument("--distinct-within", help="leave out edits that come again so soon")
+
     gold = commands.add_parser("gold", help="silver -> gold tables, last days only")
     gold.add_argument("--warm", action="store_true", help="baseline reads the hour before")
+    late = commands.add_parser("late", help="silver stream -> gold dates of new edits, however old")
+    late.add_argument("--before", type=date.fromisoformat, help="only dates before this one")
+    for command in (gold, late):
+        command.add_argument("--versions", help="keep both tables here, replaced at once")
+        command.add_argument("--window", action="append", metavar="LABEL=SECONDS")
+        command.add_argument("--baseline", type=int, default=fixed.BASELINE_SECONDS)
+        command.add_argument("--sigma", type=float, default=fixed.SIGMA)
+        command.add_argument("--by", action="append", default=[])
+    closed = commands.add_parser("windows", help="silver stream -> windows once they are closed")
+    flags = commands.add_parser("flags", help="stream of closed windows -> baselines and flags")
+    flags.add_argument("--windows", required=True, help="folder that `windows` writes")
+    for command in (closed, flags):
+        command.add_argument("--out", required=True)
+        command.add_argument("--delay", default=DELAY, help="how late an edit or window may be")
+    for command in (late, closed, flags):
+        command.add_argument("--checkpoint", required=True)
     report = commands.add_parser("report", help="figures about silver and gold")
     page = commands.add_parser("page", help="key figures, editors and anomalies of a slice")
     page.add_argument("--hours", type=int, default=fixed.DEFAULT_HOURS)
@@ -110,6 +140,23 @@ def _records(spark: SparkSession, given: argparse.Namespace, topic: str) -> Data
     return kafka_records(spark, topic, kafka_options(given.servers, **given.option))
 
 
+def _settings(given: argparse.Namespace) -> Settings:
+    pairs = (window.rsplit("=", 1) for window in given.window or ())
+    lengths = {label: int(seconds) for label, seconds in pairs} or fixed.GRANULARITIES
+    return Settings(lengths, given.baseline, given.sigma, given.by)
+
+
+def _windows(spark: SparkSession, given: argparse.Namespace) -> None:
+    target = {"path": given.out}
+    if given.command == "windows":
+        stream = stream_table(spark, fixed.SILVER_TABLE)
+        volume_job(stream, given.checkpoint, target, given.delay, fmt=given.format)
+    else:
+        schema = read_table(spark, path=given.windows, fmt=given.format).schema
+        stream = stream_table(spark, path=given.windows, schema=schema, fmt=given.format)
+        anomaly_job(stream, given.checkpoint, target, given.delay, fmt=given.format)
+
+
 def _report(spark: SparkSession, as_of: datetime | None) -> None:
     recent = read_silver(spark, fixed.SILVER_TABLE, start=lookback_start(as_of))
     edits = read_silver(spark, fixed.SILVER_TABLE)
@@ -153,11 +200,34 @@ def main(words: Sequence[str] | None = None) -> None:
     elif given.command == "silver":
         bronze = stream_table(spark, fixed.BRONZE_EDITS_TABLE)
         silver_job(
-            bronze, given.checkpoint, fmt=given.format, files_per_day=given.files_per_day
+            bronze,
+            given.checkpoint,
+            fmt=given.format,
+            files_per_day=given.files_per_day,
+            distinct_within=given.distinct_within,
         )
     elif given.command == "gold":
-        done = refresh_gold(spark, as_of=given.as_of, warm_baseline=given.warm, fmt=given.format)
+        done = refresh_gold(
+            spark,
+            as_of=given.as_of,
+            warm_baseline=given.warm,
+            fmt=given.format,
+            settings=_settings(given),
+            versions=given.versions,
+        )
         print(f"{'replaced' if done.written else 'nothing found'} from {done.start} on")
+    elif given.command == "late":
+        options = {"fmt": given.format, "settings": _settings(given), "versions": given.versions}
+        days = late_edits_job(
+            stream_table(spark, fixed.SILVER_TABLE),
+            lambda: spark.table(fixed.SILVER_TABLE),
+            given.checkpoint,
+            given.before,
+            **options,
+        )
+        print(f"replaced: {', '.join(days) or 'nothing'}")
+    elif given.command in ("windows", "flags"):
+        _windows(spark, given)
     elif given.command == "report":
         _report(spark, given.as_of)
     else:

@@ -15,6 +15,7 @@ from tidewatch.functions import (
     namespace_label,
     percent,
 )
+from tidewatch.session import scan_bytes
 
 RECORD_METADATA = ("offset", "partition", "kafka_timestamp")
 
@@ -24,16 +25,49 @@ def has_identity(bronze: DataFrame) -> DataFrame:
     return bronze.filter(F.col("id").isNotNull() & F.col("timestamp").isNotNull())
 
 
+# A table of labels up to this size goes to all tasks; a larger one is joined by shuffling.
+LOOKUP_BYTES = 64 * 2**20
+
+
+def labelled(edits: DataFrame, labels: DataFrame, at_most: int = LOOKUP_BYTES) -> DataFrame:
+    """``edits`` with ``label__`` from the table ``labels`` (``namespace, label``): null where the
+    namespace is null or not in the table.
+
+    A namespace that is there twice fails the query, one that is null there is left out.  The table is
+    broadcast only if what it is read from is no larger than ``at_most``; otherwise both sides are
+    shuffled, where adaptive execution splits a namespace that many edits have.
+    """
+    number = F.col("namespace").cast("int")
+    said = F.concat(F.lit("two labels for namespace "), F.col("namespace__").cast("string"))
+    single = (
+        labels.where(number.isNotNull())
+        .groupBy(number.alias("namespace__"))
+        .agg(F.first("label").alias("label__"), F.count("*").alias("times__"))
+        .withColumn("label__", F.when(F.col("times__") > 1, F.raise_error(said)).otherwise(F.col("label__")))
+        .select("namespace__", "label__")
+    )
+    if scan_bytes(labels) <= at_most:
+        single = F.broadcast(single)
+    return edits.join(single, edits["namespace"] == F.col("namespace__"), "left").drop("namespace__")
+
+
 def edit_features(
     bronze: DataFrame,
-    labels: Mapping[int, str] = fixed.NAMESPACE_LABELS,
+    labels: Mapping[int, str] | DataFrame = fixed.NAMESPACE_LABELS,
     other_label: str = fixed.OTHER_NAMESPACE,
     revert_pattern: str = fixed.REVERT_PATTERN,
 ) -> DataFrame:
-    """Time, size, namespace and revert features of the edits that pass the gate."""
+    """Time, size, namespace and revert features of the edits that pass the gate.
+
+    ``labels`` is a map, or a table ``namespace, label`` that is looked up (:func:`labelled`).
+    """
     # a cast, as timestamp_seconds raises on values too large for a timestamp
     timed = has_identity(bronze).withColumn("edit_timestamp", F.col("timestamp").cast("timestamp"))
     sized = timed.withColumn("bytes_delta", byte_delta(F.col("length_new"), F.col("length_old")))
+    if isinstance(labels, DataFrame):
+        sized, label = labelled(sized, labels), F.coalesce(F.col("label__"), F.lit(other_label))
+    else:
+        label = namespace_label(F.col("namespace"), labels, other_label)
     return sized.select(
         *[name for name in bronze.columns if name not in RECORD_METADATA],
         "edit_timestamp",
@@ -41,7 +75,7 @@ def edit_features(
         F.dayofweek("edit_timestamp").alias("edit_day_of_week"),
         "bytes_delta",
         byte_magnitude(F.col("bytes_delta")).alias("abs_bytes_delta"),
-        namespace_label(F.col("namespace"), labels, other_label).alias("namespace_label"),
+        label.alias("namespace_label"),
         is_revert(F.col("comment"), revert_pattern).alias("is_revert"),
         F.current_timestamp().alias("silver_processed_at"),
     )

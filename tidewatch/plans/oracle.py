@@ -10,7 +10,9 @@ from tidewatch.plans.registry import (
     EARLIER,
     EARLIER_LOOKBACK,
     FAR_DAYS,
+    LATE_MODULO,
     LOOKBACK,
+    OPEN,
     SLICE,
     VANISHED,
 )
@@ -104,6 +106,10 @@ def _volume(label: str, source: str) -> str:
 
 
 def _flagged(label: str, source: str, hours: int = 1, sigma: float = 2.0) -> str:
+    return _flagged_of(_volume(label, source), hours, sigma)
+
+
+def _flagged_of(volume: str, hours: int = 1, sigma: float = 2.0) -> str:
     return f"""
   SELECT * EXCLUDE (mean, spread),
     round(mean, 6) AS rolling_mean_edits,
@@ -114,7 +120,7 @@ def _flagged(label: str, source: str, hours: int = 1, sigma: float = 2.0) -> str
   FROM (
     SELECT *, avg(total_edits) OVER past AS mean,
       coalesce(stddev_samp(total_edits) OVER past, 0.0) AS spread
-    FROM ({_volume(label, source)})
+    FROM ({volume})
     WINDOW past AS (ORDER BY window_start
       RANGE BETWEEN INTERVAL {hours} HOUR PRECEDING AND CURRENT ROW))"""
 
@@ -189,6 +195,37 @@ anomaly_users AS (
 )"""
 SINCE = f"date >= DATE '{SLICE.date()}' AND window_start >= TIMESTAMP '{SLICE}'"
 
+# edits that come in time for their window, and what a stream has closed at the end
+ON_TIME = f"""on_time AS (
+  SELECT * FROM silver
+  WHERE revision_old % {LATE_MODULO} <> 0 OR edit_timestamp >= TIMESTAMP '{EARLIER_LOOKBACK}'
+), closed AS (
+  SELECT * FROM ({_volume("1min", "on_time")} UNION ALL BY NAME {_volume("5min", "on_time")})
+  WHERE window_end <= (SELECT max(edit_timestamp) FROM silver) - INTERVAL '{OPEN}'
+)"""
+
+
+def _dense(label: str) -> str:
+    """The volume of silver with a row for every window between the first and the last one."""
+    minutes = label.removesuffix("min")
+    step = f"INTERVAL '{minutes} minute'"
+    zeros = ", ".join(
+        f"CASE WHEN v.total_edits IS NULL THEN 0 ELSE v.{name} END AS {name}"
+        for name in (
+            "total_edits", "bot_edits", "human_edits", "unique_users", "total_bytes_changed",
+            "revert_count",
+        )
+    )
+    return f"""
+  SELECT {zeros}, avg_bytes_per_edit, c.window_start,
+    c.window_start + {step} AS window_end, '{label}' AS window_duration, bot_ratio,
+    CAST(c.window_start AS DATE) AS date
+  FROM (
+    SELECT unnest(generate_series(min(window_start), max(window_start), {step})) AS window_start
+    FROM v_{label}
+  ) AS c LEFT JOIN v_{label} AS v USING (window_start)"""
+
+
 ORACLE: dict[str, str] = {
     "ingest_route_counts": f"WITH {ROUTED} SELECT topic, count(*) AS messages FROM routed "
     "GROUP BY topic",
@@ -312,4 +349,37 @@ recent AS (SELECT * FROM silver WHERE edit_timestamp >= TIMESTAMP '{LOOKBACK}'),
 {_gold("recent", "second_run")}
 SELECT * FROM first_run WHERE date < DATE '{LOOKBACK}'
 UNION ALL BY NAME SELECT * FROM second_run""",
+    # late edits of any age reach gold
+    "refresh_late_edits": f"{GOLD} SELECT * FROM gold",
+    "stream_edit_volume": f"WITH {SILVER}, {ON_TIME} SELECT * EXCLUDE (unique_users) FROM closed",
+    "stream_late_counts": f"""WITH {SILVER}, {ON_TIME}, every AS (
+  {_volume("1min", "silver")} UNION ALL BY NAME {_volume("5min", "silver")}
+), ends AS (SELECT window_duration, max(window_end) AS last FROM closed GROUP BY window_duration)
+SELECT window_duration, window_start, coalesce(closed.total_edits, 0) AS counted_edits,
+  every.total_edits - coalesce(closed.total_edits, 0) AS late_edits
+FROM every JOIN ends USING (window_duration)
+LEFT JOIN closed USING (window_duration, window_start)
+WHERE every.window_end <= last AND every.total_edits > coalesce(closed.total_edits, 0)""",
+    "stream_anomalies": f"""{GOLD} SELECT window_duration, window_start, total_edits,
+  rolling_mean_edits, rolling_stddev_edits, anomaly_threshold, is_anomaly, z_score FROM gold
+  WHERE window_start <= (SELECT max(window_start) FROM gold) - INTERVAL '{OPEN}'""",
+    "stream_silver_distinct": SILVER_ROWS,
+    "sketched_users": f"""WITH {SILVER} SELECT window_duration,
+  CAST(edit_timestamp AS DATE) AS date, count(DISTINCT "user") AS exact_users, true AS within_3_pct
+  FROM silver, (VALUES ('1min'), ('5min')) AS labels(window_duration) GROUP BY ALL""",
+    "processing_latency": f"""WITH {SILVER}, timed AS (
+  SELECT CAST(edit_timestamp AS DATE) AS date, 1000 * CASE {" ".join(
+      f"WHEN revision_old * 7919 % 1000 < {below} THEN {seconds}" for below, seconds in fixture.LAGS
+  )} END AS ms FROM silver)
+SELECT date, count(*) AS timed_edits, max(ms)::BIGINT AS max_latency_ms,
+  quantile_disc(ms, 0.5)::BIGINT AS p50_ms, quantile_disc(ms, 0.95)::BIGINT AS p95_ms,
+  quantile_disc(ms, 0.99)::BIGINT AS p99_ms FROM timed GROUP BY date""",
+    "gold_edit_volume_dense": f"""WITH {SILVER}, v_1min AS ({_volume("1min", "silver")}),
+v_5min AS ({_volume("5min", "silver")}),
+dense AS ({_flagged_of(_dense("1min"))} UNION ALL BY NAME {_flagged_of(_dense("5min"))})
+SELECT * FROM dense""",
+    "silver_edits_lookup": f"""WITH {SILVER} SELECT * REPLACE (CASE namespace {" ".join(
+        f"WHEN {number} THEN '{label}'" for number, label in fixture.OWN_LABELS if label
+    )} ELSE 'None' END AS namespace_label) FROM silver""",
 }
+ORACLE["refresh_versions"] = ORACLE["refresh_volume_partitions"]

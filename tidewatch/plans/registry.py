@@ -10,14 +10,14 @@ from collections.abc import Callable, Sequence
 from datetime import datetime, timedelta
 from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
 from tidewatch import fixed
 from tidewatch.functions import lit_moment, lookback_start, slice_start
-from tidewatch.operators import bronze, dashboard, ingest, reports, silver, windows
-from tidewatch.operators.anomaly import anomaly_summary
+from tidewatch.operators import bronze, dashboard, ingest, reports, silver, sketches, windows
+from tidewatch.operators.anomaly import anomaly_summary, flag_anomalies
 from tidewatch.plans import fixture
 from tidewatch.plans.gold import (
     Settings,
@@ -36,8 +36,17 @@ from tidewatch.sources import (
     stream_table,
     topic_file_records,
 )
-from tidewatch.sources.tables import edits_since
-from tidewatch.streaming import bronze_job, ingest_job, silver_job
+from tidewatch.sources.tables import SILVER_PARTITION, edits_since
+from tidewatch.streaming import (
+    anomaly_job,
+    bronze_job,
+    ingest_job,
+    late_counts,
+    late_edits_job,
+    silver_job,
+    volume_job,
+)
+from tidewatch.versions import read_version
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -279,6 +288,148 @@ def refresh_volume_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _refreshed(spark, sf_dir, "volume_table")
 
 
+# Windows of a stream stay open for as long; one in so many edits comes days too late.
+OPEN = "10 minutes"
+LATE_MODULO = 11
+
+
+def _is_late() -> Column:
+    old = F.col("edit_timestamp") < lit_moment(EARLIER_LOOKBACK)
+    return (F.col("revision_old") % LATE_MODULO == 0) & old
+
+
+def _store_silver(rows: DataFrame, folder: str) -> None:
+    """Add rows to a silver table in a folder, by day as the silver job does."""
+    stored = rows.withColumn(SILVER_PARTITION, F.to_date("edit_timestamp"))
+    stored.repartition(SILVER_PARTITION).write.partitionBy(SILVER_PARTITION).mode("append").parquet(folder)
+
+
+def _silver_stream(spark: SparkSession, folder: str) -> DataFrame:
+    return stream_table(spark, path=folder, schema=spark.read.parquet(folder).schema)
+
+
+def refresh_late_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold of a whole history, and then late edits far beyond the lookback, whose dates alone are
+    computed again; the volume table."""
+    folder = scratch_folder(spark, "late")
+    edits = _silver(spark, sf_dir)
+    names = {"volume_table": "volume", "user_table": "users", "versions": f"{folder}/gold"}
+
+    def job() -> None:
+        late_edits_job(
+            _silver_stream(spark, f"{folder}/silver"),
+            lambda: spark.read.parquet(f"{folder}/silver"),
+            f"{folder}/checkpoint",
+            **names,
+        )
+
+    _store_silver(edits.where(~_is_late()), f"{folder}/silver")
+    job()
+    _store_silver(edits.where(_is_late()), f"{folder}/silver")
+    job()
+    return comparable(read_version(spark, f"{folder}/gold", "volume"))
+
+
+def refresh_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``refresh_volume_partitions``, with both tables kept in versions; the latest one."""
+    folder = scratch_folder(spark, "versions")
+    edits = _silver(spark, sf_dir)
+    seen = edits.filter(F.col("edit_timestamp") < lit_moment(EARLIER))
+    names = {"volume_table": "volume", "user_table": "users", "versions": folder}
+    for silver_rows, as_of in ((seen, EARLIER), (edits, AS_OF)):
+        refresh_gold(spark, silver=silver_rows, as_of=as_of, **names)
+    return comparable(read_version(spark, folder, "volume"))
+
+
+def _closed_windows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
+    """All edits as silver, and the folder of the windows that a stream closed: late edits reach it
+    after edits of ten days later have."""
+    folder = scratch_folder(spark, "closed")
+    edits = _silver(spark, sf_dir)
+    early = F.col("edit_timestamp") < lit_moment(EARLIER)
+    for rows in (edits.where(early & ~_is_late()), edits.where(~early | _is_late())):
+        _store_silver(rows, f"{folder}/silver")
+        stream = _silver_stream(spark, f"{folder}/silver")
+        volume_job(stream, f"{folder}/checkpoint", {"path": f"{folder}/volume"}, OPEN)
+    return edits, f"{folder}/volume"
+
+
+def stream_edit_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    closed = spark.read.parquet(_closed_windows(spark, sf_dir)[1])
+    return comparable(closed.drop("users_sketch", "approx_users"))
+
+
+def stream_late_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    edits, closed = _closed_windows(spark, sf_dir)
+    return comparable(late_counts(edits, spark.read.parquet(closed)))
+
+
+def stream_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows in files -> stream of baselines and flags, in two runs."""
+    folder = scratch_folder(spark, "flags")
+    volume = windows.edit_volume(_silver(spark, sf_dir))
+    columns = ("window_duration", "window_start", "total_edits")
+    early = F.col("window_start") < lit_moment(EARLIER)
+    for rows in (volume.where(early), volume.where(~early)):
+        rows.select(*columns).write.mode("append").parquet(f"{folder}/volume")
+        stream = _silver_stream(spark, f"{folder}/volume")
+        anomaly_job(stream, f"{folder}/checkpoint", {"path": f"{folder}/flags"}, OPEN)
+    return comparable(spark.read.parquet(f"{folder}/flags"))
+
+
+def stream_silver_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``stream_bronze_silver``; a third of the messages comes again after a reconnect."""
+    folder = scratch_folder(spark, "distinct")
+    edits = fixture.edits(fixture.load_events(spark, sf_dir))
+    value = F.to_json(F.struct(*EDIT_MESSAGE.names), {"ignoreNullFields": "false"})
+    sent = edits.withColumn("key", F.col("id").cast("string")).withColumn("value", value)
+    sent = sent.withColumn("topic", F.lit(fixed.EDIT_TOPIC))
+    for rows in (sent, sent.where(F.col("revision_old") % 3 == 0)):
+        rows.select("topic", "key", "value").write.mode("append").partitionBy("topic").parquet(
+            f"{folder}/topics"
+        )
+        records = [
+            topic_file_records(spark, f"{folder}/topics", topic, stream=True)
+            for topic in (fixed.EDIT_TOPIC, fixed.PAGE_TOPIC)
+        ]
+        targets = {"path": f"{folder}/edits"}, {"path": f"{folder}/pages"}
+        bronze_job(*records, f"{folder}/checkpoints", *targets)
+        appended = stream_table(spark, path=f"{folder}/edits", schema=BRONZE_EDITS)
+        silver_job(
+            appended,
+            f"{folder}/checkpoints/silver",
+            {"path": f"{folder}/silver"},
+            distinct_within="2 hours",
+        )
+    return comparable(read_silver(spark, path=f"{folder}/silver"))
+
+
+def sketched_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct users of each day from the stored sketches of its windows, against the exact number."""
+    edits = _silver(spark, sf_dir)
+    merged = sketches.merged_users(sketches.user_sketches(edits), "window_duration", "date")
+    exact = edits.groupBy(F.to_date("edit_timestamp").alias("date")).agg(
+        F.count_distinct("user").alias("exact_users")
+    )
+    close = F.abs(F.col("approx_users") - F.col("exact_users")) <= 0.03 * F.col("exact_users")
+    return merged.join(exact, "date").select(
+        "window_duration", "date", "exact_users", close.alias("within_3_pct")
+    )
+
+
+def processing_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Percentiles of the processing time of each day from the sketches of its windows."""
+    edits = fixture.with_stamps(_silver(spark, sf_dir))
+    stored = sketches.latency_sketches(edits, _window_length("5min"))
+    return sketches.merged_latency(stored, "date")
+
+
+def gold_edit_volume_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The volume table with a row for every window, so that quiet ones count in the baseline."""
+    volume = windows.edit_volume(_silver(spark, sf_dir))
+    return comparable(flag_anomalies(windows.fill_quiet(volume)))
+
+
 QUERIES: dict[str, Query] = {
     "ingest_route_counts": ingest_route_counts,
     "ingest_edit_messages": lambda s, d: _messages(s, d, fixed.EDIT_TOPIC),
@@ -345,6 +496,20 @@ QUERIES: dict[str, Query] = {
     "refresh_nothing_new": refresh_nothing_new,
     "refresh_vanished_dates": refresh_vanished_dates,
     "refresh_volume_partitions": refresh_volume_partitions,
+    "refresh_late_edits": refresh_late_edits,
+    "refresh_versions": refresh_versions,
+    "stream_edit_volume": stream_edit_volume,
+    "stream_late_counts": stream_late_counts,
+    "stream_anomalies": stream_anomalies,
+    "stream_silver_distinct": stream_silver_distinct,
+    "sketched_users": sketched_users,
+    "processing_latency": processing_latency,
+    "gold_edit_volume_dense": gold_edit_volume_dense,
+    "silver_edits_lookup": lambda s, d: comparable(
+        silver.edit_features(
+            fixture.edits(fixture.load_events(s, d)), labels=fixture.own_labels(s), other_label="None"
+        )
+    ),
 }
 
 

@@ -74,6 +74,22 @@ def sized_shuffles(
         spark.conf.set(_PARTITIONS, before)
 
 
+_STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+_ON_DISK = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+@contextmanager
+def state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """Streams started in this block keep their state on the executors' disks instead of their heaps;
+    a stream that was started before goes on with what its checkpoint says."""
+    before = spark.conf.get(_STATE_STORE)
+    spark.conf.set(_STATE_STORE, _ON_DISK)
+    try:
+        yield
+    finally:
+        spark.conf.set(_STATE_STORE, before)
+
+
 @cache
 def _local_folder() -> tempfile.TemporaryDirectory:
     """Removed when this process ends."""

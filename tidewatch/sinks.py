@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from contextlib import contextmanager
 from datetime import date
 from threading import Lock
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -31,8 +31,14 @@ def require_schema(frame: DataFrame, target: StructType) -> None:
         raise ValueError(f"schema differs from that of the target in: {', '.join(differing)}")
 
 
-# Error conditions of a folder without a table in it.
-_NOTHING_WRITTEN = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "DELTA_TABLE_NOT_FOUND"}
+# Error conditions of a folder without a table in it; the last one is that of a stream's folder to
+# which no batch has brought a row yet.
+_NOTHING_WRITTEN = {
+    "PATH_NOT_FOUND",
+    "UNABLE_TO_INFER_SCHEMA",
+    "DELTA_TABLE_NOT_FOUND",
+    "_LEGACY_ERROR_TEMP_1134",
+}
 
 
 def _existing_schema(spark, table, path, fmt) -> StructType | None:
@@ -104,7 +110,7 @@ def await_all(queries: Iterable[StreamingQuery]) -> None:
                 query.stop()
 
 
-def _laid_out(frame: DataFrame) -> DataFrame:
+def laid_out(frame: DataFrame) -> DataFrame:
     """Rows as they are stored: few files per date, a hot date split, and sorted within each file,
     so that a slice of some hours skips the row groups of the rest of the day."""
     return frame.hint("rebalance", "date").sortWithinPartitions(
@@ -115,7 +121,7 @@ def _laid_out(frame: DataFrame) -> DataFrame:
 def create_table(frame: DataFrame, table: str, fmt: str = "parquet", **options: str) -> None:
     """Write the whole table, partitioned by date, with whatever schema ``frame`` has."""
     (
-        _laid_out(frame)
+        laid_out(frame)
         .write.format(fmt)
         .partitionBy("date")
         .mode("overwrite")
@@ -143,44 +149,39 @@ def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(key, before)
 
 
-def _dates_from(spark: SparkSession, table: str, start: date) -> dict[str, str]:
-    """Existing partitions from ``start`` on, one short entry per day from the catalog: the value of
-    the partition, and the date as Spark writes it.  Dates are compared by Spark, as those beyond
-    the year 9999 are no dates in Python."""
+def _dates_where(spark: SparkSession, table: str, wanted: Column) -> dict[str, str]:
+    """Existing partitions whose ``day`` is ``wanted``, one short entry per day from the catalog: the
+    value of the partition, and the date as Spark writes it.  Dates are compared by Spark, as those
+    beyond the year 9999 are no dates in Python."""
     value = F.substring_index("partition", "=", -1)
-    day = F.expr("try_cast(value AS date)")
     found = (
         spark.sql(f"SHOW PARTITIONS {table}")
         .select(value.alias("value"))
-        .where(day >= F.lit(str(start)).cast("date"))
-        .select("value", day.cast("string").alias("day"))
+        .withColumn("day", F.expr("try_cast(value AS date)"))
+        .where(wanted)
+        .select("value", F.col("day").cast("string").alias("day"))
     )
     return {row.value: row.day for row in found.collect()}
 
 
-def replace_dates(frame: DataFrame, table: str, start: date, fmt: str = "parquet") -> None:
-    """Replace the partitions ``date >= start`` of ``table`` by ``frame``; older ones stay.
+def _replace(
+    frame: DataFrame, table: str, fits: Callable[[Column], Column], refused: str
+) -> None:
+    """Replace the partitions whose date ``fits`` by ``frame``; a row of another date fails the write.
 
-    Delta does it in one transaction.  For plain files it is a dynamic partition overwrite,
-    followed by removing the partitions for which ``frame`` has no rows; each partition is replaced
-    as a whole, but not all of them at once.  A row before ``start`` fails the write.
+    A dynamic partition overwrite, followed by removing the partitions for which ``frame`` has no
+    rows; each partition is replaced as a whole, but not all of them at once.
     """
     spark = frame.sparkSession
-    if fmt == "delta":
-        writer = _laid_out(frame).write.format(fmt).partitionBy("date").mode("overwrite")
-        writer.option("replaceWhere", f"date >= '{start}'").saveAsTable(table)
-        return
-
     target = spark.table(table)
     require_schema(frame, target.schema)
-    existing = _dates_from(spark, table, start)
-    first = F.lit(str(start)).cast("date")
-    checked = F.when(F.col("date") >= first, F.col("date")).otherwise(
-        F.raise_error(F.concat(F.lit(f"row before {start}: "), F.col("date").cast("string")))
+    existing = _dates_where(spark, table, fits(F.col("day")))
+    checked = F.when(fits(F.col("date")), F.col("date")).otherwise(
+        F.raise_error(F.concat(F.lit(f"{refused}: "), F.col("date").cast("string")))
     )
     written = Observation()
     rows = (
-        _laid_out(frame.withColumn("date", checked))
+        laid_out(frame.withColumn("date", checked))
         # as text: one short entry per written day, of any year
         .observe(written, F.collect_set(F.col("date").cast("string")).alias("days"))
         .select(*target.columns)
@@ -191,6 +192,37 @@ def replace_dates(frame: DataFrame, table: str, start: date, fmt: str = "parquet
     _remove_dates(spark, table, [value for value, day in existing.items() if day not in kept])
 
 
+def _replace_where(frame: DataFrame, table: str, condition: str) -> None:
+    """What the lines above do, as one transaction of Delta."""
+    writer = laid_out(frame).write.format("delta").partitionBy("date").mode("overwrite")
+    writer.option("replaceWhere", condition).saveAsTable(table)
+
+
+def replace_dates(frame: DataFrame, table: str, start: date, fmt: str = "parquet") -> None:
+    """Replace the partitions ``date >= start`` of ``table`` by ``frame``; older ones stay.
+
+    Delta does it in one transaction; for plain files see :func:`_replace`.  A row before ``start``
+    fails the write.
+    """
+    if fmt == "delta":
+        _replace_where(frame, table, f"date >= '{start}'")
+        return
+    first = F.lit(str(start)).cast("date")
+    _replace(frame, table, lambda day: day >= first, f"row before {start}")
+
+
+def replace_listed_dates(
+    frame: DataFrame, table: str, days: Sequence[str], fmt: str = "parquet"
+) -> None:
+    """Replace the partitions of these dates (as Spark writes them) by ``frame``; all others keep
+    their files.  A row of another date fails the write."""
+    listed = [F.lit(day).cast("date") for day in days]
+    if fmt == "delta":
+        _replace_where(frame, table, "date IN (%s)" % ", ".join(f"'{day}'" for day in days))
+        return
+    _replace(frame, table, lambda day: day.isin(*listed), "row of a date that is not replaced")
+
+
 def _remove_dates(spark: SparkSession, table: str, values: list[str]) -> None:
     """Remove whole partitions with their rows, whether the table is managed or external.
 
