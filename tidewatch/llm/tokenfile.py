@@ -180,8 +180,10 @@ def write_token_file(
     ).write.parquet(f"{path}/dictionary")
     # Texts are dealt by id before they are encoded: dealing samples its input, and would otherwise
     # encode everything twice.
-    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
-    dealt = texts(docs).repartitionByRange(*order).sortWithinPartitions(*order)
+    # The row number spreads rows that are equal in both; their order makes no difference.
+    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), F.col("row__")]
+    numbered = texts(docs).withColumn("row__", F.monotonically_increasing_id())
+    dealt = numbered.repartitionByRange(*order).sortWithinPartitions(*order).drop("row__")
     blocks = dealt.mapInArrow(_blocks(tokenizer, end_id, kind, dictionary, block_bytes), _BLOCK_DDL)
     blocks.write.option("compression", "uncompressed").parquet(f"{path}/blocks")
 
@@ -242,7 +244,11 @@ def read_token_file(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_documents(spark: SparkSession, path: str, ids: list[int]) -> DataFrame:
-    """Some documents by id: only blocks that may hold them are read, only their frames unpacked."""
+    """Some documents by id: only blocks that may hold them are read, only their frames unpacked.
+
+    Ids that are not there give no row, an id written several times gives each, and without ``ids``
+    the result is empty. Documents without id cannot be asked for. An empty text has its end id.
+    """
     blocks, dictionary, kind = _open(spark, path)
     near = F.lit(False)
     for one in ids:
