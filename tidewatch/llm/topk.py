@@ -186,6 +186,31 @@ def _search_exactly(queries, vectors, ids, own, k):
             yield i, min(max(-score, LEAST_LONG), MOST_LONG), j
 
 
+_ASKED_DDL = f"{_CHUNK_DDL}, places array<int>, blocks long, groups long"
+
+
+def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Chunks reduced to the vectors in their ``places``."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            part = batch.slice(i, 1)
+            row = part.to_pylist()[0]
+            places, whole = row["places"], np.frombuffer(row["vectors"], "<f8")
+            matrix = whole.reshape(row["dim"], row["size"])[:, places]
+            made = {
+                "size": [len(places)],
+                "ids": [[row["ids"][place] for place in places]],
+                "vectors": [matrix.tobytes()],
+            }
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(made[f.name], f.type) if f.name in made else part.column(f.name)
+                    for f in batch.schema
+                ],
+                batch.schema.names,
+            )
+
+
 _TOP_DDL = "part int, nth int, place int, query_id long, vec_id long, score long"
 
 
@@ -228,11 +253,14 @@ def top_k(
     spread = F.xxhash64("part", "nth")
     dealt = chunks.join(sizes, "dim").withColumn("group", F.pmod(spread, "groups"))
     candidates = dealt.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    # Queries keep the place of their row, so that it is told apart from others of its id.
+    # Queries keep the place of their row, so that it is told apart from others of its id. They are cut
+    # out of their chunks once; only they go to every group.
     asked = (
         wanted.groupBy("dim", "part", "nth")
         .agg(F.sort_array(F.collect_list("place")).alias("places"))
         .join(dealt, ["dim", "part", "nth"])
+        .select(*[field.split()[0] for field in _ASKED_DDL.split(", ")])
+        .mapInArrow(_cut_out, _ASKED_DDL)
         .withColumn("block", F.pmod(F.xxhash64("nth", "part"), "blocks"))
         .withColumn("group", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
     )
@@ -282,9 +310,9 @@ def _search(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatc
                 key, queries, places, names, best, exact = now, [], [], [], None, []
             matrix = np.frombuffer(row["vectors"], "<f8").reshape(row["dim"], row["size"])
             if row["kind"] == 0:
-                queries.append(matrix[:, row["places"]])
+                queries.append(matrix)
                 places += [(row["part"], row["nth"], place) for place in row["places"]]
-                names += [row["ids"][place] for place in row["places"]]
+                names += row["ids"]
                 continue
             if not queries:
                 continue
