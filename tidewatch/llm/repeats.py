@@ -234,24 +234,34 @@ def _children(common: list[int], first: int, last: int, depth: int) -> list[int]
     return out
 
 
+# Keys that a task remembers.
+SEEN_KEYS = 100_000
 _CONTEXT_DDL = (
     "bucket long, doc__ long, tag__ long, at int, single boolean, left binary, right binary"
 )
 
 
 def _contexts(docs: DataFrame, wanted: DataFrame, min_bytes: int) -> DataFrame:
-    """Surroundings of the ``wanted`` anchors (``bucket``, key, ``at, single``), from the texts."""
+    """Surroundings of the ``wanted`` anchors (``bucket``, key, ``at, single``), from the texts.
+
+    Of rows equal in id and text, which share a key and meet in a task, one is enough.
+    """
     places = wanted.groupBy(*KEY).agg(
         F.collect_list(F.struct("bucket", "at", "single")).alias("places")
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpack = zstandard.ZstdDecompressor()
+        unpack, seen = zstandard.ZstdDecompressor(), set()
         for batch in batches:
             for i in range(batch.num_rows):
+                doc, tag = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
+                if (doc, tag) in seen:
+                    continue
+                if len(seen) >= SEEN_KEYS:
+                    seen.clear()
+                seen.add((doc, tag))
                 content = unpack.decompress(batch.column(2)[i].as_py())
                 rows = []
-                doc, tag = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
                 for place in batch.column(3)[i].as_py():
                     at = place["at"]
                     left = content[max(0, at - min_bytes + ANCHOR) : at][::-1]
