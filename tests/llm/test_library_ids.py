@@ -96,3 +96,37 @@ def test_kept_column_of_the_query(spark, folder):
     found = op8_minhash(spark, folder).collect()
     assert {(r.doc_id, r.component_id, r.kept) for r in found} == {(6, 6, True), (9, 6, False), (None, 6, None)}
     assert sum(r.doc_id == 6 for r in found) == 2
+
+
+def test_equal_rows_are_spread_in_a_token_file(spark, folder):
+    from tidewatch.llm.tokenfile import read_token_file, write_token_file
+
+    docs = spark.range(3000, numPartitions=8).selectExpr("7L AS doc_id", "'the same words again' AS text")
+    path = public_tokenizers.path("word_bpe_49k.json")
+    write_token_file(docs, f"{folder}/t", tokenizer=path, end_id=2)
+    blocks = spark.read.parquet(f"{folder}/t/blocks")
+    files = blocks.selectExpr("_metadata.file_path AS file", "size(ids) AS n").groupBy("file").sum("n").collect()
+    assert len(files) > 4 and max(row[1] for row in files) < 1500
+    starts = sorted(row.start for row in read_token_file(spark, f"{folder}/t").collect())
+    assert len(starts) == 3000 and len({b - a for a, b in zip(starts, starts[1:])}) == 1
+
+
+def test_equal_rows_are_one_context(spark):
+    """Rows repeated in the table do not fill a bucket, and are removed all the same."""
+    from tests.llm import brute
+    from tidewatch.llm import repeats
+
+    rng = random.Random(12)
+    words = [f"w{n}" for n in range(500)]
+    common = " ".join(rng.choice(words) for _ in range(80))
+    texts = [" ".join(rng.choice(words) for _ in range(60)) + common + f" end {n}" for n in range(5)]
+    rows = [(n, t) for n, t in enumerate(texts)] + [(0, texts[0])] * 3000
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    with repeats.intermediate(spark):
+        _, _, ends = repeats._anchored(docs, 200, repeats.BUCKET, repeats.SPAN_BYTES)
+        contexts = repeats._contexts(docs, ends.drop("large"), 200)
+        assert 0 < contexts.count() <= 8 * ends.count()
+        assert contexts.count() < 1000
+    found = {tuple(r) for r in repeats.remove_repeats(docs).select("doc_id", "n_bytes", "n_removed").collect()}
+    right = brute.removed([t.encode() for t in [*texts, texts[0]]], 200)
+    assert found == {(n, *right[n][:2]) for n in range(5)}

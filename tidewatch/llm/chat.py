@@ -134,7 +134,10 @@ def render(conversations: DataFrame) -> DataFrame:
     """``conv_id, n_turns, chat``: the turns in order, each between the two markers.
 
     A rendered conversation is one text, so this gathers the turns of a conversation; call it on what
-    :func:`collapse_snapshots` keeps.
+    :func:`collapse_snapshots` keeps. Null roles and texts are empty ones, a turn without number comes
+    first, turns that tie are ordered by role and text, and repeated ones are all there. Turns without
+    ``conv_id`` are one conversation. Other columns are not looked at. An empty table gives an empty
+    result.
     """
     turns = _turns(conversations)
     ordered = F.array_sort(F.collect_list(F.struct("turn", "role", "text")))
@@ -152,7 +155,11 @@ def render(conversations: DataFrame) -> DataFrame:
 
 
 def format_chats(conversations: DataFrame, *, segment_turns: int = SEGMENT_TURNS) -> DataFrame:
-    """Maximal conversations, rendered: ``conv_id, n_turns, n_copies, chat``."""
+    """Maximal conversations, rendered: ``conv_id, n_turns, n_copies, chat``.
+
+    Nulls, ties, repeated turns and other columns are as in :func:`collapse_snapshots` and
+    :func:`render`; an empty table gives an empty result.
+    """
     kept = collapse_snapshots(conversations, segment_turns=segment_turns).where("kept")
     kept = kept.select(F.col("conv_id").alias("conv_k"), "n_copies")
     wanted = _turns(conversations).join(

@@ -117,7 +117,13 @@ def _grouped(docs: DataFrame, prefix_chars: int, hash_all: bool) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """``docs`` with one row of each group of equal texts, all columns as they were."""
+    """``docs`` with one row of each group of equal texts, all columns as they were.
+
+    A null text is an empty one, and empty and blank texts are equal to each other. Of equal texts the
+    one with the most code points in the original stays, then that of the smallest id (nulls last), of
+    rows equal in both an arbitrary one. Texts are compared whole, however long. Extra columns may have
+    any name. An empty table gives an empty result.
+    """
     groups = stored(_grouped(docs, PREFIX_CHARS, False).select(*KEY, "kept"), "exact-groups")
     return keep_rows(docs, groups)
 

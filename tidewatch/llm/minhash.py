@@ -430,7 +430,12 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80) -> Da
 
 
 def drop_near_copies(docs: DataFrame, *, words: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one document of each group of near duplicates, all columns as they were."""
+    """``docs`` with one document of each group of near duplicates, all columns as they were.
+
+    Which one, and what null, empty and repeated texts are, is as in :func:`near_duplicates`; of rows
+    equal in id and text one stays where others of their group go. Texts are compared whole, however
+    long. Extra columns may have any name. An empty table gives an empty result.
+    """
     found = near_duplicates(docs, words=words, percent=percent).select(*KEY, "kept")
     return keep_rows(docs, stored(found, "near-copies"))
 

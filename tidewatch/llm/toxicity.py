@@ -422,7 +422,12 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, *, least: float = 0.5) -> DataFrame:
-    """``docs`` without rows that score ``least`` or more, all columns as they were."""
+    """``docs`` without rows that score ``least`` or more, all columns as they were.
+
+    A null text is an empty one; empty texts score as texts without evidence do. Rows equal in id and
+    text stay or go together. Texts are scored whole, however long. Extra columns may have any name. An
+    empty table gives an empty result; without labels of both kinds all rows score alike.
+    """
     scored = score_documents(docs, fit(docs, labels))
     kept = scored.select(*KEY, (F.col("score") < least).alias("kept"))
     # Toxic rows only go by key; rows repeated in the table are none of this operator's business.
