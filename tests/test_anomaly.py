@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 import random
+from datetime import UTC
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import Window
@@ -111,3 +113,21 @@ def test_summary(spark):
     gold = flag_anomalies(volume_rows(spark, minutes(1, 1, 1, 1, 1, 100, 1, 1)))
     assert tuple(anomaly_summary(gold).first()) == (8, 1, 12.5)
     assert anomaly_summary(gold.filter("false")).first().anomalous_pct is None
+
+
+def test_exact_flags_leave_windows_on_the_threshold_alone(spark):
+    """With few different counts many windows lie on the threshold or just off it."""
+    rng = random.Random(8)
+    for sigma in (2.0, 1.5, 0.1):
+        counts = {60 * n: rng.choice([0, 0, 0, 1, 2, 3]) for n in range(400)}
+        found = flag_anomalies(volume_rows(spark, counts), sigma=sigma, exact=True)
+        ratio = Fraction(str(sigma))
+        for row in found.collect():
+            epoch = int(row.window_start.replace(tzinfo=UTC).timestamp())
+            frame = [n for other, n in counts.items() if epoch - 3600 <= other <= epoch]
+            n, s, q = len(frame), sum(frame), sum(x * x for x in frame)
+            gap = n * row.total_edits - s
+            assert row.is_anomaly == (
+                n > 1 and gap > 0 and Fraction(gap) ** 2 * (n - 1) > ratio**2 * n * (n * q - s * s)
+            )
+    assert found.columns == flag_anomalies(volume_rows(spark, {0: 1})).columns

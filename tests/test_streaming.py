@@ -256,3 +256,17 @@ def test_sql_text_over_frames(spark):
     frame = spark.range(5)
     rows = run_sql(spark, "SELECT id FROM {t} WHERE id > :low", {"low": 2}, t=frame)
     assert [row.id for row in rows.collect()] == [3, 4]
+
+
+def test_bronze_says_which_file_a_record_is_from(spark, folder):
+    add_file(folder, "a.json", raw_line(1), raw_line(2, "log"))
+    raw = raw_text(spark, f"{folder}/raw", stream=True)
+    ingest_job(raw, f"{folder}/ck/ingest", fmt="parquet", path=f"{folder}/topics")
+    records = [
+        topic_file_records(spark, f"{folder}/topics", topic, stream=True, source_file=True)
+        for topic in ("wiki_edits", "wiki_page_events")
+    ]
+    bronze_job(*records, f"{folder}/ck/bronze", {"path": f"{folder}/edits"}, {"path": f"{folder}/pages"})
+    edits = read_table(spark, path=f"{folder}/edits")
+    assert len(edits.columns) == 19 and "topic=wiki_edits" in edits.first().source_file
+    assert len(silver.edit_features(edits).columns) == 23

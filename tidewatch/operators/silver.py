@@ -15,9 +15,10 @@ from tidewatch.functions import (
     namespace_label,
     percent,
 )
+from tidewatch.schemas import SOURCE_FILE
 from tidewatch.session import scan_bytes
 
-RECORD_METADATA = ("offset", "partition", "kafka_timestamp")
+RECORD_METADATA = ("offset", "partition", "kafka_timestamp", SOURCE_FILE)
 
 
 def has_identity(bronze: DataFrame) -> DataFrame:

@@ -109,17 +109,23 @@ def _flagged(label: str, source: str, hours: int = 1, sigma: float = 2.0) -> str
     return _flagged_of(_volume(label, source), hours, sigma)
 
 
-def _flagged_of(volume: str, hours: int = 1, sigma: float = 2.0) -> str:
+def _flagged_of(volume: str, hours: int = 1, sigma: float = 2.0, exact: bool = False) -> str:
+    above = f"total_edits > mean + {sigma} * spread"
+    if exact:
+        gap = "(n * total_edits - s)"
+        above = f"{gap} > 0 AND {gap} * {gap} * (n - 1) > {int(sigma**2)} * n * (n * q - s * s)"
     return f"""
-  SELECT * EXCLUDE (mean, spread),
+  SELECT * EXCLUDE (mean, spread, n, s, q),
     round(mean, 6) AS rolling_mean_edits,
     round(spread, 6) AS rolling_stddev_edits,
     round(mean + {sigma} * spread, 6) AS anomaly_threshold,
-    total_edits > mean + {sigma} * spread AS is_anomaly,
+    {above} AS is_anomaly,
     round(CASE WHEN spread > 0 THEN (total_edits - mean) / spread ELSE 0.0 END, 6) AS z_score
   FROM (
     SELECT *, avg(total_edits) OVER past AS mean,
-      coalesce(stddev_samp(total_edits) OVER past, 0.0) AS spread
+      coalesce(stddev_samp(total_edits) OVER past, 0.0) AS spread,
+      count(*) OVER past AS n, sum(total_edits) OVER past AS s,
+      sum(total_edits * total_edits) OVER past AS q
     FROM ({volume})
     WINDOW past AS (ORDER BY window_start
       RANGE BETWEEN INTERVAL {hours} HOUR PRECEDING AND CURRENT ROW))"""
@@ -376,7 +382,7 @@ SELECT date, count(*) AS timed_edits, max(ms)::BIGINT AS max_latency_ms,
   quantile_disc(ms, 0.99)::BIGINT AS p99_ms FROM timed GROUP BY date""",
     "gold_edit_volume_dense": f"""WITH {SILVER}, v_1min AS ({_volume("1min", "silver")}),
 v_5min AS ({_volume("5min", "silver")}),
-dense AS ({_flagged_of(_dense("1min"))} UNION ALL BY NAME {_flagged_of(_dense("5min"))})
+dense AS ({_flagged_of(_dense("1min"), exact=True)} UNION ALL BY NAME {_flagged_of(_dense("5min"), exact=True)})
 SELECT * FROM dense""",
     "silver_edits_lookup": f"""WITH {SILVER} SELECT * REPLACE (CASE namespace {" ".join(
         f"WHEN {number} THEN '{label}'" for number, label in fixture.OWN_LABELS if label

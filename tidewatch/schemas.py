@@ -93,3 +93,6 @@ BRONZE_PAGE_EVENTS = StructType(PAGE_MESSAGE.fields + _ARRIVAL.fields)
 
 # What the topic sink takes.
 TOPIC_MESSAGE = _struct(topic=TEXT, key=TEXT, value=TEXT)
+
+# Which file a record is from, where it is from a file and that is asked for.
+SOURCE_FILE = "source_file"

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.schemas import RECORD, TOPIC_MESSAGE
+from tidewatch.schemas import RECORD, SOURCE_FILE, TOPIC_MESSAGE
 from tidewatch.sources.tables import reader_for
 
 # Security and offset settings of the message bus.
@@ -78,16 +78,24 @@ def sse_payloads(blocks: DataFrame) -> DataFrame:
 
 
 def topic_file_records(
-    spark: SparkSession, path: str, topic: str, stream: bool = False, **options: str | int
+    spark: SparkSession,
+    path: str,
+    topic: str,
+    stream: bool = False,
+    source_file: bool = False,
+    **options: str | int,
 ) -> DataFrame:
     """Records of one topic from the folder a topic file sink writes.
 
-    Files have no offset and partition, so both are null; the timestamp is the file's.
+    Files have no offset and partition, so both are null; the timestamp is the file's.  With
+    ``source_file`` each record says which file it is from, and bronze keeps it.
     """
+    origin = [F.col("_metadata.file_path").alias(SOURCE_FILE)] if source_file else []
     rows = reader_for(spark, stream, options).schema(TOPIC_MESSAGE).parquet(path)
     return rows.filter(F.col("topic") == topic).select(
         F.col("value").cast("binary").alias("value"),
         F.col("_metadata.file_modification_time").alias("timestamp"),
         F.lit(None).cast("bigint").alias("offset"),
         F.lit(None).cast("int").alias("partition"),
+        *origin,
     )
